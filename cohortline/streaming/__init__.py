@@ -1,0 +1,5 @@
+"""There are no streaming operators to rebuild: no watermarks, windows or state.
+
+The row-wise steps of ``functions`` and ``operators.textscan`` are plain column expressions and
+run unchanged on a streaming DataFrame; ``tests/test_streaming.py`` checks that.
+"""
