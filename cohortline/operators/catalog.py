@@ -84,10 +84,11 @@ def label_from_experiment(
     matching = catalog.experiments.where(contains_any(F.col("modality"), list(codes))).select(
         "subject_key", "exp_ordinal", "exp_key", label_number(F.col("label"), sep, index).alias("number")
     )
-    return matching.groupBy("subject_key").agg(
+    per_subject = matching.groupBy("subject_key").agg(
         F.max_by("number", F.struct("exp_ordinal", "exp_key")).alias("label"),
         F.bool_or(F.col("number").isNull()).alias("error"),
     )
+    return per_subject.withColumn("label", F.when(~F.col("error"), F.col("label")))
 
 
 def attach_resource_files(items: DataFrame, resources: DataFrame, uri: str = "action_data") -> DataFrame:

@@ -1,0 +1,24 @@
+"""Model outputs to the tables of a test report."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..operators import evaluate
+from ..sources.sinks import write_report
+
+
+def test_report(preds: DataFrame, n_classes: int, positive: int = 1) -> dict[str, DataFrame]:
+    """Confusion matrix, class report, ROC curve and its area, as lazy tables."""
+    return {
+        "confusion_matrix": evaluate.confusion_matrix(preds, n_classes),
+        "classification_report": evaluate.classification_report(preds),
+        "roc_curve": evaluate.roc_curve(preds, positive, drop_intermediate=True),
+        "roc_auc": evaluate.roc_auc(preds, positive),
+    }
+
+
+def write_test_report(preds: DataFrame, n_classes: int, path: str, positive: int = 1) -> None:
+    """Write each table of the report to its own folder."""
+    for name, table in test_report(preds, n_classes, positive).items():
+        write_report(table, f"{path}/{name}")
