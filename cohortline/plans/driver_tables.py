@@ -75,13 +75,13 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pixel_rows(df: DataFrame, image: str = "image", key: str = "image_id") -> DataFrame:
-    """Long form ``(image_id, height, width, at, value)``, the value to 6 places."""
+    """Long form ``(image_id, height, width, idx, value)``, the value to 6 places."""
     return df.select(
         key,
         F.col(f"{image}.height").alias("height"),
         F.col(f"{image}.width").alias("width"),
-        F.posexplode(f"{image}.pixels").alias("at", "v"),
-    ).select(key, "height", "width", "at", F.round("v", 6).alias("value"))
+        F.posexplode(f"{image}.pixels").alias("idx", "v"),
+    ).select(key, "height", "width", "idx", F.round(F.col("v").cast("double"), 6).alias("value"))
 
 
 def predictions(spark: SparkSession, sf_dir: str, n_classes: int = 10) -> DataFrame:

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES, Query
 
-_PARTS = ("cohort",)
+_PARTS = ("cohort", "images", "evaluation")
 
 
 def _load() -> None:
