@@ -49,15 +49,12 @@ def sensitive_scan(
     a table with ``value``, ``file_exceptions`` a table with the document key.
     """
     lines = text_lines(docs, key=key).where(F.col("line").rlike(_any_of(patterns)))
-    found = F.concat(
-        *[
-            F.transform(
-                F.regexp_extract_all(F.col("line"), F.lit(regex), F.lit(0)),
-                lambda v, rule=rule: F.struct(F.lit(rule).alias("rule"), v.alias("value")),
-            )
-            for rule, regex in patterns.items()
-        ]
-    )
+
+    def matches(rule: str, regex: str) -> Column:
+        values = F.regexp_extract_all(F.col("line"), F.lit(regex), F.lit(0))
+        return F.transform(values, lambda v: F.struct(F.lit(rule).alias("rule"), v.alias("value")))
+
+    found = F.concat(*[matches(rule, regex) for rule, regex in patterns.items()])
     hits = lines.select(key, "line_no", F.inline(found))
     if isinstance(value_exceptions, DataFrame):
         hits = hits.join(value_exceptions.select("value").distinct(), "value", "left_anti")
