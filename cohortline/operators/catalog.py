@@ -23,7 +23,7 @@ def catalog_join(catalog: Catalog) -> DataFrame:
     subjects = catalog.subjects.drop("project_id")
     experiments = catalog.experiments.drop("project_id")
     scans = catalog.scans.drop("project_id")
-    return keep_left(subjects, keep_left(experiments, scans, "exp_key"), "subject_key")
+    return keep_left(subjects, keep_left(experiments, scans, "exp_key"), "subject_key", present=experiments)
 
 
 def catalog_counts(catalog: Catalog) -> DataFrame:

@@ -236,8 +236,9 @@ def roc_curve(preds: DataFrame, positive: int = 1, drop_intermediate: bool = Fal
         curve_points = curve.where(last | bend)
     else:
         curve_points = curve
-    ends = curve.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    p, n = ends.select("p").scalar(), ends.select("n").scalar()
+    hit = F.col("y") == positive
+    ends = preds.agg(F.struct(F.count_if(hit).alias("p"), F.count_if(~hit).alias("n")).alias("ends")).scalar()
+    p, n = ends.getField("p"), ends.getField("n")
     points = curve_points.select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("fp").cast("double"), n.cast("double")).alias("fpr"),

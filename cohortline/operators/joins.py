@@ -11,11 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def keep_left(one: DataFrame, many: DataFrame, on: str | list[str]) -> DataFrame:
-    """Left join of a table with unique keys to one where a key may repeat very often."""
+def keep_left(
+    one: DataFrame, many: DataFrame, on: str | list[str], present: DataFrame | None = None
+) -> DataFrame:
+    """Left join of a table with unique keys to one where a key may repeat very often.
+
+    ``present`` is a cheaper table with the same keys as ``many``, where ``many`` is itself a join.
+    """
     keys = [on] if isinstance(on, str) else list(on)
     matched = one.join(many, keys, "inner")
-    alone = one.join(many.select(*keys).distinct(), keys, "left_anti")
+    known = (many if present is None else present).select(*keys).distinct()
+    alone = one.join(known, keys, "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)
 
 

@@ -15,13 +15,18 @@ from pyspark.sql import functions as F
 
 from ..schemas import POSITION
 from ..sources.catalog import Catalog
+from ..sources.storage import settle
 from .ranks import ordered_position
 
 URI, VALUE = "xnat_uri", "value"
 OK, MISSING, ERROR = "ok", "missing", "error"
 LIST_ACTION, VALUE_ACTION = "list", "value"
 
-_ITEM = ("subject_key", "action_ordinal", "action_data", *POSITION)
+_POSITION_TYPES = ("bigint", "string", "bigint", "string")
+
+
+def _no_text() -> Column:
+    return F.lit(None).cast("string")
 
 
 @dataclass(frozen=True)
@@ -66,13 +71,16 @@ class Action:
 class Samples:
     """Subjects with their action results.
 
-    ``subjects``  subject_key, subject_id, subject_uri, status ARRAY, n_found ARRAY (kept items
-                  per action), first_fail (ordinal of the first action that stopped, or null)
-    ``rows``      rows of all actions for all subjects, before stops are applied
+    ``subjects``    subject_key, subject_id, subject_uri, status ARRAY, n_found ARRAY (kept items per
+                    action), found_value ARRAY (kept value of each value action), first_fail
+                    (ordinal of the first action that stopped, or null)
+    ``object_rows`` objects found by the list actions for all subjects, before stops are applied
+
+    Values live in the one row of their subject, so labels never need an item join.
     """
 
     subjects: DataFrame
-    rows: DataFrame
+    object_rows: DataFrame
     actions: tuple[Action, ...]
     strict: bool
 
@@ -80,37 +88,57 @@ class Samples:
         names = F.array(*[F.lit(pick(a)) for a in self.actions]) if self.actions else F.array(F.lit(""))
         return F.get(names, ordinal)
 
+    def _item_columns(self, data: Column, kind: str, position: bool) -> list[Column]:
+        places = [F.col(c) for c in POSITION]
+        if not position:
+            places = [F.lit(None).cast(t).alias(c) for c, t in zip(POSITION, _POSITION_TYPES)]
+        return [
+            F.col("subject_key"),
+            F.col("subject_id"),
+            F.col("action_ordinal"),
+            self._name(lambda a: a.name, F.col("action_ordinal")).alias("source_action"),
+            data.alias("action_data"),
+            F.lit(kind).alias("data_type"),
+            self._name(lambda a: a.label, F.col("action_ordinal")).alias("data_label"),
+            *places,
+        ]
+
+    def n_ran(self) -> Column:
+        """Number of actions that gave a result: all before the first stop."""
+        return F.coalesce("first_fail", F.lit(len(self.actions)))
+
     @property
-    def items(self) -> DataFrame:
-        """One row per item of the kept subjects, for actions before the first stop.
+    def object_items(self) -> DataFrame:
+        """One row per catalog object of the kept subjects.
 
-        One equi join; the side with few rows per subject is the status table, so a subject with
-        very many items can be split.
+        One equi join; the side with one row per subject is the status table, so a subject with
+        very many objects can be split.
         """
-        ran = self.subjects.select(
+        ran = self.subjects.select("subject_key", "subject_id", self.n_ran().alias("n_ran"))
+        kept = self.object_rows.join(ran, "subject_key").where(F.col("action_ordinal") < F.col("n_ran"))
+        return kept.select(*self._item_columns(F.col("action_data"), URI, True))
+
+    @property
+    def value_items(self) -> DataFrame:
+        """One row per value of the kept subjects, straight from their status rows."""
+        values = self.subjects.select(
             "subject_key",
             "subject_id",
-            F.coalesce("first_fail", F.lit(len(self.actions))).alias("n_ran"),
-        )
-        keep = F.col("action_data").isNotNull() & ~F.col("error")
-        if self.strict:
-            keep = keep & F.col("is_text")
-        kinds = F.array(*[F.lit(URI if a.kind == LIST_ACTION else VALUE) for a in self.actions] or [F.lit("")])
-        return (
-            self.rows.where(keep)
-            .join(ran, "subject_key")
-            .where(F.col("action_ordinal") < F.col("n_ran"))
-            .select(
-                "subject_key",
-                "subject_id",
-                "action_ordinal",
-                self._name(lambda a: a.name, F.col("action_ordinal")).alias("source_action"),
-                "action_data",
-                F.get(kinds, F.col("action_ordinal")).alias("data_type"),
-                self._name(lambda a: a.label, F.col("action_ordinal")).alias("data_label"),
-                *POSITION,
-            )
-        )
+            self.n_ran().alias("n_ran"),
+            F.posexplode("found_value").alias("action_ordinal", "value"),
+        ).where(F.col("value").isNotNull() & (F.col("action_ordinal") < F.col("n_ran")))
+        return values.select(*self._item_columns(F.col("value"), VALUE, False))
+
+    @property
+    def items(self) -> DataFrame:
+        """One row per item of the kept subjects, for actions before the first stop."""
+        return self.object_items.unionByName(self.value_items)
+
+    def values_of(self, label: str) -> Column:
+        """Values under a label as an array, an expression on ``subjects``."""
+        wanted = [k for k, a in enumerate(self.actions) if a.kind == VALUE_ACTION and a.label == label]
+        found = [F.when(F.lit(k) < self.n_ran(), F.get("found_value", F.lit(k))) for k in wanted]
+        return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
     @property
     def status(self) -> DataFrame:
@@ -130,12 +158,12 @@ class Samples:
 
     def n_items(self) -> Column:
         """Items of a subject, as an expression on ``subjects``; no item row is read for it."""
-        ran = F.slice("n_found", F.lit(1), F.coalesce("first_fail", F.lit(len(self.actions))))
+        ran = F.slice("n_found", F.lit(1), self.n_ran())
         return F.aggregate(ran, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
 
-    def n_groups(self) -> Column:
-        """Actions of a subject that gave a result, empty groups of strict mode included."""
-        return F.coalesce("first_fail", F.lit(len(self.actions)))
+    def settled(self) -> Samples:
+        """The same samples with the subject table written once, for runs with several outputs."""
+        return replace(self, subjects=settle(self.subjects))
 
     def only(self, condition: Column) -> Samples:
         return replace(self, subjects=self.subjects.where(condition))
@@ -157,6 +185,7 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
             "*",
             F.array().cast("array<string>").alias("status"),
             F.array().cast("array<bigint>").alias("n_found"),
+            F.array().cast("array<string>").alias("found_value"),
             F.lit(None).cast("int").alias("first_fail"),
         )
         rows = catalog.subjects.where(F.lit(False)).select(
@@ -172,7 +201,8 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
         )
         return Samples(subjects, rows, (), strict)
 
-    rows = reduce(DataFrame.unionByName, [a.rows(catalog, k) for k, a in enumerate(actions)])
+    tables = [a.rows(catalog, k) for k, a in enumerate(actions)]
+    rows = reduce(DataFrame.unionByName, tables)
     ordinals = range(len(actions))
     mine = [F.col("action_ordinal") == k for k in ordinals]
     counted = F.col("action_data").isNotNull() & (F.col("is_text") if strict else F.lit(True))
@@ -181,6 +211,12 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
         *[F.count_if(mine[k] & F.col("action_data").isNotNull()).alias(f"seen_{k}") for k in ordinals],
         *[F.count_if(mine[k] & counted).alias(f"kept_{k}") for k in ordinals],
         *[F.bool_or(mine[k] & F.col("error")).alias(f"bad_{k}") for k in ordinals],
+        *[
+            (F.max(F.when(mine[k] & counted, F.col("action_data"))) if a.kind == VALUE_ACTION else _no_text()).alias(
+                f"value_{k}"
+            )
+            for k, a in enumerate(actions)
+        ],
     )
 
     def status(k: int) -> Column:
@@ -193,10 +229,13 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
         *base.columns,
         F.array(*[status(k) for k in ordinals]).alias("status"),
         F.array(*[F.coalesce(F.col(f"kept_{k}"), F.lit(0).cast("bigint")) for k in ordinals]).alias("n_found"),
+        F.array(*[F.col(f"value_{k}") for k in ordinals]).alias("found_value"),
     )
     stops = F.filter(F.transform("status", lambda s, i: F.when(s != OK, i)), lambda i: i.isNotNull())
     subjects = subjects.withColumn("first_fail", F.array_min(stops))
-    return Samples(subjects, rows, tuple(actions), strict)
+    lists = [t for t, a in zip(tables, actions) if a.kind == LIST_ACTION] or [tables[0].where(F.lit(False))]
+    objects = reduce(DataFrame.unionByName, lists).where(F.col("action_data").isNotNull() & ~F.col("error"))
+    return Samples(subjects, objects, tuple(actions), strict)
 
 
 def surviving(samples: Samples) -> Samples:
@@ -212,13 +251,13 @@ def complete_samples(samples: Samples, n_actions: int | None = None, by: str = "
     if by not in ("items", "groups"):
         raise ValueError("by is 'items' or 'groups'")
     need = len(samples.actions) if n_actions is None else n_actions
-    have = samples.n_items() if by == "items" else samples.n_groups()
+    have = samples.n_items() if by == "items" else samples.n_ran()
     return surviving(samples).only(have >= need)
 
 
 def _has_all(samples: Samples, required: Sequence[str]) -> Column:
     ordinals = {a.name: k for k, a in enumerate(samples.actions)}
-    ran = F.coalesce("first_fail", F.lit(len(samples.actions)))
+    ran = samples.n_ran()
     every = F.lit(True)
     for name in required:
         k = ordinals.get(name)
@@ -300,7 +339,7 @@ def nest_items(samples: Samples, chunk_size: int = 10_000) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias("found"))
     )
     heads = kept.subjects.select(
-        "subject_key", "subject_id", "subject_uri", kept.n_groups().alias("n_groups")
+        "subject_key", "subject_id", "subject_uri", kept.n_ran().alias("n_groups")
     )
     nested = heads.join(groups, "subject_key", "left")
     ordinals = F.when(F.col("n_groups") > 0, F.sequence(F.lit(0), F.col("n_groups") - 1)).otherwise(

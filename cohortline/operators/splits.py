@@ -65,15 +65,15 @@ def split_samples(
         TRAIN: F.col("n") - held,
         VALIDATION: F.col("n") - F.ceil(F.round(held * F.lit(share), 9)),
     }
-    found = hash_thresholds(hashed, "draw", key, cuts)
-
-    def last_of(cut: str):
-        return found.where(F.col("cut") == cut).select(F.struct("draw", key)).scalar()
-
-    # No row has rank 0: then the cut point is null and the comparison falls through.
     me = F.struct("draw", key)
+    found = hash_thresholds(hashed, "draw", key, cuts)
+    last = found.agg(
+        F.struct(*[F.max(F.when(F.col("cut") == cut, me)).alias(cut) for cut in cuts]).alias("last")
+    ).scalar()
+    # No row has rank 0: such a cut point is null and the comparison falls through.
     return hashed.withColumn(
-        "split", F.when(me <= last_of(TRAIN), TRAIN).when(me <= last_of(VALIDATION), VALIDATION).otherwise(TEST)
+        "split",
+        F.when(me <= last.getField(TRAIN), TRAIN).when(me <= last.getField(VALIDATION), VALIDATION).otherwise(TEST),
     ).drop("draw")
 
 

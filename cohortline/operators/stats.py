@@ -20,11 +20,16 @@ def get_labels(items: DataFrame, data_label: str = LABEL) -> DataFrame:
 def class_weights(labels: DataFrame, by: Sequence[str] = (), label: str = "label") -> DataFrame:
     """n / (k * n_class) for each class, over all rows or per group.
 
-    Rows are counted before the shuffle; the window only sees one row per group and class.
+    Rows are counted before the shuffle; see ``weights_of_counts`` for the rest.
     """
     counts = (
         labels.where(F.col(label).isNotNull()).groupBy(*by, label).agg(F.count(F.lit(1)).alias("n_class"))
     )
+    return weights_of_counts(counts, by, label)
+
+
+def weights_of_counts(counts: DataFrame, by: Sequence[str] = (), label: str = "label") -> DataFrame:
+    """Class weights from ``n_class`` counts: the window sees one row per group and class."""
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     return counts.select(
         *by,
@@ -34,16 +39,25 @@ def class_weights(labels: DataFrame, by: Sequence[str] = (), label: str = "label
     )
 
 
-def dataset_stats(subjects: DataFrame, labels: DataFrame) -> DataFrame:
+def dataset_stats(subjects: DataFrame) -> DataFrame:
     """Statistics per split in long form ``(split, stat, key, value)``.
 
-    ``subjects`` has a ``split`` per subject, ``labels`` a ``split`` and a ``label`` per label item.
-    Stats are ``n_samples``, ``N`` (count of a label) and ``class_weights``.
+    ``subjects`` has one row per subject with its ``split`` and its ``labels`` (an array, mostly of
+    one label). Stats are ``n_samples``, ``N`` (count of a label) and ``class_weights``.
+    All come from one count per split and label list, taken in one pass.
     """
-    sizes = subjects.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
-    weights = class_weights(labels, ["split"])
+    lists = subjects.groupBy("split", "labels").agg(F.count(F.lit(1)).alias("n"))
+    sizes = lists.groupBy("split").agg(F.sum("n").alias("n"))
+    counts = (
+        lists.select("split", F.explode("labels").alias("label"), "n")
+        .groupBy("split", "label")
+        .agg(F.sum("n").alias("n_class"))
+    )
     per_split = sizes.select(
-        "split", F.lit("n_samples").alias("stat"), F.lit(None).cast("string").alias("key"), F.col("n").cast("double").alias("value")
+        "split",
+        F.lit("n_samples").alias("stat"),
+        F.lit(None).cast("string").alias("key"),
+        F.col("n").cast("double").alias("value"),
     )
     facts = F.inline(
         F.array(
@@ -51,16 +65,18 @@ def dataset_stats(subjects: DataFrame, labels: DataFrame) -> DataFrame:
             F.struct(F.lit("class_weights").alias("stat"), F.col("weight").alias("value")),
         )
     )
-    per_class = weights.select("split", F.col("label").cast("string").alias("key"), facts)
+    per_class = weights_of_counts(counts, ["split"]).select("split", F.col("label").cast("string").alias("key"), facts)
     return per_split.unionByName(per_class)
 
 
-def data_manifest(subjects: DataFrame, labels: DataFrame, label_dict: Mapping[str, int | None]) -> DataFrame:
+def data_manifest(subjects: DataFrame, label_dict: Mapping[str, int | None]) -> DataFrame:
     """Patient total, statistics of the splits and the label dictionary, in the same long form."""
-    stats = dataset_stats(subjects, labels)
+    stats = dataset_stats(subjects)
     nothing = F.lit(None).cast("string")
-    total = subjects.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        nothing.alias("split"), F.lit("N_patients").alias("stat"), nothing.alias("key"), "value"
+    total = (
+        stats.where(F.col("stat") == "n_samples")
+        .agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("value"))
+        .select(nothing.alias("split"), F.lit("N_patients").alias("stat"), nothing.alias("key"), "value")
     )
     names = subjects.sparkSession.createDataFrame(
         [(None, "labels", k, None if v is None else float(v)) for k, v in label_dict.items()],

@@ -90,7 +90,7 @@ def resolve_changes(
     # Links are the preserved side: a change named by very many requests can be split.
     resolved = links.join(people, [*by, "change_id"], "left")
     heads = change_requests.select(*by, F.col("id").alias("cr_id"), "title")
-    return keep_left(heads, resolved, [*by, "cr_id"]).select(
+    return keep_left(heads, resolved, [*by, "cr_id"], present=links).select(
         *by,
         "cr_id",
         "title",
@@ -333,21 +333,14 @@ def anomaly_review_list(anomalies: DataFrame, limit: int = 100, seed: object = 4
     """
     used = F.coalesce("portion_used", F.lit(False))
     ready = anomalies.withColumn("review_class", F.when(used, 1).otherwise(2))
-    crowded = (
-        ready.where(F.col("priority").isNull())
-        .groupBy("component")
-        .agg(F.count(F.lit(1)).alias("n_open"))
-        .where(F.col("n_open") > limit)
-        .select("component", F.lit(True).alias("crowded"))
-    )
-    marked = ready.join(crowded, "component", "left")
-    sampling = F.col("priority").isNull() & F.coalesce("crowded", F.lit(False))
     order = Window.partitionBy("component").orderBy(
         "review_class", stable_hash(seed, "component", "anomaly_id"), "anomaly_id"
     )
-    # Only the first rows of each component leave the map side.
-    sampled = marked.where(sampling).withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit)
-    return marked.where(~sampling).unionByName(sampled.drop("place")).drop("crowded")
+    # A component with no more than ``limit`` of them keeps all, so no count is needed; and only the
+    # first rows of each component leave the map side.
+    open_ones = ready.where(F.col("priority").isNull()).withColumn("place", F.row_number().over(order))
+    sampled = open_ones.where(F.col("place") <= limit).drop("place")
+    return ready.where(F.col("priority").isNotNull()).unionByName(sampled)
 
 
 def duplicate_ids(records: DataFrame, key: str | Sequence[str] = "id", by: Sequence[str] = ()) -> DataFrame:
@@ -385,29 +378,27 @@ def release_gate(
     """One row per project: what blocks a release, and whether nothing does.
 
     Planned requests must have changes, requirements must be tested, failures must be justified,
-    and no risk may be left open. Each part is one row per project before the parts are joined.
+    and no risk may be left open. Each part is counted per project, and the counts are stacked and
+    summed, so no join between parts is needed.
     """
-    keys = [by]
-    count = F.count(F.lit(1))
-    plain = plain_change_requests(change_requests)
     if links is None:
-        undone = plain.where(F.size(F.coalesce("change_ids", F.array())) == 0)
-    else:
-        undone = plain.join(links.select(*keys, F.col("cr_id").alias("id")).distinct(), [*keys, "id"], "left_anti")
-    parts = {
-        "n_requests_open": undone.groupBy(*keys).agg(count.alias("n_requests_open")),
-        "n_known_anomalies": unresolved_anomalies(change_requests, links, keys)
-        .groupBy(*keys)
-        .agg(count.alias("n_known_anomalies")),
-        "n_uncovered": uncovered_requirements(reqs, tests, keys).groupBy(*keys).agg(count.alias("n_uncovered")),
-        "n_unjustified": suite_verdict(tests, keys).select(*keys, "n_unjustified"),
-        "n_open_risks": open_risks.groupBy(*keys).agg(count.alias("n_open_risks")),
-    }
-    projects = reduce(
-        DataFrame.unionByName, [t.select(*keys) for t in (change_requests, reqs, tests, open_risks)]
-    ).distinct()
-    gate = reduce(lambda left, right: left.join(right, keys, "left"), parts.values(), projects)
-    zero = F.lit(0).cast("bigint")
+        links = change_links(change_requests, [by])
+    named = links.select(by, F.col("cr_id").alias("id")).distinct()
+    count = F.count(F.lit(1))
+    undone = change_requests.join(named, [by, "id"], "left_anti").groupBy(by).agg(
+        F.count_if(~_is_problem()).alias("n_requests_open"), F.count_if(_is_problem()).alias("n_known_anomalies")
+    )
+    covered = requirement_coverage(reqs, tests, [by]).groupBy(by)
+    parts = [
+        change_requests.select(by).distinct(),
+        undone,
+        covered.agg(F.count_if(~F.col("covered")).alias("n_uncovered")),
+        suite_verdict(tests, [by]).select(by, "n_unjustified"),
+        open_risks.groupBy(by).agg(count.alias("n_open_risks")),
+    ]
     blocking = ("n_requests_open", "n_uncovered", "n_unjustified", "n_open_risks")
-    ready = reduce(lambda a, b: a & b, [F.coalesce(c, zero) == 0 for c in blocking])
-    return gate.select(*keys, *[F.coalesce(c, zero).alias(c) for c in parts], ready.alias("ready"))
+    counts = ("n_requests_open", "n_known_anomalies", "n_uncovered", "n_unjustified", "n_open_risks")
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    zero = F.lit(0).cast("bigint")
+    gate = together.groupBy(by).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in counts])
+    return gate.withColumn("ready", reduce(lambda a, b: a & b, [F.col(c) == 0 for c in blocking]))

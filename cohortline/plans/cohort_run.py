@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.catalog import label_from_experiment, scans_by_modality
 from ..operators.samples import (
@@ -19,7 +20,7 @@ from ..operators.samples import (
     validate_samples,
 )
 from ..operators.splits import bounded_sample, split_samples
-from ..operators.stats import data_manifest, dataset_stats, get_labels
+from ..operators.stats import data_manifest, dataset_stats
 from ..sources.catalog import Catalog
 
 
@@ -46,22 +47,17 @@ def label_action(
 
 @dataclass(frozen=True)
 class Cohort:
-    """A validated cohort: samples, their split, and the log of what was missing."""
+    """A validated cohort: samples, subjects with split and labels, and the log of what was missing."""
 
     samples: Samples
     split: DataFrame
     missing: DataFrame
 
-    def labels(self) -> DataFrame:
-        """Label items of the kept subjects with their split."""
-        labels = get_labels(self.samples.items).select("subject_key", "label")
-        return labels.join(self.split.select("subject_key", "split"), "subject_key")
-
     def stats(self) -> DataFrame:
-        return dataset_stats(self.split, self.labels())
+        return dataset_stats(self.split)
 
     def manifest(self, label_dict: Mapping[str, int | None]) -> DataFrame:
-        return data_manifest(self.split, self.labels(), label_dict)
+        return data_manifest(self.split, label_dict)
 
 
 def run_cohort(
@@ -74,9 +70,14 @@ def run_cohort(
     fractions: Sequence[float] = (0.5, 0.25, 0.25),
     exact: bool = False,
 ) -> Cohort:
-    """Sample subjects (optional), run the actions, check completeness, validate and split."""
+    """Sample subjects (optional), run the actions, check completeness, validate and split.
+
+    Everything up to the statistics needs one row per subject, so no image item is ever shuffled.
+    """
     chosen = catalog.with_subjects(bounded_sample(catalog.subjects, test_batch, seed))
     built = build_samples(chosen, actions, on_failure)
     valid = validate_samples(complete_samples(built), required)
-    split = split_samples(valid.subjects.select("subject_key", "subject_id", "subject_uri"), seed, fractions, exact)
+    labels = F.transform(valid.values_of("label"), lambda v: v.try_cast("bigint"))
+    subjects = valid.subjects.select("subject_key", "subject_id", "subject_uri", labels.alias("labels"))
+    split = split_samples(subjects, seed, fractions, exact)
     return Cohort(valid, split, missing_data_log(built))

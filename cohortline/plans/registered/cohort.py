@@ -303,7 +303,7 @@ def duplicate_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(COHORT + VALID + "SELECT subject_id, CAST(label AS VARCHAR) AS label FROM valid")
 def promote_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return smp.promote_values(built(spark, sf_dir).items, ["label"]).select("subject_id", "label")
+    return smp.promote_values(built(spark, sf_dir).value_items, ["label"]).select("subject_id", "label")
 
 
 @query("SELECT c_custkey AS subject_key, c_name AS subject_id FROM customer")
@@ -323,7 +323,7 @@ def label_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(COHORT + VALID + "SELECT subject_id, label FROM valid")
 def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = smp.validate_samples(built(spark, sf_dir), REQUIRED)
-    return stats.get_labels(valid.items).select("subject_id", "label")
+    return stats.get_labels(valid.value_items).select("subject_id", "label")
 
 
 @query(
