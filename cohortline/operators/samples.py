@@ -25,17 +25,14 @@ LIST_ACTION, VALUE_ACTION = "list", "value"
 _POSITION_TYPES = ("bigint", "string", "bigint", "string")
 
 
-def _no_text() -> Column:
-    return F.lit(None).cast("string")
-
-
 @dataclass(frozen=True)
 class Action:
     """A named step that yields a list of catalog objects or one value per subject.
 
     ``fn(catalog)`` returns, for kind ``list``, one row per object with ``subject_key``, ``uri``
     and the catalog position columns that apply; for kind ``value``, at most one row per subject
-    with ``subject_key``, ``value`` and, if the step can fail, a boolean ``error``.
+    with ``subject_key``, ``value`` and, if the step can fail, a boolean ``error``. A value action
+    that ends in an aggregate by subject is joined where it lies, without another shuffle.
     A value counts as text if its column is a string column.
     """
 
@@ -138,7 +135,11 @@ class Samples:
         """Values under a label as an array, an expression on ``subjects``."""
         wanted = [k for k, a in enumerate(self.actions) if a.kind == VALUE_ACTION and a.label == label]
         found = [F.when(F.lit(k) < self.n_ran(), F.get("found_value", F.lit(k))) for k in wanted]
-        return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+        if not found:
+            return F.array().cast("array<string>")
+        if len(found) == 1:
+            return F.when(found[0].isNotNull(), F.array(found[0])).otherwise(F.array().cast("array<string>"))
+        return F.array_compact(F.array(*found))
 
     @property
     def status(self) -> DataFrame:
@@ -158,8 +159,8 @@ class Samples:
 
     def n_items(self) -> Column:
         """Items of a subject, as an expression on ``subjects``; no item row is read for it."""
-        ran = F.slice("n_found", F.lit(1), self.n_ran())
-        return F.aggregate(ran, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+        ran = [F.when(F.lit(k) < self.n_ran(), F.get("n_found", F.lit(k))).otherwise(0) for k in range(len(self.actions))]
+        return reduce(Column.__add__, ran, F.lit(0).cast("bigint"))
 
     def settled(self) -> Samples:
         """The same samples with the subject table written once, for runs with several outputs."""
@@ -202,40 +203,50 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
         return Samples(subjects, rows, (), strict)
 
     tables = [a.rows(catalog, k) for k, a in enumerate(actions)]
-    rows = reduce(DataFrame.unionByName, tables)
-    ordinals = range(len(actions))
-    mine = [F.col("action_ordinal") == k for k in ordinals]
-    counted = F.col("action_data").isNotNull() & (F.col("is_text") if strict else F.lit(True))
-    # One aggregate for all actions, combined before its only shuffle.
-    found = rows.groupBy("subject_key").agg(
-        *[F.count_if(mine[k] & F.col("action_data").isNotNull()).alias(f"seen_{k}") for k in ordinals],
-        *[F.count_if(mine[k] & counted).alias(f"kept_{k}") for k in ordinals],
-        *[F.bool_or(mine[k] & F.col("error")).alias(f"bad_{k}") for k in ordinals],
-        *[
-            (F.max(F.when(mine[k] & counted, F.col("action_data"))) if a.kind == VALUE_ACTION else _no_text()).alias(
-                f"value_{k}"
+    lists = [k for k, a in enumerate(actions) if a.kind == LIST_ACTION]
+    objects = reduce(DataFrame.unionByName, [tables[k] for k in lists] or [tables[0].where(F.lit(False))])
+    subjects = base
+    if lists:
+        # One hash aggregate for all list actions, with fixed-width buffers, combined before its shuffle.
+        mine = {k: F.col("action_ordinal") == k for k in lists}
+        counts = objects.groupBy("subject_key").agg(
+            *[F.count(F.when(mine[k], F.col("action_data"))).alias(f"n_{k}") for k in lists],
+            *[F.bool_or(mine[k] & F.col("error")).alias(f"bad_{k}") for k in lists],
+        )
+        subjects = subjects.join(counts, "subject_key", "left")
+    for k, action in enumerate(actions):
+        if action.kind == VALUE_ACTION:
+            value = tables[k].select(
+                "subject_key",
+                F.col("action_data").alias(f"value_{k}"),
+                F.col("is_text").alias(f"text_{k}"),
+                F.col("error").alias(f"bad_{k}"),
             )
-            for k, a in enumerate(actions)
-        ],
-    )
-
-    def status(k: int) -> Column:
-        empty = F.coalesce(F.col(f"seen_{k}"), F.lit(0)) == 0
-        if strict and actions[k].kind == VALUE_ACTION:
-            empty = F.lit(False)
-        return F.when(F.coalesce(F.col(f"bad_{k}"), F.lit(False)), ERROR).when(empty, MISSING).otherwise(OK)
-
-    subjects = base.join(found, "subject_key", "left").select(
+            subjects = subjects.join(value, "subject_key", "left")
+
+    nothing, none = F.lit(0).cast("bigint"), F.lit(None).cast("string")
+    status, n_found, found_value = [], [], []
+    for k, action in enumerate(actions):
+        bad = F.coalesce(F.col(f"bad_{k}"), F.lit(False))
+        if action.kind == LIST_ACTION:
+            found = F.coalesce(F.col(f"n_{k}"), nothing)
+            empty, value = found == 0, none
+        else:
+            kept = F.col(f"value_{k}").isNotNull() & (F.col(f"text_{k}") if strict else F.lit(True))
+            found, value = F.when(kept, 1).otherwise(0).cast("bigint"), F.when(kept, F.col(f"value_{k}"))
+            empty = F.lit(False) if strict else F.col(f"value_{k}").isNull()
+        status.append(F.when(bad, ERROR).when(empty, MISSING).otherwise(OK))
+        n_found.append(found)
+        found_value.append(value)
+    subjects = subjects.select(
         *base.columns,
-        F.array(*[status(k) for k in ordinals]).alias("status"),
-        F.array(*[F.coalesce(F.col(f"kept_{k}"), F.lit(0).cast("bigint")) for k in ordinals]).alias("n_found"),
-        F.array(*[F.col(f"value_{k}") for k in ordinals]).alias("found_value"),
+        F.array(*status).alias("status"),
+        F.array(*n_found).alias("n_found"),
+        F.array(*found_value).alias("found_value"),
+        F.coalesce(*[F.when(s != OK, F.lit(k)) for k, s in enumerate(status)]).alias("first_fail"),
     )
-    stops = F.filter(F.transform("status", lambda s, i: F.when(s != OK, i)), lambda i: i.isNotNull())
-    subjects = subjects.withColumn("first_fail", F.array_min(stops))
-    lists = [t for t, a in zip(tables, actions) if a.kind == LIST_ACTION] or [tables[0].where(F.lit(False))]
-    objects = reduce(DataFrame.unionByName, lists).where(F.col("action_data").isNotNull() & ~F.col("error"))
-    return Samples(subjects, objects, tuple(actions), strict)
+    kept_objects = objects.where(F.col("action_data").isNotNull() & ~F.col("error"))
+    return Samples(subjects, kept_objects, tuple(actions), strict)
 
 
 def surviving(samples: Samples) -> Samples:
