@@ -1,4 +1,4 @@
-"""Model outputs to the tables of a test report."""
+"""Model outputs to the tables of a model report."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from ..operators import evaluate
 from ..sources.sinks import write_report
 
 
-def test_report(preds: DataFrame, n_classes: int, positive: int = 1) -> dict[str, DataFrame]:
+def model_report(preds: DataFrame, n_classes: int, positive: int = 1) -> dict[str, DataFrame]:
     """Confusion matrix, class report, ROC curve and its area, as lazy tables."""
     return {
         "confusion_matrix": evaluate.confusion_matrix(preds, n_classes),
@@ -18,7 +18,7 @@ def test_report(preds: DataFrame, n_classes: int, positive: int = 1) -> dict[str
     }
 
 
-def write_test_report(preds: DataFrame, n_classes: int, path: str, positive: int = 1) -> None:
+def write_model_report(preds: DataFrame, n_classes: int, path: str, positive: int = 1) -> None:
     """Write each table of the report to its own folder."""
-    for name, table in test_report(preds, n_classes, positive).items():
+    for name, table in model_report(preds, n_classes, positive).items():
         write_report(table, f"{path}/{name}")

@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from cohortline.operators import ranks
+
+
+@pytest.fixture(scope="module")
+def numbers(spark):
+    """One group holds most of the rows."""
+    rng = random.Random(5)
+    data = [("hot" if i % 4 else f"g{i % 7}", i, rng.randint(1, 9)) for i in range(800)]
+    rng.shuffle(data)
+    return data, spark.createDataFrame(data, "g string, k int, v int").repartition(8)
+
+
+def test_hash_rank_matches_a_sort(spark):
+    df = spark.range(700).select("id", F.md5(F.col("id").cast("string")).alias("h"), (F.col("id") % 3).alias("g"))
+    ranked = ranks.hash_rank(df, "h", ["id"], ["g"], digits=1)
+    expected = {}
+    for r in sorted(df.collect(), key=lambda r: r.h):
+        expected.setdefault(r.g, []).append(r.id)
+    got = {(r.g, r.position): r.id for r in ranked.collect()}
+    assert got == {(g, i + 1): v for g, ids in expected.items() for i, v in enumerate(ids)}
+
+
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_running_totals_across_pieces(spark, numbers, partitions):
+    data, df = numbers
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = rows(ranks.running_totals(df, ["g"], ["k"], {"total": "v"}, {"following": "v"}).select("g", "k", "total", "following"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    expected, sums, last = [], {}, {}
+    ordered = sorted(data)
+    for i, (g, k, v) in enumerate(ordered):
+        sums[g] = sums.get(g, 0) + v
+        nxt = ordered[i + 1][2] if i + 1 < len(ordered) and ordered[i + 1][0] == g else None
+        expected.append((g, k, sums[g], nxt))
+    assert sorted(got, key=lambda r: r[:2]) == expected
+
+
+def test_positions_with_ties(spark, numbers):
+    _, df = numbers
+    placed = ranks.ordered_position(df, ["g"], ["v"]).collect()
+    groups = {}
+    for r in placed:
+        groups.setdefault(r.g, []).append((r.position, r.v))
+    for group in groups.values():
+        group.sort()
+        assert [p for p, _ in group] == list(range(1, len(group) + 1))
+        assert [v for _, v in group] == sorted(v for _, v in group)
+
+
+def test_thresholds(spark):
+    df = spark.range(100).select("id", F.md5(F.col("id").cast("string")).alias("h"))
+    got = {r.cut: r.id for r in ranks.hash_thresholds(df, "h", "id", {"a": F.lit(1), "b": F.col("n"), "none": F.lit(0)}).collect()}
+    order = [r.id for r in df.orderBy("h").collect()]
+    assert got == {"a": order[0], "b": order[-1]}
