@@ -40,22 +40,39 @@ def _div(a: Column, b: Column | int) -> Column:
     return F.floor(a / b).cast("int")
 
 
-def _window(im: Column, height: Column, width: Column, top: Column, left: Column) -> Column:
-    """A height x width window of the image whose first pixel is (top, left); 0 outside."""
+def _row(im: Column, row: Column, first: Column | None = None, count: Column | None = None) -> Column:
+    """``count`` pixels of a row from column ``first``, as one slice; the whole row by default."""
+    start = row * im.width + 1 if first is None else row * im.width + first + 1
+    return F.slice(im.pixels, start, im.width if count is None else count)
 
-    def fill(f: Column) -> Column:
-        def pick(k: Column) -> Column:
-            row, col = _div(k, f.width) + f.top, k % f.width + f.left
-            inside = (row >= 0) & (row < im.height) & (col >= 0) & (col < im.width)
-            return F.when(inside, F.get(im.pixels, row * im.width + col)).otherwise(F.lit(0.0))
 
-        return make_image(f.height, f.width, F.transform(_indices(f.height * f.width), pick))
+def _window(im: Column, height: Column, width: Column, top: Column, left: Column) -> Column:
+    """A height x width window of the image whose first pixel is (top, left); 0 outside.
+
+    Works by whole rows: zeros, a slice of the source row, zeros.
+    """
 
+    def fill(f: Column) -> Column:
+        def line(r: Column) -> Column:
+            source = r + f.top
+            inside = (source >= 0) & (source < im.height) & (f["count"] > 0)
+            zeros_before, zeros_after = (F.array_repeat(F.lit(0.0), f[n]) for n in ("before", "after"))
+            part = F.concat(zeros_before, _row(im, source, f["first"], f["count"]), zeros_after)
+            return F.when(inside, part).otherwise(F.array_repeat(F.lit(0.0), f.width))
+
+        return make_image(f.height, f.width, F.flatten(F.transform(_indices(f.height), line)))
+
+    first = F.greatest(left, F.lit(0))
+    before = F.least(F.greatest(-left, F.lit(0)), width)
+    count = F.greatest(F.least(im.width, left + width) - first, F.lit(0))
     frame = F.struct(
         height.cast("int").alias("height"),
         width.cast("int").alias("width"),
         top.cast("int").alias("top"),
-        left.cast("int").alias("left"),
+        first.cast("int").alias("first"),
+        count.cast("int").alias("count"),
+        before.cast("int").alias("before"),
+        (width - before - count).cast("int").alias("after"),
     )
     return let(frame, fill)
 
@@ -87,24 +104,36 @@ def foreground_box(img: Column, select: Callable[[Column, Column], Column] = bet
     """
 
     def hits(im: Column) -> Column:
-        return let(
-            F.array_max(im.pixels),
-            lambda most: F.transform(
-                F.filter(_indices(im.height * im.width), lambda k: select(F.get(im.pixels, k), most)),
-                lambda k: F.struct(_div(k, im.width).alias("row"), (k % im.width).alias("col")),
-            ),
-        )
+        """Rows with a selected pixel: row number, first and last selected column."""
 
-    def box(cells: Column) -> Column:
-        rows, cols = F.transform(cells, lambda c: c.row), F.transform(cells, lambda c: c.col)
+        def ends(row: Column, flags: Column) -> Column:
+            return F.struct(
+                row.alias("row"),
+                F.array_position(flags, F.lit(True)).cast("int").alias("first"),
+                F.array_position(F.reverse(flags), F.lit(True)).cast("int").alias("from_end"),
+            )
+
+        def rows(most: Column) -> Column:
+            return F.transform(
+                _indices(im.height),
+                lambda r: let(F.transform(_row(im, r), lambda v: select(v, most)), lambda flags: ends(r, flags)),
+            )
+
+        return F.filter(let(F.array_max(im.pixels), rows), lambda e: e["first"] > 0)
+
+    def box(width: Column, found: Column) -> Column:
+        def least(field: str) -> Column:
+            return F.array_min(F.transform(found, lambda e: e[field]))
+
+        zero = F.lit(0)
         return F.struct(
-            F.coalesce(F.array_min(rows), F.lit(0)).alias("top"),
-            F.coalesce(F.array_min(cols), F.lit(0)).alias("left"),
-            F.coalesce(F.array_max(rows) + 1, F.lit(0)).alias("bottom"),
-            F.coalesce(F.array_max(cols) + 1, F.lit(0)).alias("right"),
+            F.coalesce(least("row"), zero).alias("top"),
+            F.coalesce(least("first") - 1, zero).alias("left"),
+            F.coalesce(F.array_max(F.transform(found, lambda e: e["row"])) + 1, zero).alias("bottom"),
+            F.coalesce(width - least("from_end") + 1, zero).alias("right"),
         )
 
-    return _on(img, lambda im: let(hits(im), box))
+    return _on(img, lambda im: let(hits(im), lambda found: box(im.width, found)))
 
 
 def crop(img: Column, box: Column) -> Column:
@@ -242,15 +271,10 @@ def flip(img: Column, axis: int = 0) -> Column:
     """Turn the image upside down (axis 0) or left to right (axis 1)."""
 
     def turned(im: Column) -> Column:
-        def source(k: Column) -> Column:
-            row, col = _div(k, im.width), k % im.width
-            if axis == 0:
-                row = im.height - 1 - row
-            else:
-                col = im.width - 1 - col
-            return F.get(im.pixels, row * im.width + col)
-
-        return make_image(im.height, im.width, F.transform(_indices(im.height * im.width), source))
+        def line(r: Column) -> Column:
+            return _row(im, im.height - 1 - r) if axis == 0 else F.reverse(_row(im, r))
+
+        return make_image(im.height, im.width, F.flatten(F.transform(_indices(im.height), line)))
 
     return _on(img, turned)
 

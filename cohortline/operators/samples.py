@@ -30,7 +30,7 @@ class Action:
     """A named step that yields a list of catalog objects or one value per subject.
 
     ``fn(catalog)`` returns, for kind ``list``, one row per object with ``subject_key``, ``uri``
-    and the catalog position columns that apply; for kind ``value``, at most one row per subject
+    (its address, never null) and the catalog position columns that apply; for kind ``value``, at most one row per subject
     with ``subject_key``, ``value`` and, if the step can fail, a boolean ``error``. A value action
     that ends in an aggregate by subject is joined where it lies, without another shuffle.
     A value counts as text if its column is a string column.
@@ -210,7 +210,7 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
         # One hash aggregate for all list actions, with fixed-width buffers, combined before its shuffle.
         mine = {k: F.col("action_ordinal") == k for k in lists}
         counts = objects.groupBy("subject_key").agg(
-            *[F.count(F.when(mine[k], F.col("action_data"))).alias(f"n_{k}") for k in lists],
+            *[F.count_if(mine[k]).alias(f"n_{k}") for k in lists],
             *[F.bool_or(mine[k] & F.col("error")).alias(f"bad_{k}") for k in lists],
         )
         subjects = subjects.join(counts, "subject_key", "left")
@@ -245,8 +245,7 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
         F.array(*found_value).alias("found_value"),
         F.coalesce(*[F.when(s != OK, F.lit(k)) for k, s in enumerate(status)]).alias("first_fail"),
     )
-    kept_objects = objects.where(F.col("action_data").isNotNull() & ~F.col("error"))
-    return Samples(subjects, kept_objects, tuple(actions), strict)
+    return Samples(subjects, objects.where(~F.col("error")), tuple(actions), strict)
 
 
 def surviving(samples: Samples) -> Samples:
@@ -338,15 +337,17 @@ def nest_items(samples: Samples, chunk_size: int = 10_000) -> DataFrame:
     subject with at most ``chunk_size`` items is one row with chunk 0. A larger one continues in
     further chunks by position, so that no array grows without bound and no item is lost.
     """
-    kept = surviving(samples)
+    kept = surviving(samples).settled()
     order = ["action_ordinal", *POSITION, "action_data"]
     rest = ["source_action", "data_type", "data_label"]
-    whole = kept.only(kept.n_items() <= chunk_size).items.withColumn("chunk", F.lit(0).cast("bigint"))
-    long = ordered_position(kept.only(kept.n_items() > chunk_size).items, ["subject_key"], order)
-    pieces = long.withColumn("chunk", F.floor((F.col("position") - 1) / chunk_size)).drop("position")
+    listed = kept.only(kept.n_items() <= chunk_size).items.withColumn("chunk", F.lit(0).cast("bigint"))
+    larger = kept.only(kept.n_items() > chunk_size)
+    if not larger.subjects.isEmpty():
+        placed = ordered_position(larger.items, ["subject_key"], order)
+        chunk = F.floor((F.col("position") - 1) / chunk_size)
+        listed = listed.unionByName(placed.withColumn("chunk", chunk).drop("position"))
     groups = (
-        whole.unionByName(pieces)
-        .groupBy("subject_key", "chunk")
+        listed.groupBy("subject_key", "chunk")
         .agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias("found"))
     )
     heads = kept.subjects.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LABEL = "label"
@@ -39,50 +39,58 @@ def weights_of_counts(counts: DataFrame, by: Sequence[str] = (), label: str = "l
     )
 
 
+def _stat_row(split: Column, stat: str, key: Column, value: Column) -> Column:
+    return F.struct(
+        split.cast("string").alias("split"),
+        F.lit(stat).alias("stat"),
+        key.cast("string").alias("key"),
+        value.cast("double").alias("value"),
+    )
+
+
+def _cohort_counts(subjects: DataFrame) -> DataFrame:
+    """Patients (0 if there are none), samples per split and labels per split, counted in one pass."""
+    none, one = F.lit(None), F.lit(1)
+    facts = F.concat(
+        F.array(_stat_row(none, "N_patients", none, one), _stat_row(F.col("split"), "n_samples", none, one)),
+        F.transform("labels", lambda label: _stat_row(F.col("split"), "N", label, one)),
+    )
+    nobody = subjects.sparkSession.range(1).select(
+        F.inline(F.array(_stat_row(none, "N_patients", none, F.lit(0))))
+    )
+    rows = subjects.select(F.inline(facts)).unionByName(nobody)
+    return rows.groupBy("split", "stat", "key").agg(F.sum("value").alias("value"))
+
+
+def _with_class_weights(counts: DataFrame) -> DataFrame:
+    """Add a ``class_weights`` row to each label count; the window sees one row per split and class."""
+    group = Window.partitionBy("split", "stat")
+    known = (F.col("stat") == "N") & F.col("key").isNotNull()
+    weight = F.sum("value").over(group) / (F.count(F.lit(1)).over(group) * F.col("value"))
+    both = F.array(
+        _stat_row(F.col("split"), "N", F.col("key"), F.col("value")),
+        _stat_row(F.col("split"), "class_weights", F.col("key"), F.col("weight")),
+    )
+    same = F.array(F.struct("split", "stat", "key", "value"))
+    return counts.withColumn("weight", weight).select(F.inline(F.when(known, both).otherwise(same)))
+
+
 def dataset_stats(subjects: DataFrame) -> DataFrame:
     """Statistics per split in long form ``(split, stat, key, value)``.
 
     ``subjects`` has one row per subject with its ``split`` and its ``labels`` (an array, mostly of
     one label). Stats are ``n_samples``, ``N`` (count of a label) and ``class_weights``.
-    All come from one count per split and label list, taken in one pass.
     """
-    lists = subjects.groupBy("split", "labels").agg(F.count(F.lit(1)).alias("n"))
-    sizes = lists.groupBy("split").agg(F.sum("n").alias("n"))
-    counts = (
-        lists.select("split", F.explode("labels").alias("label"), "n")
-        .groupBy("split", "label")
-        .agg(F.sum("n").alias("n_class"))
-    )
-    per_split = sizes.select(
-        "split",
-        F.lit("n_samples").alias("stat"),
-        F.lit(None).cast("string").alias("key"),
-        F.col("n").cast("double").alias("value"),
-    )
-    facts = F.inline(
-        F.array(
-            F.struct(F.lit("N").alias("stat"), F.col("n_class").cast("double").alias("value")),
-            F.struct(F.lit("class_weights").alias("stat"), F.col("weight").alias("value")),
-        )
-    )
-    per_class = weights_of_counts(counts, ["split"]).select("split", F.col("label").cast("string").alias("key"), facts)
-    return per_split.unionByName(per_class)
+    return _with_class_weights(_cohort_counts(subjects)).where(F.col("stat") != "N_patients")
 
 
 def data_manifest(subjects: DataFrame, label_dict: Mapping[str, int | None]) -> DataFrame:
     """Patient total, statistics of the splits and the label dictionary, in the same long form."""
-    stats = dataset_stats(subjects)
-    nothing = F.lit(None).cast("string")
-    total = (
-        stats.where(F.col("stat") == "n_samples")
-        .agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("value"))
-        .select(nothing.alias("split"), F.lit("N_patients").alias("stat"), nothing.alias("key"), "value")
-    )
     names = subjects.sparkSession.createDataFrame(
         [(None, "labels", k, None if v is None else float(v)) for k, v in label_dict.items()],
         "split string, stat string, key string, value double",
     )
-    return total.unionByName(stats).unionByName(names)
+    return _with_class_weights(_cohort_counts(subjects)).unionByName(names)
 
 
 def nested_manifest(manifest: DataFrame) -> DataFrame:
