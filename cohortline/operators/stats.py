@@ -170,20 +170,21 @@ def dataset_profile(df: DataFrame, columns: Sequence[str] | None = None, approx:
 
 def label_bias(df: DataFrame, attribute: str, label: str = "label") -> DataFrame:
     """How labels spread over an attribute: counts, share inside the attribute value, and the
-    difference from the share over all rows."""
+    difference from the share over all rows.
+
+    Windows see one row per attribute value and label; the overall shares are one row per label.
+    """
     counts = df.groupBy(attribute, label).agg(F.count(F.lit(1)).alias("n"))
-    inside, same, everything = (
-        Window.partitionBy(attribute),
-        Window.partitionBy(label),
-        Window.partitionBy(F.lit(0)),
+    labels = counts.groupBy(label).agg(F.sum("n").alias("n_label"))
+    overall = labels.select(
+        F.col(label).alias("overall_label"),
+        (F.col("n_label") / F.sum("n_label").over(Window.partitionBy(F.lit(0)))).alias("overall"),
     )
-    share = F.col("n") / F.sum("n").over(inside)
-    return counts.select(
-        attribute,
-        label,
-        "n",
-        share.alias("share"),
-        (share - F.sum("n").over(same) / F.sum("n").over(everything)).alias("bias"),
+    share = F.col("n") / F.sum("n").over(Window.partitionBy(attribute))
+    return (
+        counts.withColumn("share", share)
+        .join(overall, F.col(label).eqNullSafe(F.col("overall_label")))
+        .select(attribute, label, "n", "share", (F.col("share") - F.col("overall")).alias("bias"))
     )
 
 

@@ -74,8 +74,9 @@ def run_cohort(
 
     Everything up to the statistics needs one row per subject, so no image item is ever shuffled.
     """
-    chosen = catalog.with_subjects(bounded_sample(catalog.subjects, test_batch, seed))
-    built = build_samples(chosen, actions, on_failure)
+    if test_batch > 0:
+        catalog = catalog.with_subjects(bounded_sample(catalog.subjects, test_batch, seed))
+    built = build_samples(catalog, actions, on_failure)
     valid = validate_samples(complete_samples(built), required)
     labels = F.transform(valid.values_of("label"), lambda v: v.try_cast("bigint"))
     subjects = valid.subjects.select("subject_key", "subject_id", "subject_uri", labels.alias("labels"))

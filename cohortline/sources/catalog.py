@@ -35,8 +35,10 @@ class Catalog:
     resources: DataFrame | None = None
 
     def with_subjects(self, subjects: DataFrame) -> Catalog:
-        """The same catalog for other subjects, such as a sample taken before any join."""
-        return replace(self, subjects=subjects)
+        """The catalog of some subjects, such as a sample: the experiments of others leave before
+        any scan is joined."""
+        mine = self.experiments.join(subjects.select("subject_key"), "subject_key", "left_semi")
+        return replace(self, subjects=subjects, experiments=mine)
 
 
 def read_catalog(spark: SparkSession, path: str, projects: Iterable[str] | None = None) -> Catalog:

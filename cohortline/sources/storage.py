@@ -12,7 +12,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder the cluster names; a local one is made only where the session names none."""
-    named = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_DIR, None)
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
@@ -26,9 +26,11 @@ def settle(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder once and read them back.
 
     The result survives lost executors, is computed once (``checkpoint()`` computes twice), and
-    values that depend on partitioning, such as a partition number, no longer change.
+    values that depend on partitioning, such as a partition number, no longer change. Tables lie
+    under the application id, so those of a finished application can be removed together.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/settled/{spark.sparkContext.applicationId}"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

