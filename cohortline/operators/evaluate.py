@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classes import argmax, log_probability, softmax
-from .ranks import running_totals
+from .ranks import first_rows, running_totals
 
 
 def with_prediction(preds: DataFrame) -> DataFrame:
@@ -319,24 +319,17 @@ def meets_thresholds(rates: DataFrame, limits: dict[str, tuple[str, float]]) ->
 
 
 def best_checkpoint(metric_log: DataFrame, monitor: str = "val_loss", mode: str = "min", k: int = 1) -> DataFrame:
-    """The ``k`` best epochs of each run by the monitored metric; the earlier epoch wins a tie.
-
-    Spark keeps only the first ``k`` rows of each run on the map side before the shuffle.
-    """
+    """The ``k`` best epochs of each run by the monitored metric; the earlier epoch wins a tie."""
     if mode not in ("min", "max"):
         raise ValueError("mode is 'min' or 'max'")
     value = F.col("value").asc() if mode == "min" else F.col("value").desc()
     seen = metric_log.where((F.col("metric") == monitor) & F.col("value").isNotNull())
-    place = F.row_number().over(Window.partitionBy("run_id").orderBy(value, "epoch"))
-    return (
-        seen.withColumn("place", place)
-        .where(F.col("place") <= k)
-        .select(
-            "run_id",
-            F.lit(monitor).alias("monitored_metric"),
-            F.col("value").alias("metric_value"),
-            F.lit(mode).alias("mode"),
-            "epoch",
-            "place",
-        )
+    best = first_rows(seen.select("run_id", "value", "epoch"), ["run_id"], [value, F.col("epoch").asc()], k)
+    return best.select(
+        "run_id",
+        F.lit(monitor).alias("monitored_metric"),
+        F.col("value").alias("metric_value"),
+        F.lit(mode).alias("mode"),
+        "epoch",
+        "place",
     )

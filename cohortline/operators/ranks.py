@@ -22,6 +22,10 @@ from ..sources.storage import settle
 
 BUCKET_DIGITS = 3
 
+#: Spark limits row numbers before the shuffle below this many rows (its default threshold).
+MAP_SIDE_LIMIT = 1000
+SALTS = 64
+
 
 def hash_rank(
     df: DataFrame,
@@ -86,6 +90,28 @@ def hash_thresholds(
     )
 
 
+def first_rows(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, name: str = "place"
+) -> DataFrame:
+    """The first ``k`` rows of each group with their 1-based place.
+
+    For a small ``k`` Spark itself drops the later rows of a group before the shuffle. For a large one
+    the group is first cut into salts, each of which keeps its first ``k`` rows, so a group of any
+    size is spread and only salts * k of its rows meet.
+    """
+    if k >= MAP_SIDE_LIMIT:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SALTS))
+        salted = Window.partitionBy(*group, "salt").orderBy(*order)
+        df = (
+            df.withColumn("salt", salt)
+            .withColumn(name, F.row_number().over(salted))
+            .where(F.col(name) <= k)
+            .drop("salt", name)
+        )
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return df.withColumn(name, place).where(F.col(name) <= k)
+
+
 def range_pieces(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows with a ``piece`` number that rises with (group, order), written once.
 

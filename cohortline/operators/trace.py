@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import stable_hash
 from .joins import keep_both, keep_left
+from .ranks import first_rows
 
 # Texts shown where a third-party component leaves a field out.
 NO_MANUFACTURER = (
@@ -333,13 +334,9 @@ def anomaly_review_list(anomalies: DataFrame, limit: int = 100, seed: object = 4
     """
     used = F.coalesce("portion_used", F.lit(False))
     ready = anomalies.withColumn("review_class", F.when(used, 1).otherwise(2))
-    order = Window.partitionBy("component").orderBy(
-        "review_class", stable_hash(seed, "component", "anomaly_id"), "anomaly_id"
-    )
-    # A component with no more than ``limit`` of them keeps all, so no count is needed; and only the
-    # first rows of each component leave the map side.
-    open_ones = ready.where(F.col("priority").isNull()).withColumn("place", F.row_number().over(order))
-    sampled = open_ones.where(F.col("place") <= limit).drop("place")
+    order = [F.col("review_class"), stable_hash(seed, "component", "anomaly_id"), F.col("anomaly_id")]
+    # A component with no more than ``limit`` of them keeps all, so no count is needed.
+    sampled = first_rows(ready.where(F.col("priority").isNull()), ["component"], order, limit).drop("place")
     return ready.where(F.col("priority").isNotNull()).unionByName(sampled)
 
 

@@ -62,3 +62,18 @@ def test_thresholds(spark):
     got = {r.cut: r.id for r in ranks.hash_thresholds(df, "h", "id", {"a": F.lit(1), "b": F.col("n"), "none": F.lit(0)}).collect()}
     order = [r.id for r in df.orderBy("h").collect()]
     assert got == {"a": order[0], "b": order[-1]}
+
+
+@pytest.mark.parametrize("k", [1, 3, 1000])
+def test_first_rows_with_and_without_salts(numbers, monkeypatch, k):
+    data, df = numbers
+    order = [F.col("v").desc(), F.col("k").asc()]
+    expected = {}
+    for g, key, v in sorted(data, key=lambda r: (r[0], -r[2], r[1])):
+        expected.setdefault(g, []).append(key)
+    want = sorted((g, i + 1, key) for g, keys in expected.items() for i, key in enumerate(keys[:k]))
+    assert rows(ranks.first_rows(df, ["g"], order, k).select("g", "place", "k")) == want
+    monkeypatch.setattr(ranks, "MAP_SIDE_LIMIT", 1)
+    salted = ranks.first_rows(df, ["g"], order, k)
+    assert salted.columns == ["g", "k", "v", "place"]
+    assert rows(salted.select("g", "place", "k")) == want
