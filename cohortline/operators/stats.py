@@ -102,13 +102,17 @@ def nested_manifest(manifest: DataFrame) -> DataFrame:
     def split(name: str):
         mine = F.col("split") == name
         return F.struct(
-            F.max(F.when(mine & (F.col("stat") == "n_samples"), F.col("value"))).cast("bigint").alias("n_samples"),
+            F.max(F.when(mine & (F.col("stat") == "n_samples"), F.col("value")))
+            .cast("bigint")
+            .alias("n_samples"),
             F.map_from_entries(
                 F.array_sort(
                     F.collect_list(
                         F.when(
                             mine & (F.col("stat") == "N"),
-                            F.struct(F.concat(F.lit("N_"), "key").alias("key"), F.col("value").cast("bigint").alias("value")),
+                            F.struct(
+                                F.concat(F.lit("N_"), "key").alias("key"), F.col("value").cast("bigint").alias("value")
+                            ),
                         )
                     )
                 )

@@ -111,9 +111,8 @@ def review_check(changes: DataFrame) -> DataFrame:
     finding = F.when(F.size(reviewers) == 0, "not approved").when(
         ~F.coalesce(independent, F.lit(False)), "approved by authors only"
     )
-    return (
-        changes.withColumn("n_approvals", F.size(reviewers)).withColumn("finding", finding).where(F.col("finding").isNotNull())
-    )
+    checked = changes.withColumn("n_approvals", F.size(reviewers)).withColumn("finding", finding)
+    return checked.where(F.col("finding").isNotNull())
 
 
 CHECK_ITEM = r"- \[([ x])\] ([^\n]*)"

@@ -155,6 +155,10 @@ def line_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _no_approvals() -> Column:
+    return F.array().cast("array<struct<id:string,reviewer:struct<name:string,id:string>,content:string>>")
+
+
 def _person(name: Column, key: Column) -> Column:
     return F.struct(name.alias("name"), key.cast("string").alias("id"))
 
@@ -171,7 +175,7 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("id"),
         F.array(me).alias("authors"),
-        F.when(F.col("s_acctbal") < 0, F.array().cast("array<struct<id:string,reviewer:struct<name:string,id:string>,content:string>>"))
+        F.when(F.col("s_acctbal") < 0, _no_approvals())
         .when(F.col("s_acctbal") > 9000, F.array(approval(me)))
         .otherwise(F.array(approval(me), approval(other)))
         .alias("approvals"),
@@ -191,7 +195,7 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.array(author).alias("authors"),
-        F.when(F.col("o_totalprice") < 50000, F.array().cast("array<struct<id:string,reviewer:struct<name:string,id:string>,content:string>>"))
+        F.when(F.col("o_totalprice") < 50000, _no_approvals())
         .when(F.col("o_totalprice") > 450000, F.array(own))
         .otherwise(F.array(approval))
         .alias("approvals"),
