@@ -18,7 +18,9 @@ from ..sources.catalog import Catalog
 from ..sources.storage import settle
 from .ranks import ordered_position
 
+# Kinds of item data, as they appear in results.
 URI, VALUE = "xnat_uri", "value"
+
 OK, MISSING, ERROR = "ok", "missing", "error"
 LIST_ACTION, VALUE_ACTION = "list", "value"
 
