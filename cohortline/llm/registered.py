@@ -5,13 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read
+from .pattern_packing import place_pieces, token_pieces
 from .quality import quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of at most 1024 tokens."""
+    pieces = token_pieces(read(spark, sf_dir, "documents"))
+    # The digest is taken before the pieces meet their places, so that ids are not shuffled.
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return place_pieces(digests).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and the weakly supervised verdict of every document."""
     judged = quality(read(spark, sf_dir, "documents"))
@@ -21,6 +33,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_pattern_packing": op4_pattern_packing,
     "op8_quality": op8_quality,
 }
 
