@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import read
 from .pattern_packing import place_pieces, token_pieces
 from .quality import quality
+from .simhash import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,11 @@ def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return near_groups(read(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and the weakly supervised verdict of every document."""
     judged = quality(read(spark, sf_dir, "documents"))
@@ -34,6 +40,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_pattern_packing": op4_pattern_packing,
+    "op6_simhash": op6_simhash,
     "op8_quality": op8_quality,
 }
 
