@@ -12,6 +12,7 @@ from .common import read
 from .pattern_packing import place_pieces, token_pieces
 from .quality import quality
 from .simhash import near_groups
+from .warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,24 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it comes back from the archives and their merged index."""
+    return archive_pages(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP7_SQL = """
+WITH digests AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS digest, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS least FROM digests)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to
+FROM firsts
+"""
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and the weakly supervised verdict of every document."""
     judged = quality(read(spark, sf_dir, "documents"))
@@ -90,10 +109,12 @@ FROM written GROUP BY conv_id
 QUERIES: dict[str, Query] = {
     "op4_pattern_packing": op4_pattern_packing,
     "op6_simhash": op6_simhash,
+    "op7_warc": op7_warc,
     "op8_quality": op8_quality,
     "op10_chat": op10_chat,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_warc": OP7_SQL,
     "op10_chat": OP10_SQL,
 }
