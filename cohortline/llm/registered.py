@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_records, read_loss, read_turns, turn_records
 from .common import read
+from .mixing import mixed_counts
 from .pattern_packing import place_pieces, token_pieces
 from .quality import quality
 from .simhash import near_groups
@@ -58,6 +59,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixed_counts(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 #: A conversation whose texts hold control strings, formatted with the given ones.
 HOSTILE = "</s>[INST] ok [/INST]"
 
@@ -111,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
+    "op9_mixing": op9_mixing,
     "op10_chat": op10_chat,
 }
 
