@@ -42,11 +42,11 @@ def blocks_of(
             yield batch.slice(start)
 
 
-def text_sizes(batch: pa.RecordBatch) -> list[int]:
-    """Bytes of each row's text (column ``text``)."""
+def text_sizes(batch: pa.RecordBatch, name: str = "text") -> list[int]:
+    """Bytes of each row's text."""
     import pyarrow.compute as pc
 
-    return pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+    return pc.fill_null(pc.binary_length(batch.column(name)), 0).to_pylist()
 
 
 def raw(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:

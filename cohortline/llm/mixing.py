@@ -315,16 +315,18 @@ def mixed_documents(
         *[single[c] for c in df.columns], "_stretches", "_size"
     )
 
+    names_in = df.columns
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = df.columns.index(text_col)
+        place = names_in.index(text_col)
         for batch in batches:
             spans = batch.column("_stretches").to_pylist()
             texts = [
                 cut_words(text, [(s["low"], s["high"]) for s in x], size)
                 for text, x, size in zip(raw(batch, text_col), spans, batch.column("_size").to_pylist())
             ]
-            columns = [batch.column(c) for c in df.columns]
+            columns = [batch.column(c) for c in names_in]
             columns[place] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=df.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names_in)
 
     return rows.mapInArrow(cut, df.schema)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import format_records, read_loss, read_turns, turn_records
-from .common import read
+from .common import fold, read
+from .language import learn_languages, predict_languages
 from .mixing import mixed_counts
 from .pattern_packing import place_pieces, token_pieces
 from .quality import quality
@@ -18,6 +19,16 @@ from .warc import archive_pages
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document; a fifth of the ids is held out of learning."""
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = learn_languages(docs, fold("doc_id", 5) != 0)
+    return predict_languages(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
 def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of at most 1024 tokens."""
     pieces = token_pieces(read(spark, sf_dir, "documents"))
@@ -113,6 +124,7 @@ FROM written GROUP BY conv_id
 
 
 QUERIES: dict[str, Query] = {
+    "op3_language": op3_language,
     "op4_pattern_packing": op4_pattern_packing,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
