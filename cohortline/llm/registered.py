@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_records, read_loss, read_turns, turn_records
 from .common import fold, read
+from .kdtree import top_k
 from .language import learn_languages, predict_languages
 from .mixing import mixed_counts
 from .pattern_packing import place_pieces, token_pieces
@@ -19,6 +20,24 @@ from .warc import archive_pages
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector with all others."""
+    return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP2_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document; a fifth of the ids is held out of learning."""
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
@@ -124,6 +143,7 @@ FROM written GROUP BY conv_id
 
 
 QUERIES: dict[str, Query] = {
+    "op2_kdtree": op2_kdtree,
     "op3_language": op3_language,
     "op4_pattern_packing": op4_pattern_packing,
     "op6_simhash": op6_simhash,
@@ -134,6 +154,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_kdtree": OP2_SQL,
     "op7_warc": OP7_SQL,
     "op10_chat": OP10_SQL,
 }
