@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_records, read_loss, read_turns, turn_records
 from .common import fold, read
+from .hidden_markov import score_texts
 from .kdtree import top_k
 from .language import learn_languages, predict_languages
 from .mixing import mixed_counts
@@ -20,6 +21,15 @@ from .warc import archive_pages
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and hidden Markov scores of every document; a seventh of the ids is held out of learning."""
+    held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
+    scores = score_texts(read(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op2_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five largest inner products of every fiftieth vector with all others."""
     return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -143,6 +153,7 @@ FROM written GROUP BY conv_id
 
 
 QUERIES: dict[str, Query] = {
+    "op1_hidden_markov": op1_hidden_markov,
     "op2_kdtree": op2_kdtree,
     "op3_language": op3_language,
     "op4_pattern_packing": op4_pattern_packing,
