@@ -16,6 +16,7 @@ from .mixing import mixed_counts
 from .pattern_packing import place_pieces, token_pieces
 from .quality import quality
 from .simhash import near_groups
+from .token_matrix import matrix_pieces, pack_matrix
 from .warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,21 @@ def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document as it is read back from the written id matrix."""
+    pieces = matrix_pieces(pack_matrix(read(spark, sf_dir, "documents")))
+    return pieces.select(
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        "sequence_id",
+        "offset",
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32("positions").alias("positions_crc32"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return near_groups(read(spark, sf_dir, "documents"))
@@ -157,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "op2_kdtree": op2_kdtree,
     "op3_language": op3_language,
     "op4_pattern_packing": op4_pattern_packing,
+    "op5_token_matrix": op5_token_matrix,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
