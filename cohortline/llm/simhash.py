@@ -14,6 +14,14 @@ A key shared by more than ``BUCKET`` different fingerprints (a large group of ne
 members go by an exact other way: each is linked to its 64 one-bit neighbours and itself, and two fingerprints
 are within two bits exactly if they share one of these; the smallest member of each stands for the rest.
 
+``similar_groups`` finds near copies by another measure, the Jaccard similarity of sets of five-word shingles, at 0.8 or more. Edits
+to such copies change about ten of a whole text's 64 bits, too many for keys, so the set is dealt by shingle hash into parts of about
+``PART_SHINGLES`` shingles, some of which stay untouched and keep their fingerprint. Texts that share a part's fingerprint are candidates,
+each with the part's smallest text and with the one before it in order, never all pairs of a group. Pivot distances of the whole
+fingerprints discard candidates by their largest coordinate difference, and the shingle sets verify the survivors. Of a text's parts
+``PARTS`` are looked at: at similarity 0.8 a part of five shingles is untouched with probability 0.3, and of 24 parts none
+with probability below 0.001.
+
 Null and empty texts have fingerprint zero and link like any other. Ties in bit counts leave the bit 0. Equal texts,
 repeated rows and repeated ids share one fingerprint and one component. A null id is no component's name unless all
 its ids are null. Very long texts are hashed whole. An empty table gives no rows. Columns other
@@ -27,7 +35,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import settle
@@ -41,6 +49,14 @@ BLOCK_BYTES = 4 << 20
 BUCKET = 64
 N_RANDOM_PIVOTS = 16
 
+#: For ``similar_groups``: words of a shingle, the least similarity, shingles in a part, and parts looked at.
+SET_WORDS = 5
+SIMILARITY = 0.8
+PART_SHINGLES = 5
+PARTS = 24
+#: At similarity 0.8 whole fingerprints differ by about ten bits; beyond this many, candidates are discarded.
+FAR_BITS = 24
+
 
 def shingle_hashes(data: bytes, words_in: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
     """XXH64 of every shingle of a text, repeats included; of the whole sequence, if there are fewer words."""
@@ -208,3 +224,114 @@ def near_groups(
     return docs.join(named, "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def part_fingerprints(hashes: np.ndarray) -> list[tuple[int, int]]:
+    """(key, fingerprint) of parts of a set of shingle hashes.
+
+    The number of parts is a power of two, so that copies of somewhat different size agree on it; near a limit both
+    powers are used.
+    """
+    n = len(hashes)
+    if not n:
+        return [(0, 0)]
+    exact = np.log2(max(1.0, n / PART_SHINGLES))
+    levels = {max(0, int(np.floor(exact - 0.17))), max(0, int(np.floor(exact + 0.17)))}
+    out = []
+    for level in sorted(levels):
+        # High bits deal the parts; a text's fingerprint bits come from all of them.
+        part = (hashes >> np.uint64(64 - level)).astype(np.int64) if level else np.zeros(n, np.int64)
+        for p in range(min(PARTS, 1 << level)):
+            mine = hashes[part == p]
+            if len(mine):
+                out.append((level << 32 | p, majority(mine)))
+    return out
+
+
+def shingle_sets(df: DataFrame, words_in: int = SET_WORDS) -> DataFrame:
+    """Per text (doc_id, text): fp of its set of shingles, the set as ``hashes``, and its ``parts`` as keys."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
+            sets = [np.unique(shingle_hashes(x, words_in)) for x in raw(block)]
+            parts = [[hash_pair(*x) for x in part_fingerprints(own)] for own in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    block.column("node"),
+                    pa.array([majority(x) for x in sets], pa.int64()),
+                    pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
+                    pa.array(parts, pa.list_(pa.int64())),
+                ],
+                names=["node", "fp", "hashes", "parts"],
+            )
+
+    return df.mapInArrow(hashed, "node bigint, fp bigint, hashes array<bigint>, parts array<bigint>")
+
+
+def hash_pair(part: int, fp: int) -> int:
+    """One 64-bit key of a part's number and fingerprint."""
+    from xxhash import xxh64_intdigest
+
+    return signed(xxh64_intdigest(part.to_bytes(8, "little") + fp.to_bytes(8, "little", signed=True)))
+
+
+def similar_groups(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in: int = SET_WORDS, similarity: float = SIMILARITY
+) -> DataFrame:
+    """doc_id, text_hash (of the text with ASCII letters lower case), ``component_id`` (smallest id of the near copies) per row.
+
+    Texts with equal hash are one text from the start, so a large group of exact copies is one row.
+    """
+    docs = id_and_text(df, id_col, text_col)
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    named = docs.withColumn("node", F.xxhash64(lower))
+    ids = settle(named.groupBy("node").agg(F.min("doc_id").alias("least_id")))
+    # Hashing all texts costs less than shuffling them to find the different ones; equal nodes give equal rows.
+    sets = settle(shingle_sets(named.select("node", "text"), words_in))
+    entries = settle(sets.select("node", F.explode("parts").alias("key")).distinct())
+    least = entries.groupBy("key").agg(F.min("node").alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = settle(entries.join(least, "key"))
+    to_least = shared.where("node <> other").select("node", "other")
+    in_order = Window.partitionBy("key").orderBy("node")
+    to_last = shared.select("node", F.lag("node").over(in_order).alias("other")).where("other IS NOT NULL")
+    pairs = settle(to_least.unionByName(to_last).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    # Sets only of texts that have a candidate, once per text.
+    own = sets.join(wanted, "node", "left_semi")
+    single = Window.partitionBy("node").orderBy(F.lit(0))
+    own = own.withColumn("n", F.row_number().over(single)).where("n = 1").select("node", "fp", "hashes")
+    far = pivot_table(own.select("fp").distinct()).select("fp", "far")
+    tabled = settle(own.join(far, "fp"))
+    left = tabled.select(F.col("node").alias("a"), F.col("hashes").alias("a_hashes"), F.col("far").alias("a_far"))
+    right = tabled.select(F.col("node").alias("b"), F.col("hashes").alias("b_hashes"), F.col("far").alias("b_far"))
+    widest = F.array_max(F.zip_with("a_far", "b_far", lambda x, y: F.abs(x - y)))
+    both = F.size(F.array_intersect("a_hashes", "b_hashes"))
+    close = (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .where(widest <= FAR_BITS)
+        .where(both >= similarity * (F.size("a_hashes") + F.size("b_hashes") - both))
+        .select("a", "b")
+    )
+    found = components(close)
+    roots = found.select("root").distinct().select(F.col("root").alias("node"), "root")
+    rooted = found.select("node", "root").unionByName(roots).join(ids, "node")
+    smallest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    linked = rooted.join(smallest, "root").select("node", "component_id")
+    components_of = ids.join(linked, "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id"))
+    return named.select("doc_id", "node").join(components_of, "node", "left").select("doc_id", F.col("node").alias("text_hash"), "component_id")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` without near copies: of each group the row with the smallest id stays, and of repeated rows with
+    that id one."""
+    groups = similar_groups(df, id_col, text_col)
+    lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    # A component is named by its smallest id: that row stays (a null id only where all ids are null).
+    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")
+    ).distinct()
+    marked = df.withColumn("_hash", F.xxhash64(lower))
+    kept = marked.join(stays, marked[id_col].eqNullSafe(stays["_kept_id"]) & (marked["_hash"] == stays["_kept_hash"]), "left_semi")
+    first = Window.partitionBy("_hash", id_col).orderBy(F.lit(0))
+    return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*df.columns)
