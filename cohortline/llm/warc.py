@@ -1,10 +1,10 @@
 """WARC archives and a merged capture index (operator 7).
 
 Writing: Spark's text writer with the record terminator as line separator makes real WARC 1.1 files on any storage
-Spark can write to. Of records with equal payloads of at least ``REVISIT_BYTES`` bytes the one with the smallest page id is
+Spark can write to, each file one gzip stream. Of records with equal payloads of at least ``REVISIT_BYTES`` bytes the one with the smallest page id is
 a response, the others are revisits without payload.
 
-Reading: files are read whole (their number keeps them near ``FILE_BYTES``), records are cut by Content-Length and
+Reading: files are read whole (a limit on their records keeps them near ``FILE_BYTES`` before compression), records are cut by Content-Length and
 digests are checked. Each file's captures, sorted by URL key, timestamp and page id, are a run. Runs are cut
 into ranges by Spark, and in each range the k runs meet in a loser tree, whose winners come out in global order with
 their place in the capture history of their URL. The range also contains the page id, so that even one
@@ -17,6 +17,7 @@ timestamp go by page id. An empty table gives no rows. Columns other than the na
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import math
 import uuid
@@ -95,11 +96,11 @@ def write_archives(
     html_col: str = "html",
     time: Column | None = None,
 ) -> str:
-    """Write the pages as WARC files under ``path``; returns the path."""
-    size = pages.agg(F.sum(F.octet_length(html_col) + 400)).first()[0] or 0
-    rows = decided(pages, id_col, url_col, html_col, time)
-    files = max(1, math.ceil(size / FILE_BYTES))
-    record_text(rows).repartition(files).write.option("lineSep", CRLF + CRLF).text(path)
+    """Write the pages as WARC files under ``path``; returns the path. The html is shuffled once, to meet its copies."""
+    size, rows = pages.agg(F.sum(F.coalesce(F.octet_length(html_col), F.lit(0)) + 400), F.count(F.lit(1))).first()
+    most = max(1, int(FILE_BYTES * rows / max(1, size or 0)))
+    records = record_text(decided(pages, id_col, url_col, html_col, time))
+    records.write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", most).text(path, compression="gzip")
     return path
 
 
@@ -115,7 +116,7 @@ def url_key(url: str) -> str:
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], int, bytes]]:
-    """Headers, position and block of each record of an archive."""
+    """Headers, position (before compression) and block of each record of an archive."""
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
@@ -142,6 +143,7 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
         for batch in batches:
             for i in range(batch.num_rows):
                 name, data = batch.column("path")[i].as_py(), raw(batch.slice(i, 1), "content")[0]
+                data = gzip.decompress(data) if name.endswith(".gz") else data
                 found = []
                 for h, at, block in parse_records(data):
                     digest = h["WARC-Payload-Digest"].removeprefix("sha256:")
