@@ -92,19 +92,26 @@ def counts_of(data: bytes) -> tuple[int, ...]:
     )
 
 
-def quality_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document with its counts; one pass, no shuffle."""
+def with_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows with their counts; one pass, no shuffle."""
+    names_in = df.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
-            found = np.array([counts_of(x) for x in raw(block)], np.int64).reshape(-1, len(COUNTS))
+        for block in blocks_of(batches, lambda b: text_sizes(b, "_text"), BLOCK_BYTES):
+            found = np.array([counts_of(x) for x in raw(block, "_text")], np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), *map(pa.array, found.T)], names=["doc_id", *COUNTS]
+                [*[block.column(c) for c in names_in], *map(pa.array, found.T)], names=[*names_in, *COUNTS]
             )
 
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    given = df.withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
+    return given.mapInArrow(count, f"{fields}, " + ", ".join(f"{c} bigint" for c in COUNTS))
+
+
+def quality_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document with its counts."""
     docs = id_and_text(df, id_col, text_col)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(count, f"doc_id {kind}, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    return with_counts(docs).drop("text")
 
 
 def votes(counts: DataFrame) -> DataFrame:
@@ -159,17 +166,29 @@ def pattern_table(voted: DataFrame) -> dict[int, int]:
     return {r["pattern"]: r["n"] for r in voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """One row per document: its counts, base_failed, the posterior ``quality`` and ``kept``."""
-    voted = settle(votes(quality_counts(df, id_col, text_col)))
-    spark = df.sparkSession
-    fitted = fit_votes(pattern_table(voted))
+def judged(voted: DataFrame, fitted: dict[int, float], threshold: float = 0.5) -> DataFrame:
+    """The rows with base_failed, the posterior ``quality`` of their pattern, and ``kept``."""
     rows = [(k, float(v)) for k, v in fitted.items()]
     # At most 3**rules rows.
-    posterior = F.broadcast(spark.createDataFrame(rows, "pattern int, quality double"))
+    posterior = F.broadcast(voted.sparkSession.createDataFrame(rows, "pattern int, quality double"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (
         voted.join(posterior, "pattern", "left")
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("quality") >= threshold))
     )
+
+
+def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """One row per document: its counts, base_failed, the posterior ``quality`` and ``kept``."""
+    voted = settle(votes(quality_counts(df, id_col, text_col)))
+    return judged(voted, fit_votes(pattern_table(voted)), threshold)
+
+
+def keep_good(df: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``df`` that are kept. The texts are counted twice, so that they are neither shuffled nor written."""
+    fitted = fit_votes(pattern_table(votes(with_counts(df.select(text_col), text_col))))
+    names = {c: f"_{i}" for i, c in enumerate(df.columns)}
+    own = df.select(*[F.col(c).alias(n) for c, n in names.items()])
+    verdict = judged(votes(with_counts(own, names[text_col])), fitted, threshold)
+    return verdict.where("kept").select(*[F.col(n).alias(c) for c, n in names.items()])
