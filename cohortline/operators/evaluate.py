@@ -37,12 +37,20 @@ def confusion_counts(preds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def confusion_matrix(preds: DataFrame, n_classes: int) -> DataFrame:
-    """Dense n_classes x n_classes counts, truth by prediction, zeros included."""
+    """Dense n_classes x n_classes counts, truth by prediction, zeros included.
+
+    Predictions whose truth or predicted class is null or outside the classes are counted in one more row, with null
+    in both, so the counts always add up to the predictions.
+    """
     cells = preds.sparkSession.range(n_classes * n_classes).select(
         F.floor(F.col("id") / n_classes).cast("int").alias("y"), (F.col("id") % n_classes).cast("int").alias("pred")
     )
-    counts = confusion_counts(preds).select(F.col("y").cast("int").alias("y"), "pred", "n")
-    return cells.join(counts, ["y", "pred"], "left").select("y", "pred", F.coalesce("n", F.lit(0)).alias("n"))
+    inside = F.col("y").between(0, n_classes - 1) & F.col("pred").between(0, n_classes - 1)
+    counts = confusion_counts(preds).select(F.col("y").cast("int").alias("y"), "pred", "n", F.coalesce(inside, F.lit(False)).alias("inside"))
+    dense = cells.join(counts.where("inside"), ["y", "pred"], "left")
+    none = F.lit(None).cast("int")
+    outside = counts.where("NOT inside").agg(F.sum("n").alias("n")).where("n > 0").select(none.alias("y"), none.alias("pred"), "n")
+    return dense.select("y", "pred", F.coalesce("n", F.lit(0)).alias("n")).unionByName(outside)
 
 
 def class_counts(preds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -224,16 +232,18 @@ def auroc(preds: DataFrame, average: str = "macro") -> DataFrame:
     raise ValueError("average is 'macro' or 'weighted'")
 
 
-def roc_curve(preds: DataFrame, positive: int = 1, drop_intermediate: bool = False) -> DataFrame:
+def roc_curve(preds: DataFrame, positive: int = 1, drop_intermediate: bool = True) -> DataFrame:
     """``(threshold, fpr, tpr)`` per distinct score, with a (0, 0) start at an infinite threshold.
 
-    ``drop_intermediate`` leaves out points on a straight line between their neighbours.
+    ``drop_intermediate`` leaves out inner points on a straight line between their neighbours; the first and the last distinct
+    score always stay.
     """
     curve = _curve(preds, positive)
     if drop_intermediate:
         last = F.col("next_pos").isNull()
         bend = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
-        curve_points = curve.where(last | bend)
+        first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+        curve_points = curve.where(first | last | bend)
     else:
         curve_points = curve
     hit = F.col("y") == positive
@@ -263,14 +273,16 @@ def weighted_cross_entropy(
 ) -> DataFrame:
     """Sum of w_y * -log p_y over the sum of w_y; unweighted if no ``(label, weight)`` is given.
 
-    Rows are first reduced to one row per true class, so the weights join is tiny.
+    Rows are first reduced to one row per true class, so the weights join is tiny. A class without a weight fails the job.
     """
     losses = preds.select(*by, "y", (-log_probability(F.col("logits"), F.col("y"))).alias("loss"))
     per_class = losses.groupBy(*by, "y").agg(F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("n"))
     if weights is None:
         weighed = per_class.withColumn("weight", F.lit(1.0))
     else:
-        weighed = per_class.join(weights.select(F.col("label").alias("y"), "weight"), "y")
+        given = weights.select(F.col("label").alias("y"), "weight")
+        unknown = F.raise_error(F.concat(F.lit("no weight for class "), F.coalesce(F.col("y").cast("string"), F.lit("null")))).cast("double")
+        weighed = per_class.join(given, "y", "left").withColumn("weight", F.coalesce(F.col("weight").cast("double"), unknown))
     w = F.col("weight")
     return weighed.groupBy(*by).agg((F.sum(w * F.col("loss")) / F.sum(w * F.col("n"))).alias("loss"))
 
@@ -319,11 +331,11 @@ def meets_thresholds(rates: DataFrame, limits: dict[str, tuple[str, float]]) ->
 
 
 def best_checkpoint(metric_log: DataFrame, monitor: str = "val_loss", mode: str = "min", k: int = 1) -> DataFrame:
-    """The ``k`` best epochs of each run by the monitored metric; the earlier epoch wins a tie."""
+    """The ``k`` best epochs of each run by the monitored metric; the earlier epoch wins a tie, null and NaN are no values."""
     if mode not in ("min", "max"):
         raise ValueError("mode is 'min' or 'max'")
     value = F.col("value").asc() if mode == "min" else F.col("value").desc()
-    seen = metric_log.where((F.col("metric") == monitor) & F.col("value").isNotNull())
+    seen = metric_log.where((F.col("metric") == monitor) & F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
     best = first_rows(seen.select("run_id", "value", "epoch"), ["run_id"], [value, F.col("epoch").asc()], k)
     return best.select(
         "run_id",

@@ -27,12 +27,14 @@ def fit_weighted_classifier(
 ) -> PipelineModel:
     """Multinomial logistic regression; each row weighs as its class does in ``weights``.
 
-    ``weights`` is ``(label, weight)``, one row per class. Training makes a few passes over the
+    ``weights`` is ``(label, weight)``, one row per class; a class of the rows without one fails the fit. Training makes a few passes over the
     rows and sends only gradients to the driver.
     """
     rows = _features(train.where(F.col(label).isNotNull()), features)
     if weights is not None:
-        rows = rows.join(weights.select(F.col("label").alias(label), "weight"), label)
+        unknown = F.raise_error(F.concat(F.lit("no weight for class "), F.col(label).cast("string"))).cast("double")
+        rows = rows.join(weights.select(F.col("label").alias(label), "weight"), label, "left")
+        rows = rows.withColumn("weight", F.coalesce(F.col("weight").cast("double"), unknown))
     else:
         rows = rows.withColumn("weight", F.lit(1.0))
     fitted = LogisticRegression(

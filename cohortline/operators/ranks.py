@@ -2,8 +2,8 @@
 
 Two ways, by what is known about the order:
 
-* ids ordered by a digest are spread evenly, so the leading digits of the digest are a fixed,
-  data-independent bucket (``hash_rank``, ``hash_threshold``);
+* ids ordered by a digest are spread evenly, so the leading digits of the digest are a
+  bucket of known size (``hash_rank``, ``hash_threshold``);
 * any other order is cut by ``repartitionByRange`` and the pieces are written once
   (``range_pieces``), since a piece number must not change between its two uses.
 
@@ -12,6 +12,7 @@ In both, totals per bucket or piece are summed to offsets, and the rank is offse
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,19 +21,21 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_number
 from ..sources.storage import settle
 
-BUCKET_DIGITS = 3
-
-#: Spark limits row numbers before the shuffle below this many rows (its default threshold).
-MAP_SIDE_LIMIT = 1000
 SALTS = 64
 
 
+def bucket_digits(df: DataFrame) -> int:
+    """Hex digits that cut evenly spread digests of these rows into about as many buckets as one of them has rows."""
+    rows = df.agg(F.count(F.lit(1))).first()[0]
+    return max(1, math.ceil(math.log(max(1, rows), 16) / 2))
+
+
 def hash_rank(
     df: DataFrame,
     digest: str,
     ties: Sequence[str],
     group: Sequence[str] = (),
-    digits: int = BUCKET_DIGITS,
+    digits: int | None = None,
     name: str = "position",
 ) -> DataFrame:
     """1-based rank by (digest, ties) inside each group.
@@ -40,7 +43,7 @@ def hash_rank(
     Rows shuffle once, by (group, bucket); the offsets are at most 16**digits rows per group.
     """
     keys = [*group, "bucket"]
-    placed = df.withColumn("bucket", hash_number(F.col(digest), 1, digits))
+    placed = df.withColumn("bucket", hash_number(F.col(digest), 1, digits or bucket_digits(df)))
     counts = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_bucket"))
     upto = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, F.coalesce(F.sum("n_bucket").over(upto), F.lit(0)).alias("before"))
@@ -54,14 +57,14 @@ def hash_rank(
 
 
 def hash_thresholds(
-    df: DataFrame, digest: str, tie: str, ranks: dict[str, Column], digits: int = BUCKET_DIGITS
+    df: DataFrame, digest: str, tie: str, ranks: dict[str, Column], digits: int | None = None
 ) -> DataFrame:
     """The (digest, tie) pair at each asked rank: rows ``(cut, digest, tie)``.
 
     ``ranks`` maps a cut name to an expression on ``n``, the number of rows. Only the few buckets
     that hold a cut are ranked; all other rows are just counted.
     """
-    placed = df.select(digest, tie, hash_number(F.col(digest), 1, digits).alias("bucket"))
+    placed = df.select(digest, tie, hash_number(F.col(digest), 1, digits or bucket_digits(df)).alias("bucket"))
     counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_bucket"))
     # At most 16**digits rows reach this window.
     upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -90,26 +93,43 @@ def hash_thresholds(
     )
 
 
+def first_by_hash(df: DataFrame, digest: str, ties: Sequence[str], n: int) -> DataFrame:
+    """The ``n`` rows with the smallest (digest, ties), exactly, for any ``n``; of equal rows any.
+
+    Rows are counted per bucket; whole buckets before the cut stay as they are, and only the bucket with the
+    cut is ranked.
+    """
+    placed = df.withColumn("bucket", hash_number(F.col(digest), 1, bucket_digits(df)))
+    counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_bucket"))
+    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col("bucket").alias("at"), F.coalesce(F.sum("n_bucket").over(upto), F.lit(0)).alias("before"))
+    # The last bucket of which rows are wanted: one row.
+    cut = before.where(F.col("before") < n).agg(F.max(F.struct("before", "at")).alias("cut")).select("cut.*")
+    one = placed.join(F.broadcast(cut), F.col("bucket") <= F.col("at"))
+    sure = one.where(F.col("bucket") < F.col("at")).select(*df.columns)
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(digest, *ties))
+    edge = one.where(F.col("bucket") == F.col("at")).withColumn("place", place)
+    return sure.unionByName(edge.where(F.col("place") <= n - F.col("before")).select(*df.columns))
+
+
 def first_rows(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, name: str = "place"
 ) -> DataFrame:
     """The first ``k`` rows of each group with their 1-based place.
 
-    For a small ``k`` Spark itself drops the later rows of a group before the shuffle. For a large one
-    the group is first cut into salts, each of which keeps its first ``k`` rows, so a group of any
-    size is spread and only salts * k of its rows meet.
+    A group is always cut into salts first, each of which keeps its first ``k`` rows, so a group of any size is
+    spread and at most salts * k of its rows meet.
     """
-    if k >= MAP_SIDE_LIMIT:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SALTS))
-        salted = Window.partitionBy(*group, "salt").orderBy(*order)
-        df = (
-            df.withColumn("salt", salt)
-            .withColumn(name, F.row_number().over(salted))
-            .where(F.col(name) <= k)
-            .drop("salt", name)
-        )
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SALTS))
+    salted = Window.partitionBy(*group, "salt").orderBy(*order)
+    few = (
+        df.withColumn("salt", salt)
+        .withColumn(name, F.row_number().over(salted))
+        .where(F.col(name) <= k)
+        .drop("salt", name)
+    )
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn(name, place).where(F.col(name) <= k)
+    return few.withColumn(name, place).where(F.col(name) <= k)
 
 
 def range_pieces(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -333,27 +333,27 @@ def select_items(df: DataFrame, keys: Sequence[str], allow_missing: bool = True)
 
 
 def nest_items(samples: Samples, chunk_size: int = 10_000) -> DataFrame:
-    """Samples as rows ``(subject_key, subject_id, subject_uri, chunk, data)``.
+    """Samples as rows ``(subject_key, subject_id, subject_uri, chunk, n_chunks, data)``.
 
     ``data`` is ``ARRAY<ARRAY<item>>``, one inner array per action that ran, in action order. A
-    subject with at most ``chunk_size`` items is one row with chunk 0. A larger one continues in
-    further chunks by position, so that no array grows without bound and no item is lost.
+    subject's items are cut by position into ``n_chunks`` rows of at most ``chunk_size``, at least one, so that
+    no array grows without bound and no item is lost.
     """
     kept = surviving(samples).settled()
     order = ["action_ordinal", *POSITION, "action_data"]
     rest = ["source_action", "data_type", "data_label"]
-    listed = kept.only(kept.n_items() <= chunk_size).items.withColumn("chunk", F.lit(0).cast("bigint"))
-    larger = kept.only(kept.n_items() > chunk_size)
-    if not larger.subjects.isEmpty():
-        placed = ordered_position(larger.items, ["subject_key"], order)
-        chunk = F.floor((F.col("position") - 1) / chunk_size)
-        listed = listed.unionByName(placed.withColumn("chunk", chunk).drop("position"))
+    placed = ordered_position(kept.items, ["subject_key"], order)
+    listed = placed.withColumn("chunk", F.floor((F.col("position") - 1) / chunk_size)).drop("position")
     groups = (
         listed.groupBy("subject_key", "chunk")
         .agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias("found"))
     )
     heads = kept.subjects.select(
-        "subject_key", "subject_id", "subject_uri", kept.n_ran().alias("n_groups")
+        "subject_key",
+        "subject_id",
+        "subject_uri",
+        kept.n_ran().alias("n_groups"),
+        F.greatest(F.lit(1), F.ceil(kept.n_items() / chunk_size)).cast("bigint").alias("n_chunks"),
     )
     nested = heads.join(groups, "subject_key", "left")
     ordinals = F.when(F.col("n_groups") > 0, F.sequence(F.lit(0), F.col("n_groups") - 1)).otherwise(
@@ -364,6 +364,7 @@ def nest_items(samples: Samples, chunk_size: int = 10_000) -> DataFrame:
         "subject_id",
         "subject_uri",
         F.coalesce("chunk", F.lit(0).cast("bigint")).alias("chunk"),
+        "n_chunks",
         F.transform(
             ordinals,
             lambda k: F.coalesce(F.filter("found", lambda item: item.action_ordinal == k), F.array()),

@@ -8,25 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_number, hash_unit, stable_hash
-from .ranks import hash_rank, hash_thresholds
+from .ranks import first_by_hash, hash_rank, hash_thresholds
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 SPLITS = (TRAIN, VALIDATION, TEST)
 
-#: Up to this many rows the smallest digests are found by one top-n; beyond it by a threshold.
-TOP_N = 10_000
-
 
 def bounded_sample(df: DataFrame, n: int, seed: object = 42, key: str = "subject_key") -> DataFrame:
     """``n`` random rows if 0 < n < total, else all; the same rows for the same seed."""
     if n <= 0:
         return df
-    hashed = df.withColumn("draw", stable_hash(seed, key))
-    if n <= TOP_N:
-        return hashed.orderBy("draw", key).limit(n).drop("draw")
-    cut = hash_thresholds(hashed, "draw", key, {"sample": F.least(F.lit(n), F.col("n"))})
-    last = cut.select(F.struct("draw", key)).scalar()
-    return hashed.where(F.struct("draw", key) <= last).drop("draw")
+    return first_by_hash(df.withColumn("draw", stable_hash(seed, key)), "draw", [key], n).drop("draw")
 
 
 def preview_sample(split: DataFrame, n: int = 24, seed: object = 42, key: str = "subject_key") -> DataFrame:

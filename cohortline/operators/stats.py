@@ -193,8 +193,12 @@ def label_bias(df: DataFrame, attribute: str, label: str = "label") -> DataFrame
 
 
 def epoch_metric(step_log: DataFrame, weight: str = "batch_size") -> DataFrame:
-    """Mean of the step values of each run, epoch and metric, weighted by batch size."""
+    """Mean of the step values of each run, epoch and metric, weighted by batch size.
+
+    A step without a value has no weight; the mean is null where no weight is left.
+    """
+    counted = F.when(F.col("value").isNotNull(), F.col(weight))
     return step_log.groupBy("run_id", "epoch", "metric").agg(
-        (F.sum(F.col("value") * F.col(weight)) / F.sum(weight)).alias("value"),
+        F.try_divide(F.sum(F.col("value") * counted), F.sum(counted).cast("double")).alias("value"),
         F.count(F.lit(1)).alias("n_steps"),
     )

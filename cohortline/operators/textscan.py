@@ -25,7 +25,8 @@ SENSITIVE_LITERALS = {"mail": "@", "phone": "+", "address": ".", "token": "token
 
 #: Clause tags: [[standard:clause]], or several separated by commas or "and".
 CLAUSE_TAG = r"\[\[([^\[\]]+)\]\]"
-CLAUSE_SEPARATOR = r"\s*,\s*and\s+|\s*,\s*|\s+and\s+"
+#: A tag inside the brackets: a standard and a clause; whatever else stands there is comment.
+CLAUSE = r"[A-Za-z0-9][A-Za-z0-9_-]*:[A-Za-z0-9]+(?:[._-][A-Za-z0-9]+)*"
 
 
 def text_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -42,14 +43,18 @@ def sensitive_scan(
     file_exceptions: DataFrame | None = None,
     key: str = "doc_id",
     literals: Mapping[str, str] | None = None,
+    directory_exceptions: Sequence[str] = (),
 ) -> DataFrame:
     """Every match ``(doc_id, line_no, rule, value)`` that no exception allows.
 
     ``literals`` names, for some rules, a text that each match contains; a plain search for it
     spares most lines the pattern (the default fits the default patterns). Exceptions are taken off
     the hits, which are few and carry no text: ``value_exceptions`` is a list of values or a table
-    with ``value``, ``file_exceptions`` a table with the document key.
+    with ``value``, ``file_exceptions`` a table with the document key. Documents whose key is a path below one of
+    ``directory_exceptions`` are not scanned.
     """
+    for directory in directory_exceptions:
+        docs = docs.where(~F.col(key).startswith(directory.rstrip("/") + "/"))
     if literals is None:
         literals = SENSITIVE_LITERALS if patterns is SENSITIVE_PATTERNS else {}
 
@@ -86,13 +91,17 @@ def sensitive_counts(hits: DataFrame, key: str = "doc_id") -> DataFrame:
 def extract_tags(
     docs: DataFrame,
     pattern: str = CLAUSE_TAG,
-    separator: str = CLAUSE_SEPARATOR,
+    separator: str | None = None,
     text: str = "text",
     key: str = "doc_id",
 ) -> DataFrame:
-    """Every tag ``(doc_id, tag)`` of the first group of the pattern; lists are taken apart."""
+    """Every tag ``(doc_id, tag)`` in the first group of the pattern.
+
+    Tags are of the form ``standard:clause``, however they are parted; with a ``separator`` all parts between separators are tags.
+    """
     matches = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))
-    parts = F.flatten(F.transform(matches, lambda m: F.split(m, separator)))
+    found = F.transform(matches, lambda m: F.split(m, separator) if separator else F.regexp_extract_all(m, F.lit(CLAUSE), F.lit(0)))
+    parts = F.flatten(found)
     tags = docs.select(key, F.explode(parts).alias("tag")).select(key, F.trim("tag").alias("tag"))
     return tags.where(F.col("tag") != "")
 

@@ -115,7 +115,8 @@ def review_check(changes: DataFrame) -> DataFrame:
     return checked.where(F.col("finding").isNotNull())
 
 
-CHECK_ITEM = r"- \[([ x])\] ([^\n]*)"
+#: An item runs to the end of its line or to the next mark, since folded texts hold several on one line.
+CHECK_ITEM = r"- \[([ xX])\] ((?:(?!\s- \[[ xX]\] )[^\n])*)"
 
 
 def approval_checklist(changes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -134,7 +135,7 @@ def approval_checklist(changes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         "approval_position",
         "item_position",
         F.trim("line.item").alias("item"),
-        (F.col("line.mark") == "x").alias("ticked"),
+        (F.lower("line.mark") == "x").alias("ticked"),
     )
 
 
@@ -220,8 +221,8 @@ def uncovered_requirements(reqs: DataFrame, tests: DataFrame, by: Sequence[str]
 
 
 def suite_verdict(tests: DataFrame, by: Sequence[str] = ("kind",)) -> DataFrame:
-    """A suite passes if each test passes or its failure is justified by a note."""
-    fine = (F.col("result") == PASS) | F.col("note").isNotNull()
+    """A suite passes if each test passes or its failure is justified by a note; a blank note is none."""
+    fine = (F.col("result") == PASS) | (F.trim("note") != "")
     return tests.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_tests"),
         F.count_if(F.col("result") != PASS).alias("n_fail"),
@@ -308,18 +309,35 @@ def release_history(versions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def problem_trends(
     reports: DataFrame, limit: int, by: Sequence[str] = ("software_item",), release: str = "release"
 ) -> DataFrame:
-    """Problem reports per software item and release, the change since the item's previous release
-    with reports, and whether the count is over the limit.
+    """Problem reports per software item and release, the change since the release before, and whether the
+    count is over the limit.
 
-    The window sees one row per item and release, counted before.
+    The releases are those with any report of any item, in order. Where an item has none in the release after one
+    of its own, a row with 0 says so; a longer pause has no further rows. The windows see counted rows only.
     """
     counts = reports.groupBy(*by, release).agg(F.count(F.lit(1)).alias("n_reports"))
-    before = F.lag("n_reports").over(Window.partitionBy(*by).orderBy(release))
-    return counts.select(
+    # One row per release.
+    after = F.lead(release).over(Window.partitionBy(F.lit(0)).orderBy(release))
+    releases = counts.select(release).distinct().withColumn("next_release", after)
+    known = counts.join(releases, release)
+    mine = Window.partitionBy(*by).orderBy(release)
+    stopped = F.col("next_release").isNotNull() & ~F.lead(release).over(mine).eqNullSafe(F.col("next_release"))
+    zero = F.when(F.col("stopped"), F.struct(F.col("next_release").alias("at"), F.lit(0).cast("bigint").alias("n")))
+    filled = (
+        known.withColumn("stopped", stopped)
+        .select(*by, F.array_compact(F.array(F.struct(F.col(release).alias("at"), F.col("n_reports").alias("n")), zero)).alias("rows"))
+        .select(*by, F.inline("rows").alias(release, "n_reports"))
+    )
+    # After a pause the release before had no report either.
+    placed = filled.join(releases, release).withColumn(
+        "before", F.when(F.lag("next_release").over(mine) == F.col(release), F.lag("n_reports").over(mine)).otherwise(0)
+    )
+    seen_before = F.lag(release).over(mine).isNotNull()
+    return placed.select(
         *by,
         release,
         "n_reports",
-        (F.col("n_reports") - before).alias("change"),
+        F.when(seen_before, F.col("n_reports") - F.col("before")).alias("change"),
         (F.col("n_reports") > limit).alias("over_limit"),
     )
 
@@ -350,13 +368,17 @@ SUBJECT_LENGTH, BODY_LENGTH = 50, 72
 
 
 def commit_check(commits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Commits ``(sha, subject, body)`` and the message rules they break: one row per rule."""
+    """Commits ``(sha, subject, body)`` and the message rules they break: one row per rule.
+
+    The body is all that follows the first line, so a message with the due blank line has a body that starts with it.
+    """
     subject, body = F.coalesce("subject", F.lit("")), F.coalesce("body", F.lit(""))
     rules = [
         ("no change request number", ~subject.rlike(CHANGE_NUMBER) & ~body.rlike(CHANGE_NUMBER)),
         ("subject too long", F.length(subject) > SUBJECT_LENGTH),
         ("subject not capitalised", subject.rlike(r"^\p{Ll}")),
         ("subject ends with a period", subject.endswith(".")),
+        ("no blank line between subject and body", body.rlike(r"^[^\n]*\S")),
         ("body line too long", F.exists(F.split(body, "\n"), lambda line: F.length(line) > BODY_LENGTH)),
     ]
     broken = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in rules]))

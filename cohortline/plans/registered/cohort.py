@@ -252,7 +252,8 @@ NESTED_SQL = (
                   CASE WHEN st.xr_state <> 'ok' THEN 0 WHEN st.lab_state <> 'ok' THEN 1 ELSE 2 END AS n_groups
            FROM states st LEFT JOIN placed p ON p.subject_key = st.subject_key GROUP BY ALL
          )
-         SELECT subject_id, chunk, n_groups, n_items, first_item, last_item FROM whole"""
+         SELECT subject_id, chunk, max(chunk) OVER (PARTITION BY subject_id) + 1 AS n_chunks, n_groups, n_items,
+                first_item, last_item FROM whole"""
 )
 
 
@@ -261,6 +262,7 @@ def _nested(nested: DataFrame) -> DataFrame:
     return flat.select(
         "subject_id",
         "chunk",
+        "n_chunks",
         "n_groups",
         F.size("data").cast("bigint").alias("n_items"),
         F.get("data", F.lit(0)).getField("action_data").alias("first_item"),

@@ -170,17 +170,20 @@ START = "SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOU
 
 @query(BINARY + START + "SELECT round(s, 6), round(fp / n, 6), round(tp / p, 6) FROM curve")
 def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(ev.roc_curve(dt.binary_predictions(spark, sf_dir)), "threshold", "fpr", "tpr")
+    curve = ev.roc_curve(dt.binary_predictions(spark, sf_dir), drop_intermediate=False)
+    return _rounded(curve, "threshold", "fpr", "tpr")
 
 
 @query(
     BINARY
     + START
-    + """SELECT round(s, 6), round(fp / n, 6), round(tp / p, 6) FROM curve
-         WHERE next_pos IS NULL OR next_pos <> pos OR next_neg <> neg"""
+    + """SELECT round(s, 6), round(fp / n, 6), round(tp / p, 6)
+         FROM (SELECT *, lag(fp) OVER w AS fp0, lag(tp) OVER w AS tp0, lead(fp) OVER w AS fp2, lead(tp) OVER w AS tp2
+               FROM curve WINDOW w AS (ORDER BY s DESC))
+         WHERE fp0 IS NULL OR fp2 IS NULL OR (fp - fp0) <> (fp2 - fp) OR (tp - tp0) <> (tp2 - tp)"""
 )
 def roc_curve_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curve = ev.roc_curve(dt.binary_predictions(spark, sf_dir), drop_intermediate=True)
+    curve = ev.roc_curve(dt.binary_predictions(spark, sf_dir))
     return _rounded(curve, "threshold", "fpr", "tpr")
 
 

@@ -296,14 +296,14 @@ def sorted_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""WITH lines AS (
           SELECT conv_id AS project_id, turn AS position, role,
                  CASE WHEN role = 'user' THEN 'in progress' ELSE 'turn ' || turn END AS date,
-                 [x FOR x IN string_split(text, chr(10)) IF contains(x, ',')] AS changes FROM conversations)
-        SELECT project_id, position, role || '-' || position AS release_id, date, CAST(i - 1 AS INTEGER) AS line,
-               changes[i] AS change
-        FROM lines, generate_series(1, 100000) g(i) WHERE i <= len(changes)
+                 CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS changes FROM conversations)
+        SELECT project_id, position, role || '-' || position AS release_id, date,
+               CAST(unnest(range(len(changes))) AS INTEGER) AS line, unnest(changes) AS change
+        FROM lines WHERE len(changes) > 0
         UNION ALL SELECT project_id, position, role || '-' || position, date, NULL, NULL FROM lines WHERE len(changes) = 0"""
 )
 def release_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = F.filter(F.split("text", "\n"), lambda line: line.contains(","))
+    lines = F.when(F.coalesce("text", F.lit("")) == "", F.array()).otherwise(F.split("text", "\n", -1))
     versions = dt.table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("project_id"),
         F.col("turn").alias("position"),
@@ -319,9 +319,19 @@ def release_history(spark: SparkSession, sf_dir: str) -> DataFrame:
          SELECT p_brand AS software_item, year(o_orderdate) * 100 + month(o_orderdate) AS release, count(*) AS n_reports
          FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
          WHERE o_orderstatus = 'P' GROUP BY 1, 2)
-       SELECT software_item, CAST(release AS INTEGER) AS release, n_reports,
-              n_reports - lag(n_reports) OVER (PARTITION BY software_item ORDER BY release) AS change,
-              n_reports > 12 AS over_limit FROM counts"""
+       , releases AS (SELECT release, row_number() OVER (ORDER BY release) AS n FROM (SELECT DISTINCT release FROM counts)),
+       filled AS (
+         SELECT software_item, n, n_reports FROM counts JOIN releases USING (release)
+         UNION ALL
+         SELECT software_item, n + 1, 0 FROM counts JOIN releases r USING (release)
+         WHERE EXISTS (SELECT 1 FROM releases x WHERE x.n = r.n + 1)
+           AND NOT EXISTS (SELECT 1 FROM counts c JOIN releases x USING (release)
+                           WHERE c.software_item = counts.software_item AND x.n = r.n + 1))
+       SELECT f.software_item, CAST(release AS INTEGER) AS release, f.n_reports,
+              CASE WHEN f.n > min(f.n) OVER (PARTITION BY f.software_item)
+                   THEN f.n_reports - coalesce(b.n_reports, 0) END AS change,
+              f.n_reports > 12 AS over_limit
+       FROM filled f JOIN releases USING (n) LEFT JOIN filled b ON b.software_item = f.software_item AND b.n = f.n - 1"""
 )
 def problem_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = dt.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
@@ -374,6 +384,7 @@ def anomaly_review_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         UNION ALL SELECT sha, 'subject too long' FROM commits WHERE length(lines[1]) > 50
         UNION ALL SELECT sha, 'subject not capitalised' FROM commits WHERE regexp_matches(lines[1], '^\p{Ll}')
         UNION ALL SELECT sha, 'subject ends with a period' FROM commits WHERE lines[1] LIKE '%.'
+        UNION ALL SELECT sha, 'no blank line between subject and body' FROM commits WHERE regexp_matches(lines[2], '\S')
         UNION ALL SELECT sha, 'body line too long' FROM commits
                   WHERE len([x FOR x IN lines[2:] IF length(x) > 72]) > 0"""
 )

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
 def write_missing_log(log: DataFrame, path: str) -> int:
     """Write the missing-data log as CSV and return its number of rows."""
-    log.write.mode("overwrite").csv(path, header=True)
-    written = log.sparkSession.read.schema(log.schema).csv(path, header=True)
-    return written.count()
+    seen = Observation()
+    log.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").csv(path, header=True, quoteAll=True, escape='"')
+    return seen.get["n"]
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:

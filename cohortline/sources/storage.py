@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,17 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; a local one is made only where the session names none."""
+    """The shared folder the session names; where it names none, one in the warehouse, which is shared as well."""
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="cohortline-")
-    spark.sparkContext.setCheckpointDir(own)
-    return spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+
+
+def scratch_path(spark: SparkSession, name: str = "") -> str:
+    """A new path in the shared folder, under the application id; it is removed when the application ends."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/settled/{spark.sparkContext.applicationId}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return f"{folder}/{name}{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -27,10 +28,8 @@ def settle(df: DataFrame) -> DataFrame:
 
     The result survives lost executors, is computed once (``checkpoint()`` computes twice), and
     values that depend on partitioning, such as a partition number, no longer change. Tables lie
-    under the application id, so those of a finished application can be removed together.
+    under the application id and are removed when the application ends.
     """
-    spark = df.sparkSession
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/settled/{spark.sparkContext.applicationId}"
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -122,7 +122,7 @@ def close(a, b):
 def test_roc_curve(spark, data):
     preds = make(spark, binary(data))
     expected = curve_of(binary(data))
-    got = sorted((tuple(r) for r in ev.roc_curve(preds).collect()), reverse=True)
+    got = sorted((tuple(r) for r in ev.roc_curve(preds, drop_intermediate=False).collect()), reverse=True)
     assert close(got, expected)
     area = sum((b[1] - a[1]) * (a[2] + b[2]) / 2 for a, b in zip(expected, expected[1:]))
     assert ev.roc_auc(preds).first().roc_auc == pytest.approx(area)
@@ -136,8 +136,8 @@ def test_roc_curve_without_straight_points(spark):
     preds = make(spark, fine)
     full = curve_of(fine)
     steps = [(b[1] - a[1], b[2] - a[2]) for a, b in zip(full, full[1:])]
-    keep = [i for i in range(1, len(full)) if i == len(full) - 1 or steps[i - 1] != pytest.approx(steps[i], abs=1e-12)]
-    got = sorted((tuple(r) for r in ev.roc_curve(preds, drop_intermediate=True).collect()), reverse=True)
+    keep = [i for i in range(1, len(full)) if i in (1, len(full) - 1) or steps[i - 1] != pytest.approx(steps[i], abs=1e-12)]
+    got = sorted((tuple(r) for r in ev.roc_curve(preds).collect()), reverse=True)
     assert close(got, [full[0]] + [full[i] for i in keep])
     assert len(got) < len(full)
 
@@ -225,3 +225,23 @@ def test_model_report(spark, data, tmp_path):
     assert set(model_report(preds, 2)) == {"confusion_matrix", "classification_report", "roc_curve", "roc_auc"}
     write_model_report(preds, 2, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/confusion_matrix").agg(F.sum("n")).first()[0] == len(data)
+
+
+def test_nothing_is_lost(spark):
+    odd = make(spark, [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (7, [1.0, 0.0]), (None, [1.0, 0.0])])
+    cells = {(r.y, r.pred): r.n for r in ev.confusion_matrix(odd, 2).collect()}
+    assert cells == {(0, 0): 1, (0, 1): 0, (1, 0): 0, (1, 1): 1, (None, None): 2}
+    weights = spark.createDataFrame([(0, 1.0), (1, 2.0)], "label int, weight double")
+    with pytest.raises(Exception, match="no weight for class"):
+        ev.weighted_cross_entropy(odd.where("y = 7"), weights).collect()
+
+
+def test_no_value_is_no_best_value(spark):
+    log = spark.createDataFrame(
+        [("a", 1, "m", 0.5), ("a", 2, "m", float("nan")), ("a", 3, "m", None)], "run_id string, epoch int, metric string, value double"
+    )
+    assert ev.best_checkpoint(log, "m", "max").first().epoch == 1
+    steps = spark.createDataFrame(
+        [("a", 1, "m", 2.0, 1), ("a", 1, "m", None, 9), ("a", 2, "m", 1.0, 0)], "run_id string, epoch int, metric string, value double, batch_size int"
+    )
+    assert rows(epoch_metric(steps)) == [("a", 1, "m", 2.0, 2), ("a", 2, "m", None, 1)]

@@ -64,16 +64,23 @@ def test_thresholds(spark):
     assert got == {"a": order[0], "b": order[-1]}
 
 
-@pytest.mark.parametrize("k", [1, 3, 1000])
-def test_first_rows_with_and_without_salts(numbers, monkeypatch, k):
+@pytest.mark.parametrize("k", [1, 3, 999, 1000, 5000])
+def test_first_rows(numbers, k):
     data, df = numbers
     order = [F.col("v").desc(), F.col("k").asc()]
     expected = {}
     for g, key, v in sorted(data, key=lambda r: (r[0], -r[2], r[1])):
         expected.setdefault(g, []).append(key)
     want = sorted((g, i + 1, key) for g, keys in expected.items() for i, key in enumerate(keys[:k]))
-    assert rows(ranks.first_rows(df, ["g"], order, k).select("g", "place", "k")) == want
-    monkeypatch.setattr(ranks, "MAP_SIDE_LIMIT", 1)
     salted = ranks.first_rows(df, ["g"], order, k)
     assert salted.columns == ["g", "k", "v", "place"]
     assert rows(salted.select("g", "place", "k")) == want
+
+
+@pytest.mark.parametrize("k", [1, 999, 1000, 5000])
+def test_first_rows_of_a_hot_group(spark, k):
+    df = spark.range(9000).select(F.when(F.col("id") < 8000, 0).otherwise(F.col("id")).alias("g"), F.col("id").alias("v"))
+    got = ranks.first_rows(df, ["g"], [F.col("v").desc()], k)
+    hot = rows(got.where("g = 0").select("place", "v"))
+    assert hot == [(i + 1, 7999 - i) for i in range(k)]
+    assert got.where("g <> 0").count() == 1000

@@ -210,14 +210,15 @@ def test_commits(spark):
     commits = make(
         spark,
         "commits",
-        {"sha": "ok", "subject": "Add a thing #12", "body": "short\nlines"},
-        {"sha": "body", "subject": "Add", "body": "Issue #4\n" + "x" * 73},
+        {"sha": "ok", "subject": "Add a thing #12", "body": "\nshort\nlines"},
+        {"sha": "body", "subject": "Add", "body": "\nIssue #4\n" + "x" * 73},
         {"sha": "bad", "subject": "add " + "y" * 50 + ".", "body": None},
-        {"sha": "edge", "subject": "E" * 46 + " #12", "body": "z" * 72},
+        {"sha": "edge", "subject": "E" * 46 + " #12", "body": "\n" + "z" * 72},
+        {"sha": "joined", "subject": "Add #1", "body": "at once"},
     )
     assert rows(tr.commit_check(commits)) == [
         ("bad", "no change request number"), ("bad", "subject ends with a period"), ("bad", "subject not capitalised"),
-        ("bad", "subject too long"), ("body", "body line too long"),
+        ("bad", "subject too long"), ("body", "body line too long"), ("joined", "no blank line between subject and body"),
     ]
 
 
@@ -312,3 +313,27 @@ def test_release_gate(spark, requests, reqs, auto_tests):
     p = gate["p"]
     assert (p.n_requests_open, p.n_known_anomalies, p.n_uncovered, p.n_unjustified, p.n_open_risks, p.ready) == (1, 1, 1, 1, 1, False)
     assert gate["q"].ready and gate["q"].n_known_anomalies == 1
+
+
+def test_trends_show_releases_without_reports(spark):
+    reports = [("a", 1)] * 10 + [("b", 2)] + [("a", 3)] * 5 + [("b", 4)] * 2 + [("c", 4)]
+    got = rows(tr.problem_trends(spark.createDataFrame(reports, "software_item string, release int"), 7))
+    assert got == [
+        ("a", 1, 10, None, True), ("a", 2, 0, -10, False), ("a", 3, 5, 5, False), ("a", 4, 0, -5, False),
+        ("b", 2, 1, None, False), ("b", 3, 0, -1, False), ("b", 4, 2, 2, False), ("c", 4, 1, None, False),
+    ]
+
+
+def test_an_empty_note_justifies_nothing(spark):
+    tests = spark.createDataFrame([("unit", "fail", ""), ("more", "fail", "known"), ("none", "fail", None)], "kind string, result string, note string")
+    got = {r.kind: r.passed for r in tr.suite_verdict(tests).collect()}
+    assert got == {"unit": False, "more": True, "none": False}
+
+
+def test_check_lists_folded_into_one_line(spark):
+    content = "done - [x] first item - [ ] second, with - dash\n- [X] third"
+    changes = spark.createDataFrame(
+        [("1", [(None, None, content)])], "id string, approvals array<struct<id:string,reviewer:struct<name:string,id:string>,content:string>>"
+    )
+    got = tr.approval_checklist(changes).orderBy("item_position").select("item", "ticked").collect()
+    assert [tuple(r) for r in got] == [("first item", True), ("second, with - dash", False), ("third", True)]

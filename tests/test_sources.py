@@ -11,7 +11,7 @@ from cohortline.operators.series import group_series
 from cohortline.operators.stats import data_manifest, nested_manifest
 from cohortline.sources import files, sinks, storage
 from cohortline.sources.catalog import Catalog, read_catalog, write_catalog
-from cohortline.sources.records import read_records
+from cohortline.sources.records import corrupt_records, read_records
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +58,8 @@ def test_records(spark, tmp_path):
     ]
     path = tmp_path / "cr.json"
     path.write_text("\n".join(json.dumps(line) for line in lines))
+    path.write_text(path.read_text() + '\n{"id": "3", broken\n\n')
+    assert [r[0] for r in corrupt_records(spark, str(path), "change_requests").collect()] == ['{"id": "3", broken']
     got = read_records(spark, str(path), "change_requests")
     assert rows(got.select("id", "title", "is_problem_report", "change_ids")) == [("1", "t", True, ["a"]), ("2", None, None, None)]
     with pytest.raises(ValueError):
@@ -65,7 +67,7 @@ def test_records(spark, tmp_path):
 
 
 def test_sinks(spark, tmp_path):
-    log = spark.createDataFrame([("1", "a", "fetch_xr"), ("2", "b, c", "fetch_label")], "subject_id string, subject_label string, failed_action string")
+    log = spark.createDataFrame([("1", "a", "fetch_xr"), ("2", 'b,\n"c"', "fetch_label")], "subject_id string, subject_label string, failed_action string")
     assert sinks.write_missing_log(log, f"{tmp_path}/log") == 2
     people = spark.createDataFrame([("1", "train", [1])], "subject_key string, split string, labels array<bigint>")
     manifest = data_manifest(people, {"Positive": 1})
@@ -93,12 +95,11 @@ def test_named_folder_comes_first():
 
     def session(named, context_dir, master="yarn"):
         return Stub(
-            conf=Stub(get=lambda key, default=None: named if key == storage.CHECKPOINT_DIR else default),
+            conf=Stub(get=lambda key, default=None: named if key == storage.CHECKPOINT_DIR else default or "hdfs:///tables/"),
             sparkContext=Stub(getCheckpointDir=lambda: context_dir, master=master),
         )
 
     assert storage.checkpoint_dir(session("hdfs:///shared", None)) == "hdfs:///shared"
     assert storage.checkpoint_dir(session("hdfs:///shared", "/other")) == "hdfs:///shared"
     assert storage.checkpoint_dir(session(None, "hdfs:///context")) == "hdfs:///context"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        storage.checkpoint_dir(session(None, None))
+    assert storage.checkpoint_dir(session(None, None)) == "hdfs:///tables/checkpoints"

@@ -59,12 +59,14 @@ def test_bounded_sample_sizes(spark, n, expected):
     assert splits.bounded_sample(people(spark, 10), n).count() == expected
 
 
-def test_large_samples_agree_with_small_ones(spark, monkeypatch):
-    df = people(spark, 500)
-    top = rows(splits.bounded_sample(df, 120).select("subject_key"))
-    monkeypatch.setattr(splits, "TOP_N", 10)
-    assert rows(splits.bounded_sample(df, 120).select("subject_key")) == top
-    assert splits.bounded_sample(df, 600).count() == 500
+def test_samples_of_any_size_are_exact_and_nested(spark):
+    df = people(spark, 500).unionByName(people(spark, 500))  # each key twice
+    before = set()
+    for n in (1, 120, 121, 499, 500, 501, 999):
+        got = [r.subject_key for r in splits.bounded_sample(df, n).select("subject_key").collect()]
+        assert len(got) == n and before <= set(got)
+        before = set(got)
+    assert splits.bounded_sample(df, 1200).count() == 1000
 
 
 def test_preview_only_from_train(spark):

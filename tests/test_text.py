@@ -34,6 +34,8 @@ def test_exceptions(spark):
     assert rows(ts.sensitive_scan(df, value_exceptions=["a@b.cc"]).select("value")) == [("10.0.0.1",), ("10.0.0.2",)]
     assert rows(ts.sensitive_scan(df, value_exceptions=allowed).select("doc_id", "value")) == [(0, "10.0.0.1"), (0, "a@b.cc"), (1, "a@b.cc")]
     assert rows(ts.sensitive_scan(df, file_exceptions=files).select("doc_id", "value")) == [(1, "10.0.0.2"), (1, "a@b.cc")]
+    paths = spark.createDataFrame([("a/b/x", "a@b.cc"), ("a/bc/x", "a@b.cc")], "doc_id string, text string")
+    assert rows(ts.sensitive_scan(paths, directory_exceptions=["a/b/"]).select("doc_id")) == [("a/bc/x",)]
     assert rows(ts.sensitive_scan(df, {"one": "10[.]0"}).select("rule", "value")) == [("one", "10.0"), ("one", "10.0")]
 
 
@@ -41,14 +43,16 @@ def test_tags(spark):
     df = docs(
         spark,
         "x [[62304:9.8.g]] y [[FDA-SW:vandv, FDA-SW:vandv-summary]]",
-        "[[62304:5.1.1.d, 62304:6.1.e and 62304:8.2.2]]\n[[a, and b]]",
+        "[[62304:5.1.1.d, 62304:6.1.e and 62304:8.2.2]]\n[[62304:7.1 62304:7.2]]",
         "none [] [x]",
         "[[ ]]",
+        "[[:This section fulfills 62304:5.1.8.a.]]",
     )
     tags = ts.extract_tags(df)
     assert rows(tags) == [
         (0, "62304:9.8.g"), (0, "FDA-SW:vandv"), (0, "FDA-SW:vandv-summary"),
-        (1, "62304:5.1.1.d"), (1, "62304:6.1.e"), (1, "62304:8.2.2"), (1, "a"), (1, "b"),
+        (1, "62304:5.1.1.d"), (1, "62304:6.1.e"), (1, "62304:7.1"), (1, "62304:7.2"), (1, "62304:8.2.2"),
+        (4, "62304:5.1.8.a"),
     ]
     clauses = spark.createDataFrame([("62304:9.8.g",), ("62304:1",)], "clause string")
     assert rows(ts.gap_audit(tags, clauses)) == [("62304:1",)]
