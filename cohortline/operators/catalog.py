@@ -15,15 +15,16 @@ from .joins import keep_left
 
 def sample_base(catalog: Catalog) -> DataFrame:
     """Subject address and subject id, the head of every sample."""
-    return catalog.subjects.select("subject_key", "subject_uri", "subject_id")
+    return catalog.subjects.select(*catalog.keys("subject_key"), "subject_uri", "subject_id")
 
 
 def catalog_join(catalog: Catalog) -> DataFrame:
     """Subject, experiment and scan in one row; subjects and experiments without children stay."""
-    subjects = catalog.subjects.drop("project_id")
-    experiments = catalog.experiments.drop("project_id")
-    scans = catalog.scans.drop("project_id")
-    return keep_left(subjects, keep_left(experiments, scans, "exp_key"), "subject_key", present=experiments)
+    subjects, experiments, scans = catalog.subjects, catalog.experiments, catalog.scans
+    if not catalog.scope:
+        subjects, experiments, scans = (t.drop("project_id") for t in (subjects, experiments, scans))
+    inner = keep_left(experiments, scans, catalog.keys("exp_key"))
+    return keep_left(subjects, inner, catalog.keys("subject_key"), present=experiments)
 
 
 def catalog_counts(catalog: Catalog) -> DataFrame:
@@ -46,9 +47,10 @@ def catalog_counts(catalog: Catalog) -> DataFrame:
 
 
 def _scans_of(catalog: Catalog, experiments: Column) -> DataFrame:
-    chosen = catalog.experiments.where(experiments).select("subject_key", "exp_key", "exp_ordinal")
-    scans = catalog.scans.select("exp_key", "scan_key", "scan_ordinal", "series_description", "uri")
-    return chosen.join(scans, "exp_key")
+    keys = catalog.keys("exp_key")
+    chosen = catalog.experiments.where(experiments).select(*keys, "subject_key", "exp_ordinal")
+    scans = catalog.scans.select(*keys, "scan_key", "scan_ordinal", "series_description", "uri")
+    return chosen.join(scans, keys)
 
 
 def scans_by_modality(catalog: Catalog, codes: Sequence[str] = ("CR", "DX")) -> DataFrame:
@@ -70,7 +72,8 @@ def scans_by_series(
     if not first:
         return found
     best = F.min(F.struct(*POSITION, "series_description", "uri")).alias("best")
-    return found.groupBy("subject_key").agg(best).select("subject_key", "best.*")
+    keys = catalog.keys("subject_key")
+    return found.groupBy(*keys).agg(best).select(*keys, "best.*")
 
 
 def label_from_experiment(
@@ -82,9 +85,9 @@ def label_from_experiment(
     experiments sets ``error`` for the subject. Subjects without a match have no row.
     """
     matching = catalog.experiments.where(contains_any(F.col("modality"), list(codes))).select(
-        "subject_key", "exp_ordinal", "exp_key", label_number(F.col("label"), sep, index).alias("number")
+        *catalog.keys("subject_key"), "exp_ordinal", "exp_key", label_number(F.col("label"), sep, index).alias("number")
     )
-    per_subject = matching.groupBy("subject_key").agg(
+    per_subject = matching.groupBy(*catalog.keys("subject_key")).agg(
         F.max_by("number", F.struct("exp_ordinal", "exp_key")).alias("label"),
         F.bool_or(F.col("number").isNull()).alias("error"),
     )

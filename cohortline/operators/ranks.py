@@ -57,14 +57,15 @@ def hash_rank(
 
 
 def hash_thresholds(
-    df: DataFrame, digest: str, tie: str, ranks: dict[str, Column], digits: int | None = None
+    df: DataFrame, digest: str, tie: str | Sequence[str], ranks: dict[str, Column], digits: int | None = None
 ) -> DataFrame:
     """The (digest, tie) pair at each asked rank: rows ``(cut, digest, tie)``.
 
     ``ranks`` maps a cut name to an expression on ``n``, the number of rows. Only the few buckets
     that hold a cut are ranked; all other rows are just counted.
     """
-    placed = df.select(digest, tie, hash_number(F.col(digest), 1, digits or bucket_digits(df)).alias("bucket"))
+    ties = [tie] if isinstance(tie, str) else list(tie)
+    placed = df.select(digest, *ties, hash_number(F.col(digest), 1, digits or bucket_digits(df)).alias("bucket"))
     counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_bucket"))
     # At most 16**digits rows reach this window.
     upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -85,11 +86,11 @@ def hash_thresholds(
     ).where((F.col("c.rank") > F.col("before")) & (F.col("c.rank") <= F.col("through")))
     # One row per cut, so this side is known to be tiny and the counted rows stay in place.
     local = placed.join(F.broadcast(cuts.select("bucket", "before", "c.cut", "c.rank")), "bucket")
-    place = F.row_number().over(Window.partitionBy("cut").orderBy(digest, tie))
+    place = F.row_number().over(Window.partitionBy("cut").orderBy(digest, *ties))
     return (
         local.withColumn("place", place)
         .where(F.col("place") == F.col("rank") - F.col("before"))
-        .select("cut", digest, tie)
+        .select("cut", digest, *ties)
     )
 
 

@@ -35,7 +35,8 @@ class Action:
     (its address, never null) and the catalog position columns that apply; for kind ``value``, at most one row per subject
     with ``subject_key``, ``value`` and, if the step can fail, a boolean ``error``. A value action
     that ends in an aggregate by subject is joined where it lies, without another shuffle.
-    A value counts as text if its column is a string column.
+    A value counts as text if its column is a string column. Over a catalog of several projects the rows also
+    carry ``project_id``.
     """
 
     name: str
@@ -54,7 +55,7 @@ class Action:
             return (F.col(name) if name in found.columns else F.lit(None)).cast(kind).alias(name)
 
         return found.select(
-            "subject_key",
+            *catalog.keys("subject_key"),
             F.lit(ordinal).alias("action_ordinal"),
             data.cast("string").alias("action_data"),
             F.lit(self.kind == LIST_ACTION or is_text).alias("is_text"),
@@ -70,7 +71,8 @@ class Action:
 class Samples:
     """Subjects with their action results.
 
-    ``subjects``    subject_key, subject_id, subject_uri, status ARRAY, n_found ARRAY (kept items per
+    ``keys``        the columns that name a subject: subject_key, before it project_id over several projects
+    ``subjects``    the keys, subject_id, subject_uri, status ARRAY, n_found ARRAY (kept items per
                     action), found_value ARRAY (kept value of each value action), first_fail
                     (ordinal of the first action that stopped, or null)
     ``object_rows`` objects found by the list actions for all subjects, before stops are applied
@@ -82,6 +84,7 @@ class Samples:
     object_rows: DataFrame
     actions: tuple[Action, ...]
     strict: bool
+    keys: tuple[str, ...] = ("subject_key",)
 
     def _name(self, pick: Callable[[Action], str], ordinal: Column) -> Column:
         names = F.array(*[F.lit(pick(a)) for a in self.actions]) if self.actions else F.array(F.lit(""))
@@ -92,7 +95,7 @@ class Samples:
         if not position:
             places = [F.lit(None).cast(t).alias(c) for c, t in zip(POSITION, _POSITION_TYPES)]
         return [
-            F.col("subject_key"),
+            *[F.col(k) for k in self.keys],
             F.col("subject_id"),
             F.col("action_ordinal"),
             self._name(lambda a: a.name, F.col("action_ordinal")).alias("source_action"),
@@ -113,15 +116,15 @@ class Samples:
         One equi join; the side with one row per subject is the status table, so a subject with
         very many objects can be split.
         """
-        ran = self.subjects.select("subject_key", "subject_id", self.n_ran().alias("n_ran"))
-        kept = self.object_rows.join(ran, "subject_key").where(F.col("action_ordinal") < F.col("n_ran"))
+        ran = self.subjects.select(*self.keys, "subject_id", self.n_ran().alias("n_ran"))
+        kept = self.object_rows.join(ran, list(self.keys)).where(F.col("action_ordinal") < F.col("n_ran"))
         return kept.select(*self._item_columns(F.col("action_data"), URI, True))
 
     @property
     def value_items(self) -> DataFrame:
         """One row per value of the kept subjects, straight from their status rows."""
         values = self.subjects.select(
-            "subject_key",
+            *self.keys,
             "subject_id",
             self.n_ran().alias("n_ran"),
             F.posexplode("found_value").alias("action_ordinal", "value"),
@@ -147,12 +150,12 @@ class Samples:
     def status(self) -> DataFrame:
         """One row per subject and action that ran: ok, missing or error."""
         ran = self.subjects.select(
-            "subject_key", "subject_id", "first_fail", F.posexplode("status").alias("action_ordinal", "status")
+            *self.keys, "subject_id", "first_fail", F.posexplode("status").alias("action_ordinal", "status")
         )
         return ran.where(
             F.col("first_fail").isNull() | (F.col("action_ordinal") <= F.col("first_fail"))
         ).select(
-            "subject_key",
+            *self.keys,
             "subject_id",
             "action_ordinal",
             self._name(lambda a: a.name, F.col("action_ordinal")).alias("source_action"),
@@ -182,7 +185,8 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
     if on_failure not in ("keep_partial", "drop"):
         raise ValueError("on_failure is 'keep_partial' or 'drop'")
     strict = on_failure == "drop"
-    base = catalog.subjects.select("subject_key", "subject_id", "subject_uri")
+    keys = catalog.keys("subject_key")
+    base = catalog.subjects.select(*keys, "subject_id", "subject_uri")
     if not actions:
         subjects = base.select(
             "*",
@@ -192,7 +196,7 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
             F.lit(None).cast("int").alias("first_fail"),
         )
         rows = catalog.subjects.where(F.lit(False)).select(
-            "subject_key",
+            *keys,
             F.lit(0).alias("action_ordinal"),
             F.lit("").alias("action_data"),
             F.lit(True).alias("is_text"),
@@ -202,7 +206,7 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
             F.lit(None).cast("bigint").alias("scan_ordinal"),
             F.lit(None).cast("string").alias("scan_key"),
         )
-        return Samples(subjects, rows, (), strict)
+        return Samples(subjects, rows, (), strict, tuple(keys))
 
     tables = [a.rows(catalog, k) for k, a in enumerate(actions)]
     lists = [k for k, a in enumerate(actions) if a.kind == LIST_ACTION]
@@ -211,20 +215,20 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
     if lists:
         # One hash aggregate for all list actions, with fixed-width buffers, combined before its shuffle.
         mine = {k: F.col("action_ordinal") == k for k in lists}
-        counts = objects.groupBy("subject_key").agg(
+        counts = objects.groupBy(*keys).agg(
             *[F.count_if(mine[k]).alias(f"n_{k}") for k in lists],
             *[F.bool_or(mine[k] & F.col("error")).alias(f"bad_{k}") for k in lists],
         )
-        subjects = subjects.join(counts, "subject_key", "left")
+        subjects = subjects.join(counts, keys, "left")
     for k, action in enumerate(actions):
         if action.kind == VALUE_ACTION:
             value = tables[k].select(
-                "subject_key",
+                *keys,
                 F.col("action_data").alias(f"value_{k}"),
                 F.col("is_text").alias(f"text_{k}"),
                 F.col("error").alias(f"bad_{k}"),
             )
-            subjects = subjects.join(value, "subject_key", "left")
+            subjects = subjects.join(value, keys, "left")
 
     nothing, none = F.lit(0).cast("bigint"), F.lit(None).cast("string")
     status, n_found, found_value = [], [], []
@@ -247,7 +251,7 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
         F.array(*found_value).alias("found_value"),
         F.coalesce(*[F.when(s != OK, F.lit(k)) for k, s in enumerate(status)]).alias("first_fail"),
     )
-    return Samples(subjects, objects.where(~F.col("error")), tuple(actions), strict)
+    return Samples(subjects, objects.where(~F.col("error")), tuple(actions), strict, tuple(keys))
 
 
 def surviving(samples: Samples) -> Samples:
@@ -293,6 +297,7 @@ def missing_data_log(samples: Samples) -> DataFrame:
     """Subjects stopped by an action that found nothing; errors are not logged."""
     stopped = F.get("status", F.col("first_fail"))
     return samples.subjects.where(stopped == MISSING).select(
+        *samples.keys[:-1],
         F.col("subject_key").alias("subject_id"),
         F.col("subject_id").alias("subject_label"),
         samples._name(lambda a: a.name, F.col("first_fail")).alias("failed_action"),
@@ -302,10 +307,15 @@ def missing_data_log(samples: Samples) -> DataFrame:
 # ---- item tables -----------------------------------------------------------------------------
 
 
+def _subject_columns(items: DataFrame) -> list[str]:
+    """What names a subject in an item table: its key and project as well as its id."""
+    return [c for c in ("project_id", "subject_key", "subject_id") if c in items.columns]
+
+
 def duplicate_labels(items: DataFrame) -> DataFrame:
     """Samples where one label occurs more than once."""
     return (
-        items.groupBy("subject_id", "data_label")
+        items.groupBy(*_subject_columns(items), "data_label")
         .agg(F.count(F.lit(1)).alias("n_items"))
         .where(F.col("n_items") > 1)
     )
@@ -321,7 +331,7 @@ def promote_values(items: DataFrame, labels: Sequence[str]) -> DataFrame:
         ).alias(name)
         for name in labels
     ]
-    return values.groupBy("subject_key", "subject_id").agg(*last)
+    return values.groupBy(*_subject_columns(items)).agg(*last)
 
 
 def select_items(df: DataFrame, keys: Sequence[str], allow_missing: bool = True) -> DataFrame:
@@ -340,27 +350,28 @@ def nest_items(samples: Samples, chunk_size: int = 10_000) -> DataFrame:
     no array grows without bound and no item is lost.
     """
     kept = surviving(samples).settled()
+    keys = list(kept.keys)
     order = ["action_ordinal", *POSITION, "action_data"]
     rest = ["source_action", "data_type", "data_label"]
-    placed = ordered_position(kept.items, ["subject_key"], order)
+    placed = ordered_position(kept.items, keys, order)
     listed = placed.withColumn("chunk", F.floor((F.col("position") - 1) / chunk_size)).drop("position")
     groups = (
-        listed.groupBy("subject_key", "chunk")
+        listed.groupBy(*keys, "chunk")
         .agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias("found"))
     )
     heads = kept.subjects.select(
-        "subject_key",
+        *keys,
         "subject_id",
         "subject_uri",
         kept.n_ran().alias("n_groups"),
         F.greatest(F.lit(1), F.ceil(kept.n_items() / chunk_size)).cast("bigint").alias("n_chunks"),
     )
-    nested = heads.join(groups, "subject_key", "left")
+    nested = heads.join(groups, keys, "left")
     ordinals = F.when(F.col("n_groups") > 0, F.sequence(F.lit(0), F.col("n_groups") - 1)).otherwise(
         F.array().cast("array<int>")
     )
     return nested.select(
-        "subject_key",
+        *keys,
         "subject_id",
         "subject_uri",
         F.coalesce("chunk", F.lit(0).cast("bigint")).alias("chunk"),

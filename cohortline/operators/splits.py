@@ -14,14 +14,22 @@ TRAIN, VALIDATION, TEST = "train", "validation", "test"
 SPLITS = (TRAIN, VALIDATION, TEST)
 
 
-def bounded_sample(df: DataFrame, n: int, seed: object = 42, key: str = "subject_key") -> DataFrame:
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def bounded_sample(
+    df: DataFrame, n: int, seed: object = 42, key: str | Sequence[str] = "subject_key"
+) -> DataFrame:
     """``n`` random rows if 0 < n < total, else all; the same rows for the same seed."""
     if n <= 0:
         return df
-    return first_by_hash(df.withColumn("draw", stable_hash(seed, key)), "draw", [key], n).drop("draw")
+    return first_by_hash(df.withColumn("draw", stable_hash(seed, *_keys(key))), "draw", _keys(key), n).drop("draw")
 
 
-def preview_sample(split: DataFrame, n: int = 24, seed: object = 42, key: str = "subject_key") -> DataFrame:
+def preview_sample(
+    split: DataFrame, n: int = 24, seed: object = 42, key: str | Sequence[str] = "subject_key"
+) -> DataFrame:
     """At most ``n`` training samples for review."""
     return bounded_sample(split.where(F.col("split") == TRAIN), n, seed, key)
 
@@ -31,7 +39,7 @@ def split_samples(
     seed: object = 42,
     fractions: Sequence[float] = (0.5, 0.25, 0.25),
     exact: bool = False,
-    key: str = "subject_key",
+    key: str | Sequence[str] = "subject_key",
 ) -> DataFrame:
     """Add a ``split`` column: train, validation or test.
 
@@ -43,7 +51,7 @@ def split_samples(
     train, validation, test = fractions
     if min(fractions) < 0 or abs(train + validation + test - 1.0) > 1e-9:
         raise ValueError("fractions are three shares that add up to 1")
-    digest = stable_hash(seed, key)
+    digest = stable_hash(seed, *_keys(key))
     if not exact:
         draw = hash_unit(digest)
         return df.withColumn(
@@ -57,8 +65,8 @@ def split_samples(
         TRAIN: F.col("n") - held,
         VALIDATION: F.col("n") - F.ceil(F.round(held * F.lit(share), 9)),
     }
-    me = F.struct("draw", key)
-    found = hash_thresholds(hashed, "draw", key, cuts)
+    me = F.struct("draw", *_keys(key))
+    found = hash_thresholds(hashed, "draw", _keys(key), cuts)
     last = found.agg(
         F.struct(*[F.max(F.when(F.col("cut") == cut, me)).alias(cut) for cut in cuts]).alias("last")
     ).scalar()
@@ -69,9 +77,9 @@ def split_samples(
     ).drop("draw")
 
 
-def held_out_ids(split: DataFrame, key: str = "subject_id") -> DataFrame:
-    """Ids of the test split."""
-    return split.where(F.col("split") == TEST).select(key)
+def held_out_ids(split: DataFrame, key: str | Sequence[str] = "subject_id") -> DataFrame:
+    """Ids of the test split; over several projects name the project as well."""
+    return split.where(F.col("split") == TEST).select(*_keys(key))
 
 
 def training_shards(
@@ -80,7 +88,7 @@ def training_shards(
     n_shards: int,
     seed: object = 42,
     epoch: int | None = None,
-    key: str = "subject_key",
+    key: str | Sequence[str] = "subject_key",
 ) -> DataFrame:
     """Add ``shard``, ``position`` (0-based inside the shard) and ``batch``.
 
@@ -88,12 +96,12 @@ def training_shards(
     for it (training); without one it is the same every time (validation and test). Write with
     ``partitionBy('shard')``.
     """
-    home = stable_hash(seed, key)
-    order = home if epoch is None else stable_hash(f"{seed}:{epoch}", key)
+    home = stable_hash(seed, *_keys(key))
+    order = home if epoch is None else stable_hash(f"{seed}:{epoch}", *_keys(key))
     placed = df.withColumn("shard", F.pmod(hash_number(home, 9, 8), F.lit(n_shards)).cast("int")).withColumn(
         "draw", order
     )
-    ranked = hash_rank(placed, "draw", [key], ["shard"])
+    ranked = hash_rank(placed, "draw", _keys(key), ["shard"])
     return (
         ranked.withColumn("position", F.col("position") - 1)
         .withColumn("batch", F.floor(F.col("position") / batch_size))

@@ -48,23 +48,25 @@ def _stat_row(split: Column, stat: str, key: Column, value: Column) -> Column:
     )
 
 
-def _cohort_counts(subjects: DataFrame) -> DataFrame:
-    """Patients (0 if there are none), samples per split and labels per split, counted in one pass."""
+def _cohort_counts(subjects: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Patients (0 if there are none at all), samples per split and labels per split, counted in one pass."""
     none, one = F.lit(None), F.lit(1)
     facts = F.concat(
         F.array(_stat_row(none, "N_patients", none, one), _stat_row(F.col("split"), "n_samples", none, one)),
         F.transform("labels", lambda label: _stat_row(F.col("split"), "N", label, one)),
     )
-    nobody = subjects.sparkSession.range(1).select(
-        F.inline(F.array(_stat_row(none, "N_patients", none, F.lit(0))))
-    )
-    rows = subjects.select(F.inline(facts)).unionByName(nobody)
-    return rows.groupBy("split", "stat", "key").agg(F.sum("value").alias("value"))
+    rows = subjects.select(*by, F.inline(facts))
+    if not by:
+        nobody = subjects.sparkSession.range(1).select(
+            F.inline(F.array(_stat_row(none, "N_patients", none, F.lit(0))))
+        )
+        rows = rows.unionByName(nobody)
+    return rows.groupBy(*by, "split", "stat", "key").agg(F.sum("value").alias("value"))
 
 
-def _with_class_weights(counts: DataFrame) -> DataFrame:
+def _with_class_weights(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Add a ``class_weights`` row to each label count; the window sees one row per split and class."""
-    group = Window.partitionBy("split", "stat")
+    group = Window.partitionBy(*by, "split", "stat")
     known = (F.col("stat") == "N") & F.col("key").isNotNull()
     weight = F.sum("value").over(group) / (F.count(F.lit(1)).over(group) * F.col("value"))
     both = F.array(
@@ -72,25 +74,30 @@ def _with_class_weights(counts: DataFrame) -> DataFrame:
         _stat_row(F.col("split"), "class_weights", F.col("key"), F.col("weight")),
     )
     same = F.array(F.struct("split", "stat", "key", "value"))
-    return counts.withColumn("weight", weight).select(F.inline(F.when(known, both).otherwise(same)))
+    return counts.withColumn("weight", weight).select(*by, F.inline(F.when(known, both).otherwise(same)))
 
 
-def dataset_stats(subjects: DataFrame) -> DataFrame:
-    """Statistics per split in long form ``(split, stat, key, value)``.
+def dataset_stats(subjects: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Statistics per split, and per group of ``by`` such as the project, in long form ``(split, stat, key, value)``.
 
     ``subjects`` has one row per subject with its ``split`` and its ``labels`` (an array, mostly of
     one label). Stats are ``n_samples``, ``N`` (count of a label) and ``class_weights``.
     """
-    return _with_class_weights(_cohort_counts(subjects)).where(F.col("stat") != "N_patients")
+    return _with_class_weights(_cohort_counts(subjects, by), by).where(F.col("stat") != "N_patients")
+
 
+def data_manifest(
+    subjects: DataFrame, label_dict: Mapping[str, int | None], by: Sequence[str] = ()
+) -> DataFrame:
+    """Patient total, statistics of the splits and the label dictionary, in the same long form.
 
-def data_manifest(subjects: DataFrame, label_dict: Mapping[str, int | None]) -> DataFrame:
-    """Patient total, statistics of the splits and the label dictionary, in the same long form."""
+    With ``by`` the dictionary, which is common to all groups, has null there.
+    """
     names = subjects.sparkSession.createDataFrame(
         [(None, "labels", k, None if v is None else float(v)) for k, v in label_dict.items()],
         "split string, stat string, key string, value double",
     )
-    return _with_class_weights(_cohort_counts(subjects)).unionByName(names)
+    return _with_class_weights(_cohort_counts(subjects, by), by).unionByName(names, allowMissingColumns=True)
 
 
 def nested_manifest(manifest: DataFrame) -> DataFrame:

@@ -53,11 +53,11 @@ class Cohort:
     split: DataFrame
     missing: DataFrame
 
-    def stats(self) -> DataFrame:
-        return dataset_stats(self.split)
+    def stats(self, by: Sequence[str] = ()) -> DataFrame:
+        return dataset_stats(self.split, by)
 
-    def manifest(self, label_dict: Mapping[str, int | None]) -> DataFrame:
-        return data_manifest(self.split, label_dict)
+    def manifest(self, label_dict: Mapping[str, int | None], by: Sequence[str] = ()) -> DataFrame:
+        return data_manifest(self.split, label_dict, by)
 
 
 def run_cohort(
@@ -74,11 +74,12 @@ def run_cohort(
 
     Everything up to the statistics needs one row per subject, so no image item is ever shuffled.
     """
+    keys = catalog.keys("subject_key")
     if test_batch > 0:
-        catalog = catalog.with_subjects(bounded_sample(catalog.subjects, test_batch, seed))
+        catalog = catalog.with_subjects(bounded_sample(catalog.subjects, test_batch, seed, keys))
     built = build_samples(catalog, actions, on_failure)
     valid = validate_samples(complete_samples(built), required)
     labels = F.transform(valid.values_of("label"), lambda v: v.try_cast("bigint"))
-    subjects = valid.subjects.select("subject_key", "subject_id", "subject_uri", labels.alias("labels"))
-    split = split_samples(subjects, seed, fractions, exact)
+    subjects = valid.subjects.select(*keys, "subject_id", "subject_uri", labels.alias("labels"))
+    split = split_samples(subjects, seed, fractions, exact, keys)
     return Cohort(valid, split, missing_data_log(built))

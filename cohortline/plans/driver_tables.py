@@ -67,6 +67,39 @@ def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     return Catalog(subjects, experiments, scans, resources)
 
 
+def project_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    """As ``catalog``, in projects of a hundred customers whose keys repeat from project to project."""
+    c = F.col
+
+    def cut(number: str) -> list[Column]:
+        project = F.floor(c(number) / 100).cast("string").alias("project_id")
+        return [project, (c(number) % 100).alias("subject_key")]
+
+    subjects = table(spark, sf_dir, "customer").select(
+        *cut("c_custkey"), c("c_name").alias("subject_id"), text("/subjects/", c("c_custkey")).alias("subject_uri")
+    )
+    orders = table(spark, sf_dir, "orders")
+    experiments = orders.select(
+        *cut("o_custkey"),
+        c("o_orderkey").cast("string").alias("exp_key"),
+        F.unix_date(c("o_orderdate").cast("date")).cast("bigint").alias("exp_ordinal"),
+        c("o_orderpriority").alias("modality"),
+        text(c("o_orderstatus"), "_", F.substring("o_orderpriority", 1, 1)).alias("label"),
+    )
+    lines = table(spark, sf_dir, "lineitem").join(
+        orders.select("o_orderkey", cut("o_custkey")[0]), c("l_orderkey") == c("o_orderkey")
+    )
+    scans = lines.select(
+        "project_id",
+        c("l_orderkey").cast("string").alias("exp_key"),
+        F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey").alias("scan_key"),
+        c("l_linenumber").cast("bigint").alias("scan_ordinal"),
+        F.concat("l_returnflag", "l_linestatus").alias("series_description"),
+        text("/scans/", c("l_orderkey"), "/", c("l_linenumber")).alias("uri"),
+    )
+    return Catalog(subjects, experiments, scans)
+
+
 # ---- images and predictions ------------------------------------------------------------------
 
 

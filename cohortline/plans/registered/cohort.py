@@ -300,7 +300,7 @@ def resource_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT subject_id, data_label, count(*) AS n_items FROM items GROUP BY 1, 2 HAVING count(*) > 1"
 )
 def duplicate_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return smp.duplicate_labels(built(spark, sf_dir).items)
+    return smp.duplicate_labels(built(spark, sf_dir).items).drop("subject_key")
 
 
 @query(COHORT + VALID + "SELECT subject_id, CAST(label AS VARCHAR) AS label FROM valid")
@@ -482,3 +482,58 @@ def training_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evaluation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = splits.training_shards(subjects(spark, sf_dir), batch_size=8, n_shards=4)
     return sharded.select("subject_key", "shard", "position", "batch")
+
+
+# Several projects with the same subject keys inside: the customer number is cut in two.
+PROJECTS = """
+WITH subjects AS (
+  SELECT c_custkey // 100 AS project_id, c_custkey % 100 AS subject_key, c_name AS subject_id FROM customer
+), experiments AS (
+  SELECT o_custkey // 100 AS project_id, o_custkey % 100 AS subject_key, o_orderkey AS exp_key,
+         o_orderpriority AS modality, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS exp_ordinal,
+         o_orderstatus || '_' || substr(o_orderpriority, 1, 1) AS label FROM orders
+), scans AS (
+  SELECT o_custkey // 100 AS project_id, l_orderkey AS exp_key, '/scans/' || l_orderkey || '/' || l_linenumber AS uri
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+)"""
+
+
+@query(
+    PROJECTS
+    + """SELECT s.project_id::VARCHAR AS project_id, s.subject_key, s.subject_id, e.exp_key::VARCHAR AS exp_key, c.uri
+         FROM subjects s LEFT JOIN experiments e ON s.project_id = e.project_id AND s.subject_key = e.subject_key
+         LEFT JOIN scans c ON c.project_id = e.project_id AND c.exp_key = e.exp_key"""
+)
+def catalog_join_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = cat.catalog_join(dt.project_catalog(spark, sf_dir))
+    return joined.select("project_id", "subject_key", "subject_id", "exp_key", "uri")
+
+
+@query(
+    PROJECTS
+    + """, found AS (
+           SELECT s.project_id, s.subject_key,
+                  count(*) FILTER (WHERE (contains(e.modality, 'URGENT') OR contains(e.modality, 'HIGH'))
+                                   AND e.exp_key IN (SELECT exp_key FROM scans)) AS n_xr,
+                  arg_max(TRY_CAST(split_part(e.label, '_', 2) AS BIGINT), (e.exp_ordinal, e.exp_key::VARCHAR))
+                    FILTER (WHERE contains(e.modality, 'URGENT') OR contains(e.modality, 'MEDIUM')) AS label
+           FROM subjects s JOIN experiments e ON s.project_id = e.project_id AND s.subject_key = e.subject_key
+           GROUP BY 1, 2
+         ), valid AS (SELECT * FROM found WHERE n_xr > 0 AND label IS NOT NULL)
+         , split AS (
+           SELECT *, CASE WHEN u < 0.5 THEN 'train' WHEN u < 0.75 THEN 'validation' ELSE 'test' END AS split
+           FROM (SELECT *, CAST(('0x' || substr(md5('42:' || project_id || ':' || subject_key), 1, 8)) AS UBIGINT)
+                           / 4294967296.0 AS u FROM valid)
+         ), counts AS (SELECT project_id, split, label, count(*) AS n FROM split GROUP BY ALL)
+         , stats AS (
+           SELECT project_id, split, 'n_samples' AS stat, CAST(NULL AS VARCHAR) AS key, count(*)::DOUBLE AS value
+           FROM split GROUP BY ALL
+           UNION ALL SELECT project_id, split, 'N', label::VARCHAR, n::DOUBLE FROM counts
+           UNION ALL
+           SELECT project_id, split, 'class_weights', label::VARCHAR,
+                  round(sum(n) OVER w / (count(*) OVER w * n)::DOUBLE, 6) FROM counts WINDOW w AS (PARTITION BY project_id, split)
+         ) SELECT project_id::VARCHAR AS project_id, split, stat, key, value FROM stats"""
+)
+def dataset_stats_by_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = run_cohort(dt.project_catalog(spark, sf_dir), actions(), REQUIRED)
+    return run.stats(["project_id"]).withColumn("value", F.round("value", 6))

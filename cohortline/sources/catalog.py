@@ -27,6 +27,8 @@ class Catalog:
     ``experiments`` subject_key, exp_key, exp_ordinal, modality, label
     ``scans``       exp_key, scan_key, scan_ordinal, series_description, uri
     ``resources``   uri, resource_files
+
+    Keys are unique inside a project only: where the tables carry ``project_id``, it is part of every key.
     """
 
     subjects: DataFrame
@@ -34,10 +36,21 @@ class Catalog:
     scans: DataFrame
     resources: DataFrame | None = None
 
+    @property
+    def scope(self) -> list[str]:
+        """``project_id`` if subjects, experiments and scans all carry it."""
+        levels = (self.subjects, self.experiments, self.scans)
+        return ["project_id"] if all("project_id" in t.columns for t in levels) else []
+
+    def keys(self, name: str) -> list[str]:
+        """The columns that make a key of one level unique."""
+        return [*self.scope, name]
+
     def with_subjects(self, subjects: DataFrame) -> Catalog:
         """The catalog of some subjects, such as a sample: the experiments of others leave before
         any scan is joined."""
-        mine = self.experiments.join(subjects.select("subject_key"), "subject_key", "left_semi")
+        keys = self.keys("subject_key")
+        mine = self.experiments.join(subjects.select(*keys), keys, "left_semi")
         return replace(self, subjects=subjects, experiments=mine)
 
 

@@ -248,3 +248,26 @@ def test_run_on_a_sample_of_subjects(catalog):
     everyone = run_cohort(catalog, ACTIONS, (), test_batch=99).samples
     assert rows(everyone.subjects.select("subject_key")) == rows(run_cohort(catalog, ACTIONS, ()).samples.subjects.select("subject_key"))
     assert smp.build_samples(catalog, ACTIONS).settled().subjects.count() == 7
+
+
+def test_projects_with_equal_keys_stay_apart(spark):
+    """Two projects with the same keys at every level."""
+    subjects = spark.createDataFrame([(p, "s", "id", "/s") for p in "ab"], "project_id string, subject_key string, subject_id string, subject_uri string")
+    experiments = spark.createDataFrame(
+        [(p, "s", "e", 1, "CR", f"X_{n}") for n, p in enumerate("ab")],
+        "project_id string, subject_key string, exp_key string, exp_ordinal bigint, modality string, label string",
+    )
+    scans = spark.createDataFrame(
+        [(p, "e", "c", 1, "d", f"/{p}") for p in "ab"],
+        "project_id string, exp_key string, scan_key string, scan_ordinal bigint, series_description string, uri string",
+    )
+    both = Catalog(subjects, experiments, scans)
+    assert catalog_join(both).count() == 2
+    run = run_cohort(both, [scan_action(), label_action()], ("fetch_xr", "fetch_label"))
+    items = rows(run.samples.items.select("project_id", "action_data"))
+    assert items == [("a", "/a"), ("a", "0"), ("b", "/b"), ("b", "1")]
+    assert run.samples.items.count() == 4 and smp.duplicate_labels(run.samples.items).count() == 0
+    nested = smp.nest_items(run.samples)
+    assert {r.project_id: len(r.data) for r in nested.collect()} == {"a": 2, "b": 2}
+    joins = [x for x in run.split._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
+    assert joins and all("project_id" in x for x in joins)
