@@ -17,6 +17,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Bytes of an Arrow batch; a worker holds a few of them at once.
+BATCH_BYTES = 16 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches below BATCH_BYTES, since texts can be long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = str(spark.conf.get(name)).lower().removesuffix("b")
+    if not given.isdigit() or not 0 < int(given) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def fold(id_col: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
@@ -24,6 +36,7 @@ def fold(id_col: str, modulus: int) -> Column:
 
 def id_and_text(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """The id and the whole text (null as empty) under fixed names, so that other columns cannot clash."""
+    bound_batches(df.sparkSession)
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks_of, text_sizes
+from .common import blocks_of, bound_batches, text_sizes
 
 #: Per language: landmarks, and texts that the regressions are fitted to.
 LANDMARKS = 24
@@ -162,6 +162,7 @@ def learn_languages(
 
 def predict_languages(df: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """The rows with ``lang_pred`` and ``lang_score``; one pass, no shuffle."""
+    bound_batches(df.sparkSession)
     # The number of n-gram codes bounds the model: a few MB.
     shared = df.sparkSession.sparkContext.broadcast(model)
     names_in = df.columns

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import settle
-from .common import blocks_of, buckets_for, raw, text_sizes
+from .common import blocks_of, bound_batches, buckets_for, raw, text_sizes
 
 BLOCK_WORDS = 64
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -49,6 +49,7 @@ def word_counts(df: DataFrame, id_col: str, text_col: str, source_col: str) -> D
                 [*[block.column(c) for c in names], pa.array(sizes, pa.int64())], names=[*names, "size"]
             )
 
+    bound_batches(df.sparkSession)
     docs = df.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.storage import settle
-from .common import BLANKS, blocks_of, id_and_text, raw, text_sizes
+from .common import BLANKS, blocks_of, bound_batches, id_and_text, raw, text_sizes
 
 #: All ASCII bytes but letters.
 NO_LETTERS = bytes(range(65)) + bytes(range(91, 97)) + bytes(range(123, 128))
@@ -94,6 +94,7 @@ def counts_of(data: bytes) -> tuple[int, ...]:
 
 def with_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows with their counts; one pass, no shuffle."""
+    bound_batches(df.sparkSession)
     names_in = df.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

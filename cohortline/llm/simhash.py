@@ -128,10 +128,15 @@ def pivot_table(prints: DataFrame) -> DataFrame:
         "fp",
         F.bit_count(fp).cast("tinyint").alias("d0"),
         F.array(*[F.array(*to_pair[8 * g : 8 * g + 8]) for g in range(4)]).alias("groups"),
-        F.array(*[distance(fp, F.lit(signed(p))).cast("tinyint") for p in random_pivots()]).alias("far"),
+        random_distances(fp).alias("far"),
     )
 
 
+def random_distances(fp: Column) -> Column:
+    """Distances to the pseudorandom pivots."""
+    return F.array(*[distance(fp, F.lit(signed(p))).cast("tinyint") for p in random_pivots()])
+
+
 def keyed(table: DataFrame) -> DataFrame:
     """Six rows per fingerprint: the coordinates of two of the four groups, relative to d0, as ``key``."""
     choices = []
@@ -248,24 +253,36 @@ def part_fingerprints(hashes: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def part_keys(df: DataFrame, words_in: int = SET_WORDS) -> DataFrame:
+    """Per text (node, text) the keys of its parts. The sets themselves are not kept: they are as large as the texts."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
+            found = [part_fingerprints(np.unique(shingle_hashes(x, words_in))) for x in raw(block)]
+            parts = [[hash_pair(*x) for x in own] for own in found]
+            yield pa.RecordBatch.from_arrays(
+                [block.column("node"), pa.array(parts, pa.list_(pa.int64()))], names=["node", "parts"]
+            )
+
+    return df.mapInArrow(hashed, "node bigint, parts array<bigint>")
+
+
 def shingle_sets(df: DataFrame, words_in: int = SET_WORDS) -> DataFrame:
-    """Per text (doc_id, text): fp of its set of shingles, the set as ``hashes``, and its ``parts`` as keys."""
+    """Per text (node, text) the set of its shingle hashes and that set's fingerprint ``fp``."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
             sets = [np.unique(shingle_hashes(x, words_in)) for x in raw(block)]
-            parts = [[hash_pair(*x) for x in part_fingerprints(own)] for own in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("node"),
                     pa.array([majority(x) for x in sets], pa.int64()),
                     pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
-                    pa.array(parts, pa.list_(pa.int64())),
                 ],
-                names=["node", "fp", "hashes", "parts"],
+                names=["node", "fp", "hashes"],
             )
 
-    return df.mapInArrow(hashed, "node bigint, fp bigint, hashes array<bigint>, parts array<bigint>")
+    return df.mapInArrow(hashed, "node bigint, fp bigint, hashes array<bigint>")
 
 
 def hash_pair(part: int, fp: int) -> int:
@@ -287,8 +304,8 @@ def similar_groups(
     named = docs.withColumn("node", F.xxhash64(lower))
     ids = settle(named.groupBy("node").agg(F.min("doc_id").alias("least_id")))
     # Hashing all texts costs less than shuffling them to find the different ones; equal nodes give equal rows.
-    sets = settle(shingle_sets(named.select("node", "text"), words_in))
-    entries = settle(sets.select("node", F.explode("parts").alias("key")).distinct())
+    parts = part_keys(named.select("node", "text"), words_in)
+    entries = settle(parts.select("node", F.explode("parts").alias("key")).distinct())
     least = entries.groupBy("key").agg(F.min("node").alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = settle(entries.join(least, "key"))
     to_least = shared.where("node <> other").select("node", "other")
@@ -296,12 +313,11 @@ def similar_groups(
     to_last = shared.select("node", F.lag("node").over(in_order).alias("other")).where("other IS NOT NULL")
     pairs = settle(to_least.unionByName(to_last).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    # Sets only of texts that have a candidate, once per text.
-    own = sets.join(wanted, "node", "left_semi")
+    # Sets only of texts that have a candidate, once per text; the join and the window share one shuffle of the texts.
     single = Window.partitionBy("node").orderBy(F.lit(0))
-    own = own.withColumn("n", F.row_number().over(single)).where("n = 1").select("node", "fp", "hashes")
-    far = pivot_table(own.select("fp").distinct()).select("fp", "far")
-    tabled = settle(own.join(far, "fp"))
+    own = named.select("node", "text").join(wanted, "node", "left_semi")
+    one = own.withColumn("n", F.row_number().over(single)).where("n = 1").select("node", "text")
+    tabled = settle(shingle_sets(one, words_in).withColumn("far", random_distances(F.col("fp"))).drop("fp"))
     left = tabled.select(F.col("node").alias("a"), F.col("hashes").alias("a_hashes"), F.col("far").alias("a_far"))
     right = tabled.select(F.col("node").alias("b"), F.col("hashes").alias("b_hashes"), F.col("far").alias("b_far"))
     widest = F.array_max(F.zip_with("a_far", "b_far", lambda x, y: F.abs(x - y)))
@@ -326,12 +342,15 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """The rows of ``df`` without near copies: of each group the row with the smallest id stays, and of repeated rows with
     that id one."""
     groups = similar_groups(df, id_col, text_col)
+
+    def key(node: Column, name: str) -> Column:
+        return F.concat_ws(":", node, F.coalesce(F.col(name).cast("string"), F.lit("null")))
+
     lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     # A component is named by its smallest id: that row stays (a null id only where all ids are null).
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")
-    ).distinct()
-    marked = df.withColumn("_hash", F.xxhash64(lower))
-    kept = marked.join(stays, marked[id_col].eqNullSafe(stays["_kept_id"]) & (marked["_hash"] == stays["_kept_hash"]), "left_semi")
-    first = Window.partitionBy("_hash", id_col).orderBy(F.lit(0))
-    return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*df.columns)
+    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key(F.col("text_hash"), "doc_id").alias("_key"))
+    marked = df.withColumn("_key", key(F.xxhash64(lower), id_col))
+    # The join and the window share one shuffle of the rows.
+    first = Window.partitionBy("_key").orderBy(F.lit(0))
+    kept = marked.join(stays.distinct(), "_key", "left_semi").withColumn("_n", F.row_number().over(first))
+    return kept.where("_n = 1").select(*df.columns)

@@ -2,7 +2,7 @@
 
 Texts become pieces of at most ``most`` tokens as in ``pattern_packing.token_pieces``. Pieces are packed in groups of about ``GROUP_TOKENS``
 tokens: longest first, each into the fullest sequence that still holds it, found by a segment tree over the sequences' free room. A
-group's last sequences stay partly empty, which costs less than a sequence or two in a group's two thousand.
+group's last sequences stay partly empty, which costs a sequence or two in a group's thousand.
 Every sequence is one row of the written matrix: ``ids`` and ``positions`` (little-endian unsigned 16- or 32-bit, padded to ``most``; positions start
 again at 0 with each piece), ``cu_seqlens`` (0 and the end of each piece), and the pieces with their document. One pass, no
 shuffle; groups are bounded whatever the input holds.
@@ -27,7 +27,7 @@ from .common import blocks_of, id_and_text, raw, text_sizes
 from .tokens import END_ID, cut_lengths, encoder, tokenizer_path
 
 MOST = 1024
-GROUP_TOKENS = 2_000_000
+GROUP_TOKENS = 1_000_000
 BLOCK_BYTES = 2 << 20
 PAD_ID = 0
 
@@ -164,7 +164,8 @@ def write_matrix(
         "pieces array<struct<piece:bigint,start:bigint,offset:bigint,length:bigint>>"
     )
     rows = id_and_text(df, id_col, text_col).mapInArrow(packed, schema)
-    rows.write.option("compression", "zstd").parquet(path)
+    # Small row groups: a writer holds one of them, and the ids do not get smaller in larger ones.
+    rows.write.option("compression", "zstd").option("parquet.block.size", str(16 << 20)).parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 

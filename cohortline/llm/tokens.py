@@ -15,7 +15,7 @@ from functools import lru_cache
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 #: Parts that a worker remembers, and the longest part it remembers.
-MOST_PARTS = 500_000
+MOST_PARTS = 250_000
 LONGEST_PART = 64
 #: Parts encoded in one call.
 TOGETHER = 500
