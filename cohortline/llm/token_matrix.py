@@ -30,6 +30,7 @@ MOST = 1024
 GROUP_TOKENS = 1_000_000
 BLOCK_BYTES = 2 << 20
 PAD_ID = 0
+PIECE = ("piece", "start", "offset", "length")
 
 
 class RoomTree:
@@ -100,7 +101,9 @@ def write_matrix(
     end = np.array([end_id], "<u4").tobytes()
     kind_of_id = f"<u{width}"
     kind = df.schema[id_col].dataType.simpleString()
-    pieces_type = pa.list_(pa.struct([(c, pa.int64()) for c in ("piece", "start", "offset", "length")]))
+    ramp = np.arange(most).astype(kind_of_id).tobytes()
+    padding = np.full(most, PAD_ID, kind_of_id).tobytes()
+    zeros = bytes(most * width)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
@@ -110,31 +113,32 @@ def write_matrix(
 
         def rows() -> pa.RecordBatch:
             nonlocal sequence, held, total
-            made = best_fit_decreasing([len(x[3]) for x in held], most)
-            ids = np.full((len(made), most), PAD_ID, kind_of_id)
-            positions = np.zeros((len(made), most), kind_of_id)
-            docs, pieces, ends = [], [], []
-            for row, members in enumerate(made):
-                at, own, listed = 0, [0], []
+            made = best_fit_decreasing([len(x[3]) // width for x in held], most)
+            ids, positions, ends, docs, numbers = [], [], [], [], []
+            for members in made:
+                at, own = 0, [0]
                 for i in members:
                     doc, piece, start, tokens = held[i]
-                    ids[row, at : at + len(tokens)] = tokens
-                    positions[row, at : at + len(tokens)] = np.arange(len(tokens))
-                    listed.append({"piece": piece, "start": start, "offset": at, "length": len(tokens)})
+                    length = len(tokens) // width
+                    numbers.append((piece, start, at, length))
                     docs.append(doc)
-                    at += len(tokens)
+                    at += length
                     own.append(at)
-                pieces.append(listed)
                 ends.append(own)
-            counts = np.concatenate(([0], np.cumsum([len(x) for x in made]))).astype(np.int32)
+                rest = most - at
+                ids.append(b"".join([*[held[i][3] for i in members], padding[: rest * width]]))
+                positions.append(b"".join([*[ramp[: len(held[i][3])] for i in members], zeros[: rest * width]]))
+            counts = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in made]))).astype(np.int32))
+            fields = [pa.array(x) for x in np.array(numbers, np.int64).reshape(-1, 4).T.copy()]
+            pieces = pa.StructArray.from_arrays(fields, names=list(PIECE))
             out = pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(sequence, sequence + len(made))),
-                    pa.array([x.tobytes() for x in ids], pa.binary()),
-                    pa.array([x.tobytes() for x in positions], pa.binary()),
+                    pa.array(ids, pa.binary()),
+                    pa.array(positions, pa.binary()),
                     pa.array(ends, pa.list_(pa.int32())),
-                    pa.ListArray.from_arrays(pa.array(counts), pa.array(docs, doc_type)),
-                    pa.array(pieces, pieces_type),
+                    pa.ListArray.from_arrays(counts, pa.array(docs, doc_type)),
+                    pa.ListArray.from_arrays(counts, pieces),
                 ],
                 names=["sequence_id", "ids", "positions", "cu_seqlens", "doc_ids", "pieces"],
             )
@@ -149,9 +153,10 @@ def write_matrix(
                 tokens = np.frombuffer(text + end, "<u4")
                 if width == 2 and tokens.max() > 0xFFFF:
                     raise ValueError("an id needs more than 16 bits")
+                data = tokens.astype(kind_of_id).tobytes()
                 start = 0
                 for piece, length in enumerate(cut_lengths(len(tokens), most)):
-                    held.append((doc, piece, start, tokens[start : start + length].astype(kind_of_id)))
+                    held.append((doc, piece, start, data[start * width : (start + length) * width]))
                     start += length
                 total += len(tokens)
                 if total >= GROUP_TOKENS:

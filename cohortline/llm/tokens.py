@@ -14,8 +14,8 @@ from functools import lru_cache
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-#: Parts that a worker remembers, and the longest part it remembers.
-MOST_PARTS = 250_000
+#: Parts that a worker remembers, in two generations, and the longest part it remembers.
+MOST_PARTS = 300_000
 LONGEST_PART = 64
 #: Parts encoded in one call.
 TOGETHER = 500
@@ -48,6 +48,7 @@ class PartEncoder:
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.heads: dict[bytes, bytes] = {}
 
     @staticmethod
@@ -65,15 +66,18 @@ class PartEncoder:
         return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        known, heads = self.known, self.heads
-        for seen in (known, heads):
-            if len(seen) > MOST_PARTS:
-                seen.clear()
+        if len(self.known) > MOST_PARTS // 2:
+            # Parts that come again move to the new generation; the others are forgotten with the old one.
+            self.older, self.known = self.known, {}
+        known, heads, older = self.known, self.heads, self.older
+        if len(heads) > MOST_PARTS // 8:
+            heads.clear()
         cut = [self.parts(x) for x in texts]
         first = [parts.pop(0) for parts in cut]
         ids = [list(map(known.get, parts)) for parts in cut]
         fresh = {p for parts, found in zip(cut, ids) if None in found for p, x in zip(parts, found) if x is None}
-        self.learn(list(fresh))
+        known.update((p, older[p]) for p in fresh if p in older)
+        self.learn([p for p in fresh if p not in known])
         self.learn_heads(list({h for h in first if h not in heads}))
         out = [
             b"".join([heads[h], *(map(known.__getitem__, parts) if None in found else found)])
