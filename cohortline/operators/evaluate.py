@@ -36,8 +36,8 @@ def confusion_counts(preds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return with_prediction(preds).groupBy(*by, "y", "pred").agg(F.count(F.lit(1)).alias("n"))
 
 
-def confusion_matrix(preds: DataFrame, n_classes: int) -> DataFrame:
-    """Dense n_classes x n_classes counts, truth by prediction, zeros included.
+def confusion_matrix(preds: DataFrame, n_classes: int, by: Sequence[str] = ()) -> DataFrame:
+    """Dense n_classes x n_classes counts per group of ``by``, truth by prediction, zeros included.
 
     Predictions whose truth or predicted class is null or outside the classes are counted in one more row, with null
     in both, so the counts always add up to the predictions.
@@ -46,11 +46,19 @@ def confusion_matrix(preds: DataFrame, n_classes: int) -> DataFrame:
         F.floor(F.col("id") / n_classes).cast("int").alias("y"), (F.col("id") % n_classes).cast("int").alias("pred")
     )
     inside = F.col("y").between(0, n_classes - 1) & F.col("pred").between(0, n_classes - 1)
-    counts = confusion_counts(preds).select(F.col("y").cast("int").alias("y"), "pred", "n", F.coalesce(inside, F.lit(False)).alias("inside"))
-    dense = cells.join(counts.where("inside"), ["y", "pred"], "left")
+    counts = confusion_counts(preds, by).select(
+        *by, F.col("y").cast("int").alias("y"), "pred", "n", F.coalesce(inside, F.lit(False)).alias("inside")
+    )
     none = F.lit(None).cast("int")
-    outside = counts.where("NOT inside").agg(F.sum("n").alias("n")).where("n > 0").select(none.alias("y"), none.alias("pred"), "n")
-    return dense.select("y", "pred", F.coalesce("n", F.lit(0)).alias("n")).unionByName(outside)
+    outside = counts.where("NOT inside").groupBy(*by).agg(F.sum("n").alias("n")).where("n > 0")
+    if by:
+        # Each group's own cells: an array of fixed size, not a join.
+        grid = F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(p).alias("pred")) for y in range(n_classes) for p in range(n_classes)]))
+        cells = counts.select(*by).distinct().select(*by, grid.alias("cell")).select(*by, "cell.*")
+    dense = cells.join(counts.where("inside"), [*by, "y", "pred"], "left")
+    return dense.select(*by, "y", "pred", F.coalesce("n", F.lit(0)).alias("n")).unionByName(
+        outside.select(*by, none.alias("y"), none.alias("pred"), "n")
+    )
 
 
 def class_counts(preds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -132,19 +140,20 @@ def f1_score(preds: DataFrame, average: str = "micro", by: Sequence[str] = ()) -
     raise ValueError("average is 'macro' or 'micro'")
 
 
-def classification_report(preds: DataFrame) -> DataFrame:
-    """Per class and summary rows ``(name, precision, recall, f1, support)``.
+def classification_report(preds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per group of ``by``: per class and summary rows ``(name, precision, recall, f1, support)``.
 
     The accuracy row carries the share of correct predictions in all three score columns.
     """
-    scores = class_scores(preds)
+    scores = class_scores(preds, by)
     n = F.sum("support")
 
     def weighted(c: str) -> Column:
         return F.sum(F.col(c) * F.col("support")) / n
 
     right = F.sum("tp") / n
-    summary = scores.agg(
+    # The names of the summary rows.
+    summary = scores.groupBy(*by).agg(
         F.array(
             F.struct(
                 F.lit("accuracy").alias("name"),
@@ -168,67 +177,67 @@ def classification_report(preds: DataFrame) -> DataFrame:
                 n.alias("support"),
             ),
         ).alias("lines")
-    ).select(F.inline("lines"))
-    per_class = scores.select(F.col("label").cast("string").alias("name"), "precision", "recall", "f1", "support")
+    ).select(*by, F.inline("lines"))
+    per_class = scores.select(*by, F.col("label").cast("string").alias("name"), "precision", "recall", "f1", "support")
     return per_class.unionByName(summary)
 
 
 # ---- rank metrics ----------------------------------------------------------------------------
 
 
-def _score_counts(preds: DataFrame, positive: int | None) -> DataFrame:
+def _score_counts(preds: DataFrame, positive: int | None, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct (class, score); combined before the shuffle."""
     scored = with_probabilities(preds)
     if positive is None:
-        rows = scored.select("y", F.posexplode("probabilities").alias("label", "score"))
+        rows = scored.select(*by, "y", F.posexplode("probabilities").alias("label", "score"))
         hit = F.col("y") == F.col("label")
     else:
         rows = scored.select(
-            "y", F.lit(positive).alias("label"), F.get("probabilities", F.lit(positive)).alias("score")
+            *by, "y", F.lit(positive).alias("label"), F.get("probabilities", F.lit(positive)).alias("score")
         )
         hit = F.col("y") == positive
     return (
-        rows.groupBy("label", "score")
+        rows.groupBy(*by, "label", "score")
         .agg(F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
         .withColumn("down", -F.col("score"))
     )
 
 
-def _curve(preds: DataFrame, positive: int | None) -> DataFrame:
+def _curve(preds: DataFrame, positive: int | None, by: Sequence[str] = ()) -> DataFrame:
     """True and false positives at every distinct score, counted from the highest score down."""
     return running_totals(
-        _score_counts(preds, positive),
-        ["label"],
+        _score_counts(preds, positive, by),
+        [*by, "label"],
         ["down"],
         {"tp": "pos", "fp": "neg"},
         {"next_pos": "pos", "next_neg": "neg"},
     )
 
 
-def _areas(curve: DataFrame) -> DataFrame:
+def _areas(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Area under the curve per class: trapezoids under each distinct score. Ties give half."""
     under = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")))
     pairs = F.sum("pos") * F.sum("neg")
-    return curve.groupBy("label").agg(
+    return curve.groupBy(*by, "label").agg(
         F.sum("pos").alias("n_pos"),
         F.sum("neg").alias("n_neg"),
         F.try_divide(under.cast("double"), (2 * pairs).cast("double")).alias("auroc"),
     )
 
 
-def auroc_by_class(preds: DataFrame) -> DataFrame:
-    """One-vs-rest area per class; null for a class with no positives or no negatives."""
-    return _areas(_curve(preds, None))
+def auroc_by_class(preds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One-vs-rest area per class, and per group such as a run or epoch; null for a class with no positives or no negatives."""
+    return _areas(_curve(preds, None, by), by)
 
 
-def auroc(preds: DataFrame, average: str = "macro") -> DataFrame:
+def auroc(preds: DataFrame, average: str = "macro", by: Sequence[str] = ()) -> DataFrame:
     """Mean of the one-vs-rest areas, undefined classes left out."""
-    areas = auroc_by_class(preds)
+    areas = auroc_by_class(preds, by)
     if average == "macro":
-        return areas.agg(F.avg("auroc").alias("auroc"))
+        return areas.groupBy(*by).agg(F.avg("auroc").alias("auroc"))
     if average == "weighted":
         defined = F.col("auroc").isNotNull()
-        return areas.where(defined).agg((F.sum(F.col("auroc") * F.col("n_pos")) / F.sum("n_pos")).alias("auroc"))
+        return areas.where(defined).groupBy(*by).agg((F.sum(F.col("auroc") * F.col("n_pos")) / F.sum("n_pos")).alias("auroc"))
     raise ValueError("average is 'macro' or 'weighted'")
 
 
@@ -260,9 +269,9 @@ def roc_curve(preds: DataFrame, positive: int = 1, drop_intermediate: bool = Tru
     return start.unionByName(points)
 
 
-def roc_auc(preds: DataFrame, positive: int = 1) -> DataFrame:
-    """Trapezoid area under ``roc_curve``."""
-    return _areas(_curve(preds, positive)).select(F.col("auroc").alias("roc_auc"), "n_pos", "n_neg")
+def roc_auc(preds: DataFrame, positive: int = 1, by: Sequence[str] = ()) -> DataFrame:
+    """Trapezoid area under ``roc_curve``, per group of ``by``."""
+    return _areas(_curve(preds, positive, by), by).select(*by, F.col("auroc").alias("roc_auc"), "n_pos", "n_neg")
 
 
 # ---- loss, thresholds, best epoch ------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ...functions.classes import argmax, softmax
 from ...operators import evaluate as ev
 from ...operators import stats
-from ...operators.model import fit_weighted_classifier, score
+from ...operators.model import fit_weighted_classifier, score, score_with
 from ...operators.splits import TRAIN, split_samples
 from .. import driver_tables as dt
 from .registry import query
@@ -279,3 +279,83 @@ def score_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "vec_id", "split", "label", argmax(F.col("logits")).alias("pred"), F.round(F.array_max("probabilities"), 6).alias("top")
     )
+
+
+# Three runs, told apart by the sample's number.
+BY_RUN = PREDS + ", runs AS (SELECT *, sample_id % 3 AS run_id FROM preds)"
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dt.predictions(spark, sf_dir).withColumn("run_id", F.col("sample_id") % 3)
+
+
+@query(
+    BY_RUN
+    + """SELECT r AS run_id, CAST(a AS INTEGER) AS y, CAST(b AS INTEGER) AS pred,
+                (SELECT count(*) FROM runs WHERE run_id = r AND y = a AND pred = b) AS n
+         FROM generate_series(0, 2) s(r), generate_series(0, 9) t(a), generate_series(0, 9) u(b)"""
+)
+def confusion_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.confusion_matrix(_runs(spark, sf_dir), 10, ["run_id"])
+
+
+@query(
+    BY_RUN
+    + """SELECT CAST(CASE WHEN y < 5 AND pred < 5 THEN y END AS INTEGER) AS y,
+                CAST(CASE WHEN y < 5 AND pred < 5 THEN pred END AS INTEGER) AS pred, count(*) AS n
+         FROM runs GROUP BY 1, 2"""
+)
+def confusion_with_unknown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the classes are not among those counted; their predictions are one row."""
+    return ev.confusion_matrix(dt.predictions(spark, sf_dir), 5).where("n > 0")
+
+
+@query(
+    BY_RUN
+    + """, long AS (
+           SELECT run_id, c AS label, p[CAST(c + 1 AS INTEGER)] AS s, CAST(y = c AS INTEGER) AS hit
+           FROM runs, generate_series(0, 9) g(c)
+         ), ranked AS (
+           SELECT run_id, label, hit, rank() OVER (PARTITION BY run_id, label ORDER BY s)
+                  + (count(*) OVER (PARTITION BY run_id, label, s) - 1) / 2.0 AS mid FROM long
+         ), areas AS (
+           SELECT run_id, label, (sum(mid * hit) - sum(hit) * (sum(hit) + 1) / 2.0)
+                                 / nullif(sum(hit) * sum(1 - hit), 0) AS auroc FROM ranked GROUP BY 1, 2)
+         SELECT run_id, round(avg(auroc), 6) AS auroc FROM areas GROUP BY 1"""
+)
+def auroc_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(ev.auroc(_runs(spark, sf_dir), by=["run_id"]), "auroc")
+
+
+def _given_model():
+    """A linear model with known whole coefficients: ((feature + class) mod 3) - 1."""
+    import numpy as np
+
+    coefficients = (np.arange(64)[:, None] + np.arange(10)[None]) % 3 - 1.0
+    return lambda features: features @ coefficients
+
+
+@query(
+    """SELECT vec_id, CAST(c AS INTEGER) AS class,
+              CAST(list_sum([floor(256 * embedding[CAST(i AS INTEGER)]::DOUBLE) * ((i - 1 + c) % 3 - 1)
+                             FOR i IN range(1, 65)]) AS BIGINT) AS logit
+       FROM embeddings, generate_series(0, 9) g(c)"""
+)
+def score_given_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model whose scores SQL can state, through the batch scorer."""
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("float"))
+    rows = dt.table(spark, sf_dir, "embeddings").select("vec_id", whole.alias("features"))
+    scored = score_with(rows, _given_model, n_features=64)
+    return scored.select("vec_id", F.posexplode("logits").alias("class", "logit")).withColumn("logit", F.col("logit").cast("bigint"))
+
+
+@query("SELECT vec_id, label, 1.0::DOUBLE AS total, 10 AS n_classes, true AS pred_has_top FROM embeddings")
+def fitted_model_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for any fit: probabilities of ten classes that add up to one, the largest logit on top."""
+    rows = dt.table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "features")
+    scored = score(fit_weighted_classifier(rows, None, max_iter=5), rows)
+    total = F.aggregate("probabilities", F.lit(0.0), lambda acc, v: acc + v)
+    top = F.get("probabilities", argmax(F.col("logits"))) == F.array_max("probabilities")
+    return scored.select(
+        "vec_id", "label", F.round(total, 9).alias("total"), F.size("probabilities").alias("n_classes"), top.alias("pred_has_top")
+    )

@@ -307,6 +307,32 @@ def grey_text(content: bytes) -> tuple[int, int, list[float]]:
     return 8, 8, values
 
 
+@query(
+    """SELECT vec_id AS subject_id, CASE WHEN label = 0 THEN 'no file' WHEN label = 1 THEN 'several series'
+              WHEN label = 9 THEN 'ValueError: 65 values' END AS error,
+              CASE WHEN label BETWEEN 2 AND 8 THEN round(list_sum([CAST(x AS DOUBLE) FOR x IN embedding]), 6) END AS total,
+              '/scans/' || vec_id AS action_data FROM embeddings
+       UNION ALL SELECT vec_id, NULL, NULL, label::VARCHAR FROM embeddings"""
+)
+def load_images_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects without file, with several series and with a broken file, and value items beside them."""
+    rows = dt.table(spark, sf_dir, "embeddings").withColumn("uri", dt.text("/scans/", F.col("vec_id")))
+    subject = F.col("vec_id").alias("subject_id")
+    items = rows.select(subject, F.col("uri").alias("action_data"), F.lit("xnat_uri").alias("data_type")).unionByName(
+        rows.select(subject, F.col("label").cast("string").alias("action_data"), F.lit("value").alias("data_type"))
+    )
+    body = F.array_join(F.col("embedding").cast("array<double>").cast("array<string>"), ",")
+    folders = F.when(F.col("label") == 0, F.array()).when(F.col("label") == 1, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))
+    contents = rows.select("uri", "label", body.alias("body"), F.explode(folders).alias("folder")).select(
+        F.col("uri").alias("object_uri"),
+        F.concat("uri", F.lit("/"), "folder", F.lit("/1.img")).alias("path"),
+        F.encode(F.when(F.col("label") == 9, F.concat("body", F.lit(",0"))).otherwise(F.col("body")), "UTF-8").alias("content"),
+    )
+    total = F.aggregate("image.pixels", F.lit(0.0), lambda acc, v: acc + v)
+    loaded = ser.load_images(items, contents, grey_text)
+    return loaded.select("subject_id", "error", F.round(total, 6).alias("total"), "action_data")
+
+
 @query(
     """SELECT vec_id AS subject_id, label < 9 AS decoded, CASE WHEN label < 9 THEN 8 END AS height,
               CASE WHEN label < 9 THEN round(list_sum([CAST(x AS DOUBLE) FOR x IN embedding]), 6) END AS total

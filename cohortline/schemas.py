@@ -29,6 +29,7 @@ PERSON_REF = _struct(name=STR, id=STR)
 APPROVAL = _struct(id=STR, reviewer=PERSON_REF, content=STR)
 STEP = _struct(step=INT, result=STR, req_ids=STRINGS, note=STR)
 
+# Kinds and field names of the records.
 RECORDS: dict[str, T.StructType] = {
     "requirements": _struct(project_id=STR, id=STR, title=STR, type=STR, description=STR),
     "specifications": _struct(project_id=STR, id=STR, title=STR, req_id=STR, description=STR),
