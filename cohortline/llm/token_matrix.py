@@ -13,7 +13,6 @@ each for itself. An empty table writes no rows. Columns other than the named one
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.storage import checkpoint_dir
+from ..sources.storage import scratch_path
 from .common import blocks_of, id_and_text, raw, text_sizes
 from .tokens import END_ID, cut_lengths, encoder, tokenizer_path
 
@@ -195,6 +194,5 @@ def matrix_pieces(matrix: DataFrame, width: int = 2) -> DataFrame:
 
 
 def pack_matrix(df: DataFrame, path: str | None = None, **options) -> DataFrame:
-    """The written matrix in a new folder of the shared storage, unless ``path`` names one."""
-    folder = path or f"{checkpoint_dir(df.sparkSession).rstrip('/')}/matrix-{uuid.uuid4().hex}"
-    return write_matrix(df, folder, **options)
+    """The written matrix, in scratch storage that goes with the application unless ``path`` names a folder."""
+    return write_matrix(df, path or scratch_path(df.sparkSession, "matrix-"), **options)

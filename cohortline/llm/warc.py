@@ -20,7 +20,6 @@ from __future__ import annotations
 import gzip
 import hashlib
 import math
-import uuid
 from collections.abc import Iterable, Iterator
 from urllib.parse import urlsplit
 
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.storage import checkpoint_dir, settle
+from ..sources.storage import scratch_path, settle
 from .common import raw
 
 REVISIT_BYTES = 100
@@ -265,6 +264,6 @@ def merge_runs(captures: DataFrame) -> DataFrame:
 def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write the pages, read the archives back and merge their runs: one row per capture, without payloads."""
     spark = pages.sparkSession
-    path = path or f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    path = path or scratch_path(spark, "warc-")
     write_archives(pages, path)
     return merge_runs(settle(read_archives(spark, path, keep_payload=False)))
