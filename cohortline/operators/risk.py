@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .joins import keep_left
@@ -61,12 +61,33 @@ def level_of(probability: Column, severity: Column) -> Column:
     return _cell(PROBABILITY_LEVELS, SEVERITY_LEVELS, LEVEL_MATRIX, probability, severity)
 
 
-def risk_level(risks: DataFrame) -> DataFrame:
+def default_matrix(spark: SparkSession) -> DataFrame:
+    """The fixed matrix as a table ``(probability, severity, level)``."""
+    cells = [(p, s, LEVEL_MATRIX[i][j]) for i, p in enumerate(PROBABILITY_LEVELS) for j, s in enumerate(SEVERITY_LEVELS)]
+    return spark.createDataFrame(cells, "probability string, severity string, level string")
+
+
+def risk_level(risks: DataFrame, matrix: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Add ``level`` and ``residual_level``; a missing residual value is the initial one.
 
-    Unknown labels give a null level.
+    ``matrix`` is ``(*by, probability, severity, level)``, such as one per project, one row per cell; without it the fixed one
+    holds. Unknown labels give a null level.
     """
     probability, severity = F.col("probability"), F.col("severity")
+    if matrix is not None:
+        out = risks.withColumns(
+            {
+                "residual_p": F.coalesce("residual_probability", probability),
+                "residual_s": F.coalesce("residual_severity", severity),
+            }
+        )
+        cells = matrix.select(*by, "probability", "severity", "level")
+        residual = matrix.select(
+            *by, F.col("probability").alias("residual_p"), F.col("severity").alias("residual_s"), F.col("level").alias("residual_level")
+        )
+        first = out.join(cells, [*by, "probability", "severity"], "left")
+        both = first.join(residual, [*by, "residual_p", "residual_s"], "left")
+        return both.select(*risks.columns, "level", "residual_level")
     return risks.withColumn("level", level_of(probability, severity)).withColumn(
         "residual_level",
         level_of(
@@ -98,12 +119,17 @@ def severity_class(df: DataFrame, injury: str = "injury", multiple: str = "multi
     return df.withColumn("severity", F.when(F.col(multiple), several).otherwise(single))
 
 
-def residual_risk_open(risks: DataFrame, acceptable: Sequence[str] = ("Low",)) -> DataFrame:
+def residual_risk_open(
+    risks: DataFrame,
+    acceptable: Sequence[str] = ("Low",),
+    matrix: DataFrame | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
     """Risks still above the acceptable level, or above it at first with no control measure.
 
     An unknown level counts as above. ``reason`` tells which.
     """
-    leveled = risk_level(risks)
+    leveled = risk_level(risks, matrix, by)
 
     def above(level: str) -> Column:
         return ~F.coalesce(F.col(level).isin(*acceptable), F.lit(False))

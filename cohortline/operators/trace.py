@@ -392,11 +392,14 @@ def release_gate(
     tests: DataFrame,
     open_risks: DataFrame,
     by: str = "project_id",
+    reports: DataFrame | None = None,
+    accepted: DataFrame | None = None,
 ) -> DataFrame:
     """One row per project: what blocks a release, and whether nothing does.
 
     Planned requests must have changes, requirements must be tested, failures must be justified,
-    and no risk may be left open. Each part is counted per project, and the counts are stacked and
+    and no risk may be left open. With ``reports`` (see ``failures_without_report``) a failed test that no
+    problem report names blocks, and with ``accepted (by, id)`` a known anomaly that is not accepted does. Each part is counted per project, and the counts are stacked and
     summed, so no join between parts is needed.
     """
     if links is None:
@@ -414,8 +417,17 @@ def release_gate(
         suite_verdict(tests, [by]).select(by, "n_unjustified"),
         open_risks.groupBy(by).agg(count.alias("n_open_risks")),
     ]
-    blocking = ("n_requests_open", "n_uncovered", "n_unjustified", "n_open_risks")
-    counts = ("n_requests_open", "n_known_anomalies", "n_uncovered", "n_unjustified", "n_open_risks")
+    blocking = ["n_requests_open", "n_uncovered", "n_unjustified", "n_open_risks"]
+    if reports is not None:
+        unnamed = failures_without_report(tests, reports, [by])
+        parts.append(unnamed.groupBy(by).agg(count.alias("n_unreported_failures")))
+        blocking.append("n_unreported_failures")
+    if accepted is not None:
+        known = change_requests.where(_is_problem()).join(named, [by, "id"], "left_anti")
+        left = known.join(accepted.select(by, "id").distinct(), [by, "id"], "left_anti")
+        parts.append(left.groupBy(by).agg(count.alias("n_unaccepted_anomalies")))
+        blocking.append("n_unaccepted_anomalies")
+    counts = [blocking[0], "n_known_anomalies", *blocking[1:]]
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     zero = F.lit(0).cast("bigint")
     gate = together.groupBy(by).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in counts])

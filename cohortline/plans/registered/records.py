@@ -536,3 +536,57 @@ def release_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         dt.tests(spark, sf_dir),
         rk.residual_risk_open(dt.risks(spark, sf_dir)),
     )
+
+
+@query(
+    RISKS
+    + """, levels AS (
+           SELECT n_nationkey AS project_id, i, j, ['Low', 'Medium', 'High'][(i + j + n_nationkey) % 3 + 1] AS level
+           FROM nation, generate_series(1, 5) a(i), generate_series(1, 5) b(j))
+         SELECT r.id, m.level, n.level AS residual_level FROM risks r
+         LEFT JOIN levels m ON m.project_id = r.project_id AND m.i = r.p AND m.j = r.s
+         LEFT JOIN levels n ON n.project_id = r.project_id AND n.i = r.rp AND n.j = r.rs"""
+)
+def risk_level_by_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every project has its own matrix, a table of 25 cells."""
+    cells = [
+        F.struct(F.lit(p).alias("probability"), F.lit(s).alias("severity"), F.lit(i + j).alias("sum"))
+        for i, p in enumerate(rk.PROBABILITY_LEVELS, 1)
+        for j, s in enumerate(rk.SEVERITY_LEVELS, 1)
+    ]
+    names = F.array(F.lit("Low"), F.lit("Medium"), F.lit("High"))
+    nations = dt.table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("project_id"), F.explode(F.array(*cells)).alias("c")
+    )
+    matrix = nations.select(
+        "project_id", "c.probability", "c.severity", F.get(names, (F.col("c.sum") + F.col("project_id")).cast("int") % 3).alias("level")
+    )
+    return rk.risk_level(dt.risks(spark, sf_dir), matrix, ["project_id"]).select("id", "level", "residual_level")
+
+
+@query(
+    f"""WITH {TESTS}, {REQUESTS},
+        linked AS (SELECT *, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = id) AS done FROM requests)
+        SELECT p.project_id,
+               (SELECT count(*) FROM tests t WHERE t.project_id = p.project_id AND result = 'fail' AND NOT EXISTS (
+                  SELECT 1 FROM requests r WHERE r.project_id = t.project_id AND r.id = t.test_key AND is_problem_report))
+                 AS n_unreported_failures,
+               (SELECT count(*) FROM linked l WHERE l.project_id = p.project_id AND is_problem_report AND NOT done
+                  AND id % 2 = 1) AS n_unaccepted_anomalies
+        FROM (SELECT project_id FROM requests UNION SELECT p_partkey % 25 FROM part UNION SELECT project_id FROM tests) p"""
+)
+def release_gate_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures that no problem report names, and known anomalies that are not accepted."""
+    requests = dt.change_requests(spark, sf_dir)
+    links = dt.line_links(spark, sf_dir).join(requests.select("project_id", F.col("id").alias("cr_id")), "cr_id")
+    reports = requests.select("project_id", F.col("id").alias("test_key"), "is_problem_report")
+    gate = tr.release_gate(
+        requests,
+        links,
+        dt.part_requirements(spark, sf_dir),
+        dt.tests(spark, sf_dir),
+        rk.residual_risk_open(dt.risks(spark, sf_dir)),
+        reports=reports,
+        accepted=requests.where("id % 2 = 0").select("project_id", "id"),
+    )
+    return gate.select("project_id", "n_unreported_failures", "n_unaccepted_anomalies")
