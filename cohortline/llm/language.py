@@ -4,7 +4,7 @@ The kernel of two texts is the number of different character n-grams (lengths 1
 divided by the root of the product of their own numbers. Nyström landmarks are a few labelled texts per language; every text is
 described by its kernel values with them, multiplied by the inverse root of the landmarks' own kernel matrix.
 One ridge regression per language, one against the rest, is solved on a bounded sample: at most ``LANDMARKS`` landmarks and
-``SAMPLE`` texts per language, those with the smallest id hash. Scoring is two matrix products a batch: presence matrix times the
+``SAMPLE`` texts per language, among those with the smallest id hashes. Scoring is two matrix products a batch: presence matrix times the
 landmarks' presence, then times the regressions.
 
 Every text is read whole. A null text, an empty one and one without a letter are ``und`` with score 0, and so is all
@@ -131,9 +131,19 @@ def labelled_sample(
     """(language, text) of ``each`` documents per language, smallest id hash first; the texts are read for these only."""
     rows = df.where(learn).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     hashed = F.xxhash64(F.col(id_col).cast("string"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    # A few times as many as are wanted, by their hash: of a language with most of all rows only these are ordered.
+    counts = {
+        r["lang"]: r["n"]
+        for r in rows.groupBy(F.col(lang_col).cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    if not counts:
+        return []
+    share = [F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (4 * each + 100) / n))]
+    rare = F.pmod(hashed, F.lit(1 << 40)) < F.try_element_at(F.create_map(*share), F.col(lang_col).cast("string")) * (1 << 40)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "doc_id"))
     ids = (
-        rows.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), hashed.alias("h"))
+        rows.where(rare)
+        .select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), hashed.alias("h"))
         .distinct()
         .withColumn("place", place)
         .where(F.col("place") <= each)

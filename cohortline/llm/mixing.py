@@ -249,7 +249,8 @@ def mix(
     the document, ``pass``, ``shard``, low, high."""
     started, totals = streams(settle(word_counts(df, id_col, text_col, source_col)))
     started, table = settle(started), targets(totals, block)
-    taken = segments(started, table, block).join(draws(table, seed), ["number", "block"])
+    # The draws come from a short range of shards, which must not pass for a small table: no broadcast.
+    taken = segments(started, table, block).join(draws(table, seed).hint("merge"), ["number", "block"])
     kept = ("number", "start", "size", "doc_id", "text_hash", "shard", "pass", "block", "low", "high")
     return started, table, taken.select(*kept)
 
