@@ -105,12 +105,11 @@ def first_by_hash(df: DataFrame, digest: str, ties: Sequence[str], n: int) -> Da
     upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(F.col("bucket").alias("at"), F.coalesce(F.sum("n_bucket").over(upto), F.lit(0)).alias("before"))
     # The last bucket of which rows are wanted: one row.
-    cut = before.where(F.col("before") < n).agg(F.max(F.struct("before", "at")).alias("cut")).select("cut.*")
-    one = placed.join(F.broadcast(cut), F.col("bucket") <= F.col("at"))
-    sure = one.where(F.col("bucket") < F.col("at")).select(*df.columns)
+    cut = before.where(F.col("before") < n).agg(F.max(F.struct("before", "at")).alias("cut")).scalar()
+    sure = placed.where(F.col("bucket") < cut.getField("at")).select(*df.columns)
     place = F.row_number().over(Window.partitionBy("bucket").orderBy(digest, *ties))
-    edge = one.where(F.col("bucket") == F.col("at")).withColumn("place", place)
-    return sure.unionByName(edge.where(F.col("place") <= n - F.col("before")).select(*df.columns))
+    edge = placed.where(F.col("bucket") == cut.getField("at")).withColumn("place", place)
+    return sure.unionByName(edge.where(F.col("place") <= n - cut.getField("before")).select(*df.columns))
 
 
 def first_rows(
