@@ -14,13 +14,11 @@ A key shared by more than ``BUCKET`` different fingerprints (a large group of ne
 members go by an exact other way: each is linked to its 64 one-bit neighbours and itself, and two fingerprints
 are within two bits exactly if they share one of these; the smallest member of each stands for the rest.
 
-``similar_groups`` finds near copies by another measure, the Jaccard similarity of sets of five-word shingles, at 0.8 or more. Edits
-to such copies change about ten of a whole text's 64 bits, too many for keys, so the set is dealt by shingle hash into parts of about
-``PART_SHINGLES`` shingles, some of which stay untouched and keep their fingerprint. Texts that share a part's fingerprint are candidates,
-each with the part's smallest text and with the one before it in order, never all pairs of a group. Pivot distances of the whole
-fingerprints discard candidates by their largest coordinate difference, and the shingle sets verify the survivors. Of a text's parts
-``PARTS`` are looked at: at similarity 0.8 a part of five shingles is untouched with probability 0.3, and of 24 parts none
-with probability below 0.001.
+``similar_groups`` finds near copies by another measure, the Jaccard similarity of sets of five-word shingles, at 0.8 or more. All
+shingles have one order: those frequent in a sample last, else by hash. A pair at 0.8 shares one of the first
+n - ceil(0.8 n) + 1 of each text (prefix filter), so these are its keys and no pair is missed, whatever the order; the sample decides
+only how many texts meet. Texts of a key are first linked to its most central text, the one whose keys are shared most. Two exact bounds discard pairs before
+the sets verify them: the sizes' ratio, and the differing bits of ``SKETCH_BITS`` parities, which the symmetric difference bounds.
 
 Null and empty texts have fingerprint zero and link like any other. Ties in bit counts leave the bit 0. Equal texts,
 repeated rows and repeated ids share one fingerprint and one component. A null id is no component's name unless all
@@ -49,13 +47,17 @@ BLOCK_BYTES = 4 << 20
 BUCKET = 64
 N_RANDOM_PIVOTS = 16
 
-#: For ``similar_groups``: words of a shingle, the least similarity, shingles in a part, and parts looked at.
+#: For ``similar_groups``: words of a shingle and the least similarity.
 SET_WORDS = 5
 SIMILARITY = 0.8
-PART_SHINGLES = 5
-PARTS = 24
-#: At similarity 0.8 whole fingerprints differ by about ten bits; beyond this many, candidates are discarded.
-FAR_BITS = 24
+#: Shingles in this many texts of a sample of about SAMPLE_TEXTS count as frequent, at most MOST_COMMON of them.
+SAMPLE_TEXTS = 8192
+COMMON_TEXTS = 4
+MOST_COMMON = 50_000
+SKETCH_BITS = 512
+#: Texts of over LONG shingles have a second sketch, since in long unlike ones half of the few bits is below the bound.
+LONG = 1000
+LONG_BITS = 4096
 
 
 def shingle_hashes(data: bytes, words_in: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
@@ -231,65 +233,148 @@ def near_groups(
     )
 
 
-def part_fingerprints(hashes: np.ndarray) -> list[tuple[int, int]]:
-    """(key, fingerprint) of parts of a set of shingle hashes.
+def sketch_of(hashes: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parity of the number of shingles in each of ``bits`` classes: two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
-    The number of parts is a power of two, so that copies of somewhat different size agree on it; near a limit both
-    powers are used.
-    """
+
+def prefix_of(hashes: np.ndarray, common: np.ndarray, ranks: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The first n - ceil(similarity n) + 1 shingles of an ordered set: by rank (0 if not in ``common``), then by hash."""
     n = len(hashes)
     if not n:
-        return [(0, 0)]
-    exact = np.log2(max(1.0, n / PART_SHINGLES))
-    levels = {max(0, int(np.floor(exact - 0.17))), max(0, int(np.floor(exact + 0.17)))}
-    out = []
-    for level in sorted(levels):
-        # High bits deal the parts; a text's fingerprint bits come from all of them.
-        part = (hashes >> np.uint64(64 - level)).astype(np.int64) if level else np.zeros(n, np.int64)
-        for p in range(min(PARTS, 1 << level)):
-            mine = hashes[part == p]
-            if len(mine):
-                out.append((level << 32 | p, majority(mine)))
-    return out
-
-
-def part_keys(df: DataFrame, words_in: int = SET_WORDS) -> DataFrame:
-    """Per text (node, text) the keys of its parts. The sets themselves are not kept: they are as large as the texts."""
+        return np.zeros(1, np.uint64)  # texts without words are each other's copies
+    take = n - int(np.ceil(similarity * n - 1e-6)) + 1
+    if not len(common):
+        return hashes[:take]
+    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+    rank = np.where(common[at] == hashes, ranks[at], 0)
+    return hashes[np.argsort(rank, kind="stable")[:take]]
+
+
+def common_shingles(named: DataFrame, texts: int, words_in: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles of a sample by hash of the text, in order, and the place of each by its count."""
+    own = named.where(F.pmod(F.xxhash64("node"), F.lit(1 << 40)) < int(min(1.0, SAMPLE_TEXTS / max(1, texts)) * (1 << 40)))
+    each = shingle_sets(own, words_in).select("node", F.explode("hashes").alias("key")).distinct()
+    counts = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON_TEXTS)
+    rows = counts.orderBy(F.desc("n"), "key").limit(MOST_COMMON).collect()  # bounded
+    hashes = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.arange(len(rows), 0, -1)[order]
+
+
+def prefix_table(
+    df: DataFrame, common: tuple[np.ndarray, np.ndarray], words_in: int = SET_WORDS, similarity: float = SIMILARITY
+) -> DataFrame:
+    """Per text (node, text) its number of shingles, sketch and prefix ``keys``. The sets are not kept: they are as large as the texts."""
+    shared = df.sparkSession.sparkContext.broadcast(common)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
-            found = [part_fingerprints(np.unique(shingle_hashes(x, words_in))) for x in raw(block)]
-            parts = [[hash_pair(*x) for x in own] for own in found]
+            sets = [np.unique(shingle_hashes(x, words_in)) for x in raw(block)]
             yield pa.RecordBatch.from_arrays(
-                [block.column("node"), pa.array(parts, pa.list_(pa.int64()))], names=["node", "parts"]
+                [
+                    block.column("node"),
+                    pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array([sketch_of(x) for x in sets], pa.list_(pa.int64())),
+                    pa.array([sketch_of(x, LONG_BITS) if len(x) > LONG else None for x in sets], pa.list_(pa.int64())),
+                    pa.array([prefix_of(x, *shared.value, similarity).view(np.int64) for x in sets], pa.list_(pa.int64())),
+                ],
+                names=["node", "size", "sketch", "wide", "keys"],
             )
 
-    return df.mapInArrow(hashed, "node bigint, parts array<bigint>")
+    return df.mapInArrow(hashed, "node bigint, size bigint, sketch array<bigint>, wide array<bigint>, keys array<bigint>")
 
 
 def shingle_sets(df: DataFrame, words_in: int = SET_WORDS) -> DataFrame:
-    """Per text (node, text) the set of its shingle hashes and that set's fingerprint ``fp``."""
+    """Per text (node, text) the set of its shingle hashes."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
             sets = [np.unique(shingle_hashes(x, words_in)) for x in raw(block)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    block.column("node"),
-                    pa.array([majority(x) for x in sets], pa.int64()),
-                    pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
-                ],
-                names=["node", "fp", "hashes"],
+                [block.column("node"), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
+                names=["node", "hashes"],
             )
 
-    return df.mapInArrow(hashed, "node bigint, fp bigint, hashes array<bigint>")
+    return df.select("node", "text").mapInArrow(hashed, "node bigint, hashes array<bigint>")
 
 
-def hash_pair(part: int, fp: int) -> int:
-    """One 64-bit key of a part's number and fingerprint."""
-    from xxhash import xxh64_intdigest
+SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
-    return signed(xxh64_intdigest(part.to_bytes(8, "little") + fp.to_bytes(8, "little", signed=True)))
+
+def may_reach(similarity: float) -> Column:
+    """Whether sizes and sketches of two texts (columns with a_ and b_) allow the similarity; never false for a pair that has it."""
+    a, b = F.col("a_size"), F.col("b_size")
+    bits = sum((distance(F.col(f"a_{x}"), F.col(f"b_{x}")) for x in SKETCH), F.lit(0))
+    return (F.least(a, b) >= similarity * F.greatest(a, b) - 1e-6) & (
+        bits <= (a + b) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    )
+
+
+def without_far(pairs: DataFrame, table: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) but those of two long texts whose second sketches differ too much."""
+    wide = settle(table.where("wide IS NOT NULL").select("node", "size", "wide").dropDuplicates(["node"]))
+    bits = F.aggregate(F.zip_with("a_wide", "b_wide", distance), F.lit(0), lambda n, x: n + x)
+    most = (F.col("a_size") + F.col("b_size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    sides = pairs.join(as_side(wide, "a"), "a", "left").join(as_side(wide, "b"), "b", "left")
+    return sides.where(F.coalesce(bits <= most, F.lit(True))).select("a", "b")
+
+
+def as_side(table: DataFrame, side: str, *same: str) -> DataFrame:
+    return table.select(
+        *same, *[F.col(c).alias(side if c == "node" else f"{side}_{c}") for c in table.columns if c not in same]
+    )
+
+
+def verified(pairs: DataFrame, named: DataFrame, words_in: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets reach the similarity."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    # Sets only of texts that have a candidate, once per text; the join and the window share one shuffle of the texts.
+    single = Window.partitionBy("node").orderBy(F.lit(0))
+    own = named.select("node", "text").join(wanted, "node", "left_semi")
+    one = own.withColumn("n", F.row_number().over(single)).where("n = 1").select("node", "text")
+    tabled = settle(shingle_sets(one, words_in))
+    both = F.size(F.array_intersect("a_hashes", "b_hashes"))
+    return settle(
+        pairs.join(as_side(tabled, "a"), "a")
+        .join(as_side(tabled, "b"), "b")
+        .where(both >= similarity * (F.size("a_hashes") + F.size("b_hashes") - both))
+        .select("a", "b")
+    )
+
+
+def in_order(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def pairs_to_central(members: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Each text with the most central text of each of its keys, if they may be similar."""
+    central = members.groupBy("key").agg(F.max(F.struct("score", "node"))["node"].alias("b"))
+    pairs = in_order(members.join(central, "key").where("node <> b").select(F.col("node").alias("a"), "b"))
+    sides = pairs.join(as_side(nodes, "a"), "a").join(as_side(nodes, "b"), "b")
+    return sides.where(may_reach(similarity)).select("a", "b")
+
+
+def similar_links(
+    named: DataFrame, texts: int, words_in: int = SET_WORDS, similarity: float = SIMILARITY
+) -> DataFrame:
+    """Links (a, b) of texts (node, text) at the similarity or more, each with the most central text of its keys."""
+    given = named.select("node", "text")
+    table = settle(prefix_table(given, common_shingles(given, texts, words_in), words_in, similarity))
+    # Equal texts give equal rows: only keys of different ones stay.
+    by_key = Window.partitionBy("key")
+    entries = table.select("node", F.explode("keys").alias("key"))
+    entries = entries.withColumn("lo", F.min("node").over(by_key)).withColumn("hi", F.max("node").over(by_key))
+    shared = settle(entries.where("lo <> hi").select("node", "key").distinct())
+    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    scores = shared.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("n"))
+    flat = table.select("node", "size", *[F.col("sketch")[i].alias(x) for i, x in enumerate(SKETCH)])
+    nodes = settle(flat.join(scores, "node").dropDuplicates(["node"]).withColumn("score", F.col("n") / F.greatest("size", F.lit(1))).drop("n"))
+    central = pairs_to_central(shared.join(nodes.select("node", "score"), "node"), nodes.drop("score"), similarity)
+    first = settle(without_far(central, table, similarity))
+    close = verified(first, named, words_in, similarity)
+    return close
 
 
 def similar_groups(
@@ -304,32 +389,7 @@ def similar_groups(
     named = docs.withColumn("node", F.xxhash64(lower))
     ids = settle(named.groupBy("node").agg(F.min("doc_id").alias("least_id")))
     # Hashing all texts costs less than shuffling them to find the different ones; equal nodes give equal rows.
-    parts = part_keys(named.select("node", "text"), words_in)
-    entries = settle(parts.select("node", F.explode("parts").alias("key")).distinct())
-    least = entries.groupBy("key").agg(F.min("node").alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = settle(entries.join(least, "key"))
-    to_least = shared.where("node <> other").select("node", "other")
-    in_order = Window.partitionBy("key").orderBy("node")
-    to_last = shared.select("node", F.lag("node").over(in_order).alias("other")).where("other IS NOT NULL")
-    pairs = settle(to_least.unionByName(to_last).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    # Sets only of texts that have a candidate, once per text; the join and the window share one shuffle of the texts.
-    single = Window.partitionBy("node").orderBy(F.lit(0))
-    own = named.select("node", "text").join(wanted, "node", "left_semi")
-    one = own.withColumn("n", F.row_number().over(single)).where("n = 1").select("node", "text")
-    tabled = settle(shingle_sets(one, words_in).withColumn("far", random_distances(F.col("fp"))).drop("fp"))
-    left = tabled.select(F.col("node").alias("a"), F.col("hashes").alias("a_hashes"), F.col("far").alias("a_far"))
-    right = tabled.select(F.col("node").alias("b"), F.col("hashes").alias("b_hashes"), F.col("far").alias("b_far"))
-    widest = F.array_max(F.zip_with("a_far", "b_far", lambda x, y: F.abs(x - y)))
-    both = F.size(F.array_intersect("a_hashes", "b_hashes"))
-    close = (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(widest <= FAR_BITS)
-        .where(both >= similarity * (F.size("a_hashes") + F.size("b_hashes") - both))
-        .select("a", "b")
-    )
-    found = components(close)
+    found = components(similar_links(named, ids.count(), words_in, similarity))
     roots = found.select("root").distinct().select(F.col("root").alias("node"), "root")
     rooted = found.select("node", "root").unionByName(roots).join(ids, "node")
     smallest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))

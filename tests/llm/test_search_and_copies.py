@@ -183,3 +183,38 @@ def test_keep_one_takes_awkward_rows(docs, no_docs):
     assert ids.count(0) == 1 and 103 in ids and 104 not in ids
     assert len([i for i in ids if i in (100, 101, 102, None)]) <= 2
     assert keep_one(no_docs).collect() == []
+
+
+def brute_groups(rows):
+    """Of each row the smallest id of its component, by all pairs."""
+    sets = [set(shingle_hashes(t.encode(), 5).tolist()) for _, t in rows]
+    group = list(range(len(rows)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                x, y = root(i), root(j)
+                group[max(x, y)] = min(x, y)
+    return {rows[i][0]: rows[root(i)][0] for i in range(len(rows))}
+
+
+def test_no_pair_at_four_fifths_is_missed(spark):
+    """Short texts and those near the limit, where few keys stay untouched."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    rows = []
+    for length in (5, 14, 20, 21, 25, 32, 39, 74, 144, 284, 1104):
+        for _ in range(16):
+            base = rng.choices(words, k=length)
+            copy = list(base)
+            for at in rng.sample(range(length), max(0, length // 45)):
+                copy[at] = rng.choice(words)
+            ends = [rng.choice(words), *base[1:]], [*base[:-1], rng.choice(words)], [*base, *rng.choices(words, k=length // 5)]
+            rows += [(len(rows) + i, " ".join(x)) for i, x in enumerate((base, copy, *ends))]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert {r["doc_id"]: r["component_id"] for r in similar_groups(table).collect()} == brute_groups(rows)
