@@ -17,7 +17,8 @@ are within two bits exactly if they share one of these; the smallest member of e
 ``similar_groups`` finds near copies by another measure, the Jaccard similarity of sets of five-word shingles, at 0.8 or more. All
 shingles have one order: those frequent in a sample last, else by hash. A pair at 0.8 shares one of the first
 n - ceil(0.8 n) + 1 of each text (prefix filter), so these are its keys and no pair is missed, whatever the order; the sample decides
-only how many texts meet. Texts of a key are first linked to its most central text, the one whose keys are shared most. Two exact bounds discard pairs before
+only how many texts meet. Texts of a key are first linked to its most central text, the one whose keys are shared most. Then
+all pairs of a key that this left in different components are compared, also in large groups. Two exact bounds discard pairs before
 the sets verify them: the sizes' ratio, and the differing bits of ``SKETCH_BITS`` parities, which the symmetric difference bounds.
 
 Null and empty texts have fingerprint zero and link like any other. Ties in bit counts leave the bit 0. Equal texts,
@@ -356,10 +357,26 @@ def pairs_to_central(members: DataFrame, nodes: DataFrame, similarity: float) ->
     return sides.where(may_reach(similarity)).select("a", "b")
 
 
+def pairs_across(members: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of a key in different components that may be similar: of each key, those outside its largest component with all."""
+    placed = settle(
+        members.drop("score")
+        .join(found, "node", "left")
+        .withColumn("part", F.coalesce("root", "node"))
+        .drop("root")
+    )
+    parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    largest = parts.groupBy("key").agg(F.max(F.struct("n", "part"))["part"].alias("most"), F.count(F.lit(1)).alias("n"))
+    rows = placed.join(largest.where("n > 1").select("key", "most"), "key")
+    left = as_side(rows.where("part <> most").drop("most"), "a", "key")
+    right = as_side(rows.drop("most"), "b", "key")
+    return in_order(left.join(right, "key").where("a_part <> b_part").where(may_reach(similarity)).select("a", "b"))
+
+
 def similar_links(
     named: DataFrame, texts: int, words_in: int = SET_WORDS, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """Links (a, b) of texts (node, text) at the similarity or more, each with the most central text of its keys."""
+    """Links (a, b) whose components are those of all pairs of texts (node, text) at the similarity or more."""
     given = named.select("node", "text")
     table = settle(prefix_table(given, common_shingles(given, texts, words_in), words_in, similarity))
     # Equal texts give equal rows: only keys of different ones stay.
@@ -371,10 +388,15 @@ def similar_links(
     scores = shared.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("n"))
     flat = table.select("node", "size", *[F.col("sketch")[i].alias(x) for i, x in enumerate(SKETCH)])
     nodes = settle(flat.join(scores, "node").dropDuplicates(["node"]).withColumn("score", F.col("n") / F.greatest("size", F.lit(1))).drop("n"))
+    members = shared.join(nodes, "node")
     central = pairs_to_central(shared.join(nodes.select("node", "score"), "node"), nodes.drop("score"), similarity)
     first = settle(without_far(central, table, similarity))
     close = verified(first, named, words_in, similarity)
-    return close
+    found = components(close)
+    roots = found.select(F.col("root").alias("node"), "root").distinct()
+    rest = pairs_across(members, found.unionByName(roots), similarity)
+    rest = settle(without_far(rest.join(first, ["a", "b"], "left_anti"), table, similarity))
+    return close.unionByName(verified(rest, named, words_in, similarity))
 
 
 def similar_groups(

@@ -203,6 +203,26 @@ def brute_groups(rows):
     return {rows[i][0]: rows[root(i)][0] for i in range(len(rows))}
 
 
+def test_star_of_copies_edited_independently(spark):
+    """Copies reach 0.8 with the original but not with each other; a second original shares a line with all."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    rows = []
+    for size in (300, 40):
+        base = rng.choices(words, k=204)
+        base[:12] = words[:12]
+        rows.append((len(rows), " ".join(base)))
+        for _ in range(size):
+            copy = list(base)
+            for at in rng.sample(range(3, 200), 4):
+                copy[at] = rng.choice(words)
+            rows.append((len(rows), " ".join(copy)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    wanted = brute_groups(rows)
+    assert sum(wanted[i] == 0 for i in range(301)) > 290
+    assert {r["doc_id"]: r["component_id"] for r in similar_groups(table).collect()} == wanted
+
+
 def test_no_pair_at_four_fifths_is_missed(spark):
     """Short texts and those near the limit, where few keys stay untouched."""
     rng = random.Random(9)
