@@ -87,3 +87,35 @@ def test_operators_are_registered():
     assert "pipeline" in names
     for n in range(1, 11):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
+
+
+def test_language_stage_rejects_what_no_language_claims(spark, given):
+    """Other scripts, other languages, gibberish and digits go; labelled texts and other prose of the languages stay."""
+    import random
+
+    rng = random.Random(2)
+
+    def drawn(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    unlike = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью",
+        "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler",
+        " ".join(drawn("abcdefghijklmnopqrstuvwxyz", rng.randint(2, 9)) for _ in range(60)),
+        drawn("0123456789 ", 300) + "a",
+        drawn("#$%&.,;!? ", 300) + "a",
+    ]
+    like = [
+        "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience",
+        "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt",
+    ]
+    given_docs = spark.read.parquet(f"{given}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    rows = [(-1 - i, t, None, "x", len(t)) for i, t in enumerate([*unlike, *like])]
+    more = spark.createDataFrame(rows, given_docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, given_docs.unionByName(more), given).collect()}
+    assert {i for i in kept if i < 0} == {-1 - len(unlike), -2 - len(unlike)}
+    assert len([i for i in kept if i >= 0]) >= 0.99 * given_docs.count()
