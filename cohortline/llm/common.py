@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,3 +71,20 @@ def raw(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
 def buckets_for(rows: int, each: int) -> int:
     """A power of two of buckets that hold about ``each`` rows."""
     return 1 << max(0, math.ceil(math.log2(max(1, rows) / each)))
+
+
+def list_bounds(lists: pa.ListArray) -> np.ndarray:
+    """The n + 1 bounds of the lists among the values that ``flatten`` gives."""
+    offsets = lists.offsets.to_numpy()
+    return offsets - offsets[0]
+
+
+def gather(
+    flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, order: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` that ``order`` names, one after another, and where each of them ends."""
+    sizes = lengths[order]
+    ends = np.cumsum(sizes)
+    at = np.arange(ends[-1] if len(ends) else 0)
+    at += np.repeat(starts[order] - (ends - sizes), sizes)
+    return flat[at], ends

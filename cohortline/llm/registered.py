@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import decode_ids, encode_texts
 from .chat import format_records, read_loss, read_turns, turn_records
 from .common import fold, read
+from .divergence import divergence
 from .hidden_markov import score_texts
 from .kdtree import top_k
 from .language import learn_languages, predict_languages
 from .mixing import mixed_counts
 from .pattern_packing import place_pieces, token_pieces
+from .prefix_trie import prefix_trie
 from .quality import quality
 from .simhash import near_groups
 from .token_matrix import matrix_pieces, pack_matrix
@@ -168,6 +171,100 @@ FROM written GROUP BY conv_id
 """
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again by the word tokenizer."""
+    back = decode_ids(encode_texts(read(spark, sf_dir, "documents")))
+    return back.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source of a language lies from its other sources, and the terms that it uses most above its language."""
+    return divergence(read(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+said AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM said GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+occurs AS (SELECT lang, source, term, count(*) AS n FROM said SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+dense AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n FROM groups JOIN kept USING (lang) LEFT JOIN occurs USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n,
+         1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM dense),
+langs AS (SELECT lang, term, sum(n) AS n FROM dense GROUP BY lang, term),
+whole AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)) AS q
+  FROM langs),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL BY NAME
+  SELECT 'term' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations."""
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+#: crc32 bit by bit (reflected polynomial 0xEDB88320), then prefixes as lists of turns.
+OP13_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+owned AS (SELECT conv_id, list(said ORDER BY place) AS own FROM turns GROUP BY conv_id),
+headed AS (
+  SELECT conv_id, own, xor(4294967295::BIGINT, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda crc, b: list_reduce(
+             list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+             lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END))) % 4 AS h
+  FROM owned),
+built AS (
+  SELECT a.conv_id, list_concat(coalesce(b.own[1:a.h], []), a.own[a.h + 1:]) AS said
+  FROM headed a LEFT JOIN owned b ON b.conv_id = a.conv_id - a.conv_id % 20),
+prefixes AS (
+  SELECT conv_id, d AS depth, said[1:d] AS said, d = len(said) AS ends FROM built, unnest(range(len(said) + 1)) AS t(d)),
+nodes AS (
+  SELECT said, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * (CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(said[depth].text, '[^\x20\x09-\x0D]+')) END) AS own,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY said, depth),
+children AS (SELECT said[1:depth - 1] AS said, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+above AS (
+  SELECT n.said[1:d] AS said, d AS depth, sum(n.own) AS saved, count(*) FILTER (WHERE c.n IS NULL) AS leaves
+  FROM nodes n LEFT JOIN children c ON c.said = n.said AND c.depth = n.depth, unnest(range(n.depth + 1)) AS t(d) GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, a.leaves AS n_leaves,
+       a.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN above a ON a.said = n.said AND a.depth = n.depth
+LEFT JOIN children c ON c.said = n.said AND c.depth = n.depth
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.said = n.said[1:n.depth - 1]
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_hidden_markov": op1_hidden_markov,
     "op2_kdtree": op2_kdtree,
@@ -179,10 +276,15 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_chat": op10_chat,
+    "op11_bpe": op11_bpe,
+    "op12_divergence": op12_divergence,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op2_kdtree": OP2_SQL,
     "op7_warc": OP7_SQL,
     "op10_chat": OP10_SQL,
+    "op12_divergence": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
