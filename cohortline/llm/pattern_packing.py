@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import settle
-from .common import blocks_of, id_and_text, raw, text_sizes
-from .tokens import END_ID, cut_lengths, encoder, tokenizer_path
+from .common import blocks_of, id_and_text, text_sizes
+from .tokens import END_ID, cut_pieces, encoder, tokenizer_path
 
 MOST = 1024
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 ROUNDS = 400
 
 Plan = list[tuple[tuple[int, ...], int]]
@@ -45,32 +45,29 @@ def token_pieces(
     place among the pieces of its length in its task (``task``, ``place``). Written once and read back.
     """
     path = path or tokenizer_path()
-    end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path).encode_column
         task = TaskContext.get().partitionId()
-        seen = [0] * (most + 1)
+        seen = np.zeros(most + 1, np.int64)
         for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
-            docs, rows, ids = [], [], []
-            for doc, text in enumerate(encode(raw(block))):
-                text += end
-                start = 0
-                for piece, length in enumerate(cut_lengths(len(text) // 4, most)):
-                    docs.append(doc)
-                    rows.append((piece, start, length, seen[length]))
-                    ids.append(text[4 * start : 4 * (start + length)])
-                    seen[length] += 1
-                    start += length
-            piece, start, length, place = np.array(rows, np.int64).reshape(-1, 4).T
+            ids, bounds = encode(block.column("text"), end_id)
+            doc, piece, start, length = cut_pieces(bounds, most)
+            # Each piece's number among those of its length, on from the blocks before.
+            order = np.argsort(length, kind="stable")
+            counts = np.bincount(length, minlength=most + 1)
+            place = np.empty(len(doc), np.int64)
+            place[order] = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts - seen, counts)
+            seen += counts
+            offsets = pa.py_buffer((4 * np.concatenate(([0], np.cumsum(length)))).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    block.column("doc_id").take(pa.array(docs, pa.int64())),
+                    block.column("doc_id").take(pa.array(doc)),
                     pa.array(piece.astype(np.int32)),
                     pa.array(start),
                     pa.array(length),
-                    pa.array(ids, pa.binary()),
-                    pa.array(np.full(len(docs), task, np.int32)),
+                    pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, offsets, pa.py_buffer(ids)]),
+                    pa.array(np.full(len(doc), task, np.int32)),
                     pa.array(place),
                 ],
                 names=["doc_id", "piece", "start", "length", "ids", "task", "place"],

@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.storage import scratch_path
-from .common import blocks_of, id_and_text, raw, text_sizes
-from .tokens import END_ID, cut_lengths, encoder, tokenizer_path
+from .common import blocks_of, id_and_text, text_sizes
+from .tokens import END_ID, cut_pieces, encoder, tokenizer_path
 
 MOST = 1024
 GROUP_TOKENS = 1_000_000
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 PAD_ID = 0
 PIECE = ("piece", "start", "offset", "length")
 
@@ -97,7 +97,6 @@ def write_matrix(
     ``width`` is the bytes of an id and position: 2 holds ids below 65,536.
     """
     tokenizer = tokenizer or tokenizer_path()
-    end = np.array([end_id], "<u4").tobytes()
     kind_of_id = f"<u{width}"
     kind = df.schema[id_col].dataType.simpleString()
     ramp = np.arange(most).astype(kind_of_id).tobytes()
@@ -105,7 +104,7 @@ def write_matrix(
     zeros = bytes(most * width)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_column
         sequence = TaskContext.get().partitionId() << 32
         held: list[tuple] = []  # (id, piece, start, ids)
         total = 0
@@ -148,16 +147,16 @@ def write_matrix(
         doc_type = pa.null()
         for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
             doc_type = block.schema.field("doc_id").type
-            for doc, text in zip(block.column("doc_id").to_pylist(), encode(raw(block))):
-                tokens = np.frombuffer(text + end, "<u4")
-                if width == 2 and tokens.max() > 0xFFFF:
-                    raise ValueError("an id needs more than 16 bits")
-                data = tokens.astype(kind_of_id).tobytes()
-                start = 0
-                for piece, length in enumerate(cut_lengths(len(tokens), most)):
-                    held.append((doc, piece, start, data[start * width : (start + length) * width]))
-                    start += length
-                total += len(tokens)
+            ids, bounds = encode(block.column("text"), end_id)
+            if width == 2 and len(ids) and ids.max() > 0xFFFF:
+                raise ValueError("an id needs more than 16 bits")
+            data = ids.astype(kind_of_id).tobytes()
+            names = block.column("doc_id").to_pylist()
+            at = 0
+            for doc, piece, start, length in zip(*[x.tolist() for x in cut_pieces(bounds, most)]):
+                held.append((names[doc], piece, start, data[at * width : (at + length) * width]))
+                at += length
+                total += length
                 if total >= GROUP_TOKENS:
                     yield rows()
         if held:

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given as examples
 from hypothesis import settings
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 
 from cohortline.llm.pattern_packing import best_fit, pack_patterns, patterns, plan_packing, slots
 from cohortline.llm.token_matrix import RoomTree, best_fit_decreasing, matrix_pieces, pack_matrix
-from cohortline.llm.tokens import cut_lengths, encoder, tokenizer_path
+from cohortline.llm.tokens import cut_lengths, cut_pieces, encoder, tokenizer_path
 
 pytest.importorskip("public_tokenizers")
 
@@ -22,7 +23,6 @@ def whole():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -35,10 +35,25 @@ def test_parts_give_the_ids_of_the_whole_text(whole):
         assert np.frombuffer(ids, "<u4").tolist() == whole(text), text
 
 
+def test_strings_of_special_tokens_are_these_tokens(whole):
+    end = "<|endoftext|>"
+    texts = [f"hi {end} there", end, f"{end}a", f"a  {end}", f"{end}  {end} b", f"  {end}\n c", "a\x00 b", "\x00", f"\x00{end} \x00", ""]
+    ids, bounds = encoder(tokenizer_path()).encode_column(pa.array(texts), 2)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == [*whole(text), 2], text
+    assert 50256 in whole(texts[0])
+
+
 def test_only_the_first_piece_may_be_shorter():
     assert cut_lengths(2048, 1024) == [1024, 1024]
     assert cut_lengths(2050, 1024) == [2, 1024, 1024]
     assert cut_lengths(1, 1024) == [1]
+    sizes = [1, 1024, 1025, 2048, 2050, 7]
+    doc, piece, start, length = cut_pieces(np.concatenate(([0], np.cumsum(sizes))), 1024)
+    for i, n in enumerate(sizes):
+        own = length[doc == i].tolist()
+        assert own == cut_lengths(n, 1024) and piece[doc == i].tolist() == list(range(len(own)))
+        assert start[doc == i].tolist() == [sum(own[:k]) for k in range(len(own))]
 
 
 @examples(st.dictionaries(st.integers(1, 32), st.integers(1, 50), max_size=12))
