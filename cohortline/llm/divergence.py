@@ -32,7 +32,7 @@ from .transducer import Transducer
 LEAST_DOCS = 3
 SCALE = 1_000_000_000
 TOP = 200
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Kept terms and counted rows of a shard of the vocabulary, about.
 SHARD_TERMS = 40_000
 SHARD_ROWS = 1_000_000
@@ -65,7 +65,7 @@ def terms_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     begins[firsts] = inside[firsts]
     starts = np.flatnonzero(begins)
     # Where each term starts among the bytes that belong to terms.
-    offsets = np.append(np.cumsum(inside)[starts] - 1, np.count_nonzero(inside)) if len(starts) else np.zeros(1)
+    offsets = np.append(np.cumsum(inside, dtype=np.int32)[starts] - 1, np.count_nonzero(inside)) if len(starts) else np.zeros(1)
     words = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(folded[inside])]
     )
