@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 from collections.abc import Callable, Iterator
 
@@ -54,6 +56,15 @@ def blocks_of(
             total += size
         if start < batch.num_rows:
             yield batch.slice(start)
+        batch = None
+    give_back()
+
+
+def give_back() -> None:
+    """Return a worker's free memory to the system, since it waits for its next task beside others that need it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def text_sizes(batch: pa.RecordBatch, name: str = "text") -> list[int]:

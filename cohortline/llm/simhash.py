@@ -14,13 +14,6 @@ A key shared by more than ``BUCKET`` different fingerprints (a large group of ne
 members go by an exact other way: each is linked to its 64 one-bit neighbours and itself, and two fingerprints
 are within two bits exactly if they share one of these; the smallest member of each stands for the rest.
 
-``similar_groups`` finds near copies by another measure, the Jaccard similarity of sets of five-word shingles, at 0.8 or more. All
-shingles have one order: those frequent in a sample last, else by hash. A pair at 0.8 shares one of the first
-n - ceil(0.8 n) + 1 of each text (prefix filter), so these are its keys and no pair is missed, whatever the order; the sample decides
-only how many texts meet. Texts of a key are first linked to its most central text, the one whose keys are shared most. Then
-all pairs of a key that this left in different components are compared, also in large groups. Two exact bounds discard pairs before
-the sets verify them: the sizes' ratio, and the differing bits of ``SKETCH_BITS`` parities, which the symmetric difference bounds.
-
 Null and empty texts have fingerprint zero and link like any other. Ties in bit counts leave the bit 0. Equal texts,
 repeated rows and repeated ids share one fingerprint and one component. A null id is no component's name unless all
 its ids are null. Very long texts are hashed whole. An empty table gives no rows. Columns other
@@ -48,18 +41,6 @@ BLOCK_BYTES = 4 << 20
 BUCKET = 64
 N_RANDOM_PIVOTS = 16
 
-#: For ``similar_groups``: words of a shingle and the least similarity.
-SET_WORDS = 5
-SIMILARITY = 0.8
-#: Shingles in this many texts of a sample of about SAMPLE_TEXTS count as frequent, at most MOST_COMMON of them.
-SAMPLE_TEXTS = 8192
-COMMON_TEXTS = 4
-MOST_COMMON = 50_000
-SKETCH_BITS = 512
-#: Texts of over LONG shingles have a second sketch, since in long unlike ones half of the few bits is below the bound.
-LONG = 1000
-LONG_BITS = 4096
-
 
 def shingle_hashes(data: bytes, words_in: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
     """XXH64 of every shingle of a text, repeats included; of the whole sequence, if there are fewer words."""
@@ -213,11 +194,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     raise RuntimeError("components did not settle")
 
 
-def near_groups(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in: int = SHINGLE_WORDS
-) -> DataFrame:
-    """doc_id, fingerprint (hexadecimal) and component_id of every row."""
-    docs = settle(fingerprints(df, id_col, text_col, words_in))
+def grouped_prints(docs: DataFrame) -> DataFrame:
+    """Of rows ``doc_id, fp``: every fingerprint with the ``root`` of its component and the component's smallest id."""
     prints = settle(docs.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
     found = components(links(prints.select("fp")))
     # Only fingerprints with a link: their component's smallest id.
@@ -225,214 +203,41 @@ def near_groups(
     roots = found.select(F.col("root").alias("fp")).distinct().join(prints, "fp")
     rooted = rooted.unionByName(roots.select("fp", F.col("fp").alias("root"), "least_id"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    linked = rooted.join(least, "root").select("fp", "component_id")
-    named = prints.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least_id").alias("component_id")
-    )
-    return docs.join(named, "fp", "left").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    linked = rooted.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(linked, "fp", "left").select(
+        "fp",
+        F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 
-def sketch_of(hashes: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Parity of the number of shingles in each of ``bits`` classes: two sets differ in at least as many shingles as bits."""
-    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
-
-
-def prefix_of(hashes: np.ndarray, common: np.ndarray, ranks: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
-    """The first n - ceil(similarity n) + 1 shingles of an ordered set: by rank (0 if not in ``common``), then by hash."""
-    n = len(hashes)
-    if not n:
-        return np.zeros(1, np.uint64)  # texts without words are each other's copies
-    take = n - int(np.ceil(similarity * n - 1e-6)) + 1
-    if not len(common):
-        return hashes[:take]
-    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-    rank = np.where(common[at] == hashes, ranks[at], 0)
-    return hashes[np.argsort(rank, kind="stable")[:take]]
-
-
-def common_shingles(named: DataFrame, texts: int, words_in: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles of a sample by hash of the text, in order, and the place of each by its count."""
-    own = named.where(F.pmod(F.xxhash64("node"), F.lit(1 << 40)) < int(min(1.0, SAMPLE_TEXTS / max(1, texts)) * (1 << 40)))
-    each = shingle_sets(own, words_in).select("node", F.explode("hashes").alias("key")).distinct()
-    counts = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON_TEXTS)
-    rows = counts.orderBy(F.desc("n"), "key").limit(MOST_COMMON).collect()  # bounded
-    hashes = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], np.arange(len(rows), 0, -1)[order]
-
-
-def prefix_table(
-    df: DataFrame, common: tuple[np.ndarray, np.ndarray], words_in: int = SET_WORDS, similarity: float = SIMILARITY
+def near_groups(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """Per text (node, text) its number of shingles, sketch and prefix ``keys``. The sets are not kept: they are as large as the texts."""
-    shared = df.sparkSession.sparkContext.broadcast(common)
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
-            sets = [np.unique(shingle_hashes(x, words_in)) for x in raw(block)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block.column("node"),
-                    pa.array([len(x) for x in sets], pa.int64()),
-                    pa.array([sketch_of(x) for x in sets], pa.list_(pa.int64())),
-                    pa.array([sketch_of(x, LONG_BITS) if len(x) > LONG else None for x in sets], pa.list_(pa.int64())),
-                    pa.array([prefix_of(x, *shared.value, similarity).view(np.int64) for x in sets], pa.list_(pa.int64())),
-                ],
-                names=["node", "size", "sketch", "wide", "keys"],
-            )
-
-    return df.mapInArrow(hashed, "node bigint, size bigint, sketch array<bigint>, wide array<bigint>, keys array<bigint>")
-
-
-def shingle_sets(df: DataFrame, words_in: int = SET_WORDS) -> DataFrame:
-    """Per text (node, text) the set of its shingle hashes."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
-            sets = [np.unique(shingle_hashes(x, words_in)) for x in raw(block)]
-            yield pa.RecordBatch.from_arrays(
-                [block.column("node"), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
-                names=["node", "hashes"],
-            )
-
-    return df.select("node", "text").mapInArrow(hashed, "node bigint, hashes array<bigint>")
-
-
-SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
-
-
-def may_reach(similarity: float) -> Column:
-    """Whether sizes and sketches of two texts (columns with a_ and b_) allow the similarity; never false for a pair that has it."""
-    a, b = F.col("a_size"), F.col("b_size")
-    bits = sum((distance(F.col(f"a_{x}"), F.col(f"b_{x}")) for x in SKETCH), F.lit(0))
-    return (F.least(a, b) >= similarity * F.greatest(a, b) - 1e-6) & (
-        bits <= (a + b) * ((1 - similarity) / (1 + similarity)) + 1e-6
-    )
-
-
-def without_far(pairs: DataFrame, table: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) but those of two long texts whose second sketches differ too much."""
-    wide = settle(table.where("wide IS NOT NULL").select("node", "size", "wide").dropDuplicates(["node"]))
-    bits = F.aggregate(F.zip_with("a_wide", "b_wide", distance), F.lit(0), lambda n, x: n + x)
-    most = (F.col("a_size") + F.col("b_size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
-    sides = pairs.join(as_side(wide, "a"), "a", "left").join(as_side(wide, "b"), "b", "left")
-    return sides.where(F.coalesce(bits <= most, F.lit(True))).select("a", "b")
-
-
-def as_side(table: DataFrame, side: str, *same: str) -> DataFrame:
-    return table.select(
-        *same, *[F.col(c).alias(side if c == "node" else f"{side}_{c}") for c in table.columns if c not in same]
-    )
-
-
-def verified(pairs: DataFrame, named: DataFrame, words_in: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets reach the similarity."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    # Sets only of texts that have a candidate, once per text; the join and the window share one shuffle of the texts.
-    single = Window.partitionBy("node").orderBy(F.lit(0))
-    own = named.select("node", "text").join(wanted, "node", "left_semi")
-    one = own.withColumn("n", F.row_number().over(single)).where("n = 1").select("node", "text")
-    tabled = settle(shingle_sets(one, words_in))
-    both = F.size(F.array_intersect("a_hashes", "b_hashes"))
-    return settle(
-        pairs.join(as_side(tabled, "a"), "a")
-        .join(as_side(tabled, "b"), "b")
-        .where(both >= similarity * (F.size("a_hashes") + F.size("b_hashes") - both))
-        .select("a", "b")
-    )
-
-
-def in_order(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def pairs_to_central(members: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Each text with the most central text of each of its keys, if they may be similar."""
-    central = members.groupBy("key").agg(F.max(F.struct("score", "node"))["node"].alias("b"))
-    pairs = in_order(members.join(central, "key").where("node <> b").select(F.col("node").alias("a"), "b"))
-    sides = pairs.join(as_side(nodes, "a"), "a").join(as_side(nodes, "b"), "b")
-    return sides.where(may_reach(similarity)).select("a", "b")
-
-
-def pairs_across(members: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of a key in different components that may be similar: of each key, those outside its largest component with all."""
-    placed = settle(
-        members.drop("score")
-        .join(found, "node", "left")
-        .withColumn("part", F.coalesce("root", "node"))
-        .drop("root")
+    """doc_id, fingerprint (hexadecimal) and component_id of every row."""
+    docs = settle(fingerprints(df, id_col, text_col, words_in))
+    return docs.join(grouped_prints(docs), "fp", "left").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
-    parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-    largest = parts.groupBy("key").agg(F.max(F.struct("n", "part"))["part"].alias("most"), F.count(F.lit(1)).alias("n"))
-    rows = placed.join(largest.where("n > 1").select("key", "most"), "key")
-    left = as_side(rows.where("part <> most").drop("most"), "a", "key")
-    right = as_side(rows.drop("most"), "b", "key")
-    return in_order(left.join(right, "key").where("a_part <> b_part").where(may_reach(similarity)).select("a", "b"))
 
 
-def similar_links(
-    named: DataFrame, texts: int, words_in: int = SET_WORDS, similarity: float = SIMILARITY
-) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs of texts (node, text) at the similarity or more."""
-    given = named.select("node", "text")
-    table = settle(prefix_table(given, common_shingles(given, texts, words_in), words_in, similarity))
-    # Equal texts give equal rows: only keys of different ones stay.
-    by_key = Window.partitionBy("key")
-    entries = table.select("node", F.explode("keys").alias("key"))
-    entries = entries.withColumn("lo", F.min("node").over(by_key)).withColumn("hi", F.max("node").over(by_key))
-    shared = settle(entries.where("lo <> hi").select("node", "key").distinct())
-    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    scores = shared.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("n"))
-    flat = table.select("node", "size", *[F.col("sketch")[i].alias(x) for i, x in enumerate(SKETCH)])
-    nodes = settle(flat.join(scores, "node").dropDuplicates(["node"]).withColumn("score", F.col("n") / F.greatest("size", F.lit(1))).drop("n"))
-    members = shared.join(nodes, "node")
-    central = pairs_to_central(shared.join(nodes.select("node", "score"), "node"), nodes.drop("score"), similarity)
-    first = settle(without_far(central, table, similarity))
-    close = verified(first, named, words_in, similarity)
-    found = components(close)
-    roots = found.select(F.col("root").alias("node"), "root").distinct()
-    rest = pairs_across(members, found.unionByName(roots), similarity)
-    rest = settle(without_far(rest.join(first, ["a", "b"], "left_anti"), table, similarity))
-    return close.unionByName(verified(rest, named, words_in, similarity))
-
-
-def similar_groups(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in: int = SET_WORDS, similarity: float = SIMILARITY
+def keep_one(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_in: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """doc_id, text_hash (of the text with ASCII letters lower case), ``component_id`` (smallest id of the near copies) per row.
+    """The rows of ``df``, one of each near-duplicate component: that with the smallest id, null ids last; of rows that share this id the
+    one whose text has the smaller digest, and of equal rows one.
 
-    Texts with equal hash are one text from the start, so a large group of exact copies is one row.
+    The caller's columns travel as one struct, so no name can clash. Texts shuffle once, to the rows that stay.
     """
-    docs = id_and_text(df, id_col, text_col)
-    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    named = docs.withColumn("node", F.xxhash64(lower))
-    ids = settle(named.groupBy("node").agg(F.min("doc_id").alias("least_id")))
-    # Hashing all texts costs less than shuffling them to find the different ones; equal nodes give equal rows.
-    found = components(similar_links(named, ids.count(), words_in, similarity))
-    roots = found.select("root").distinct().select(F.col("root").alias("node"), "root")
-    rooted = found.select("node", "root").unionByName(roots).join(ids, "node")
-    smallest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    linked = rooted.join(smallest, "root").select("node", "component_id")
-    components_of = ids.join(linked, "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id"))
-    return named.select("doc_id", "node").join(components_of, "node", "left").select("doc_id", F.col("node").alias("text_hash"), "component_id")
-
-
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` without near copies: of each group the row with the smallest id stays, and of repeated rows with
-    that id one."""
-    groups = similar_groups(df, id_col, text_col)
-
-    def key(node: Column, name: str) -> Column:
-        return F.concat_ws(":", node, F.coalesce(F.col(name).cast("string"), F.lit("null")))
-
-    lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    # A component is named by its smallest id: that row stays (a null id only where all ids are null).
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key(F.col("text_hash"), "doc_id").alias("_key"))
-    marked = df.withColumn("_key", key(F.xxhash64(lower), id_col))
-    # The join and the window share one shuffle of the rows.
-    first = Window.partitionBy("_key").orderBy(F.lit(0))
-    kept = marked.join(stays.distinct(), "_key", "left_semi").withColumn("_n", F.row_number().over(first))
-    return kept.where("_n = 1").select(*df.columns)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    named = df.select(F.struct(F.col(id_col).alias("id"), F.md5(text.cast("binary")).alias("digest")).alias("doc_id"), text.alias("text"))
+    docs = settle(fingerprints(named, words_in=words_in)).select(F.col("doc_id.id").alias("doc_id"), "doc_id.digest", "fp")
+    rooted = docs.join(grouped_prints(docs), "fp")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("best")
+    stays = rooted.groupBy("root").agg(best).select(F.col("best.doc_id").cast("string").alias("id"), F.col("best.digest").alias("digest"))
+    rows = df.select(F.col(id_col).cast("string").alias("id"), F.md5(text.cast("binary")).alias("digest"), F.struct("*").alias("row"))
+    same = rows["id"].eqNullSafe(stays["id"]) & (rows["digest"] == stays["digest"])
+    kept = rows.join(stays, same, "left_semi")
+    # Equal rows: each task keeps one before they meet.
+    place = F.row_number().over(Window.partitionBy("digest", "id").orderBy(F.lit(0)))
+    return kept.withColumn("place", place).where(F.col("place") == 1).select("row.*")

@@ -21,7 +21,7 @@ from .common import gather, list_bounds
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 #: Parts that a worker remembers, in two generations, and the longest part it remembers.
-MOST_PARTS = 400_000
+MOST_PARTS = 1_200_000
 LONGEST_PART = 64
 #: Parts encoded in one call.
 TOGETHER = 500
