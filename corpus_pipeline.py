@@ -34,7 +34,7 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the smallest id stays."""
+    """Of each component of fingerprints within two bits (three-word shingles) the smallest id stays."""
     return keep_one(docs.select(*COLUMNS))
 
 
