@@ -130,31 +130,36 @@ def unescaped(text: Column, table: tuple[tuple[str, str], ...] = ESCAPES) -> Col
 
 
 def formatted(turns: DataFrame, id_col: str, order: list[str]) -> DataFrame:
-    """One row per conversation: ``formatted`` and ``loss_spans`` (start and length in bytes).
+    """One row per conversation: ``formatted``, ``loss_spans`` (start and length in bytes) and ``n_unmapped``.
 
-    ``turns`` has one row per turn with ``role`` and ``text``. One shuffle, by conversation.
+    ``turns`` has one row per turn with ``role`` and ``text``; a row without a role is no turn, keeps its conversation, and counts as
+    unmapped if its column ``unmapped`` says so. One shuffle, by conversation.
     """
+    if "unmapped" not in turns.columns:
+        turns = turns.withColumn("unmapped", F.lit(False))
     opening = F.concat(F.lit(TURN), escaped(F.col("role"), ROLE_ESCAPES), F.lit("\n"))
     written = turns.select(
-        id_col, *[c for c in order if c not in ("role", "text")], "role", "text",
+        id_col, *[c for c in order if c not in ("role", "text")], "role", "text", "unmapped",
         opening.alias("opening"), escaped(F.col("text")).alias("said"),
     )
     inside = Window.partitionBy(id_col).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
     size = F.octet_length("opening") + F.octet_length("said") + len(END)
-    placed = written.select(
-        id_col,
-        F.struct(
-            F.row_number().over(inside).alias("n"),
-            F.concat("opening", "said", F.lit(END)).alias("turn"),
-            (F.col("role") == ASSISTANT).alias("counts"),
-            (F.coalesce(F.sum(size).over(earlier), F.lit(0)) + F.octet_length("opening")).alias("start"),
-            F.octet_length("said").cast("bigint").alias("length"),
-        ).alias("t"),
+    turn = F.struct(
+        F.row_number().over(inside).alias("n"),
+        F.concat("opening", "said", F.lit(END)).alias("turn"),
+        (F.col("role") == ASSISTANT).alias("counts"),
+        (F.coalesce(F.sum(size).over(earlier), F.lit(0)) + F.octet_length("opening")).alias("start"),
+        F.octet_length("said").cast("bigint").alias("length"),
+    )
+    placed = written.select(id_col, "unmapped", F.when(F.col("role").isNotNull(), turn).alias("t"))
+    # A list leaves nulls out.
+    joined = placed.groupBy(id_col).agg(
+        F.array_sort(F.collect_list("t")).alias("ts"), F.count_if("unmapped").alias("n_unmapped")
     )
-    joined = placed.groupBy(id_col).agg(F.array_sort(F.collect_list("t")).alias("ts"))
     return joined.select(
         id_col,
+        "n_unmapped",
         F.array_join(F.transform("ts", lambda t: t["turn"]), "").alias("formatted"),
         F.transform(
             F.filter("ts", lambda t: t["counts"]),
@@ -187,10 +192,15 @@ def read_loss(data: Column, spans: Column) -> Column:
 def format_records(
     df: DataFrame, id_col: str = "conv_id", order_col: str = "turn", record_col: str = "record"
 ) -> DataFrame:
-    """Conversations from JSON records of any known layout; records of one id follow each other by ``order_col``."""
+    """Conversations from JSON records of any known layout; records of one id follow each other by ``order_col``.
+
+    A record of an unknown layout, or that is no JSON, adds nothing to its conversation and is counted in ``n_unmapped``; a
+    conversation of such records, or of empty ones, stays with an empty text.
+    """
     plain = df.select(F.col(id_col).alias("conv_id"), F.col(order_col).alias("turn"), F.col(record_col).alias("record"))
-    turns = canonical_turns(plain).select("conv_id", "turn", F.posexplode("turns").alias("place", "t"))
-    named = turns.select("conv_id", "turn", "place", F.col("t.role").alias("role"), F.col("t.text").alias("text"))
+    unmapped = F.col("layout").isNull().alias("unmapped")
+    turns = canonical_turns(plain).select("conv_id", "turn", unmapped, F.posexplode_outer("turns").alias("place", "t"))
+    named = turns.select("conv_id", "turn", "place", "unmapped", F.col("t.role").alias("role"), F.col("t.text").alias("text"))
     return formatted(named, "conv_id", ["turn", "place", "role", "text"])
 
 

@@ -104,8 +104,8 @@ WITH digests AS (
   SELECT page_id, sha256(coalesce(html, '')) AS digest, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
 firsts AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS least FROM digests)
 SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
-       CASE WHEN n >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to
+       CASE WHEN n >= 100 AND least IS NOT NULL AND page_id IS DISTINCT FROM least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id IS DISTINCT FROM least THEN least END AS refers_to
 FROM firsts
 """
 

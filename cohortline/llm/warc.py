@@ -35,8 +35,11 @@ FILE_BYTES = 8 << 20
 #: Captures that one range of the merge holds, about.
 RANGE_ROWS = 50_000
 CRLF = "\r\n"
-#: 2024-01-01T00:00:00Z, the time of page 0 where the table names no time.
+#: 2024-01-01T00:00:00Z, the time of page 0 where the table names no time; an id's seconds after it go round in SPAN.
 EPOCH = 1704067200
+SPAN = 1_000_000_000
+#: The last second that a date of the format can write.
+LAST_SECOND = 253402300799
 
 CAPTURE = (
     "page_id bigint, url string, url_key string, time bigint, payload_digest string, payload_bytes bigint, "
@@ -46,7 +49,13 @@ CAPTURE = (
 
 def decided(pages: DataFrame, id_col: str, url_col: str, html_col: str, time: Column | None) -> DataFrame:
     """page_id, url, html, time, digest, n_bytes, ``first`` (the response a revisit refers to, else null)."""
-    when = F.lit(EPOCH) + F.coalesce(F.col(id_col), F.lit(0)).cast("bigint") if time is None else time.cast("bigint")
+    if time is None:
+        when = F.lit(EPOCH) + F.pmod(F.coalesce(F.col(id_col).cast("bigint"), F.lit(0).cast("bigint")), F.lit(SPAN))
+    else:
+        given = time.cast("bigint")
+        when = F.when(given.between(0, LAST_SECOND), given).otherwise(
+            F.raise_error(F.concat(F.lit("no second of the years 1970 to 9999: "), F.coalesce(given.cast("string"), F.lit("null")))).cast("bigint")
+        )
     rows = pages.select(
         F.col(id_col).cast("bigint").alias("page_id"),
         F.coalesce(F.col(url_col), F.lit("")).alias("url"),

@@ -41,6 +41,25 @@ def test_archives_come_back_whole(spark, pages, tmp_path):
     assert {r["refers_to"] for r in hot if r["page_id"] != 100} == {100}
 
 
+def test_any_number_is_a_page_id(spark, tmp_path):
+    ids = [0, -1, 10**12, -(10**11), 2**63 - 1, -(2**63), None, 7]
+    copy = "<p>" + "x" * 200
+    table = spark.createDataFrame([(i, f"http://a/{n}", copy if n % 2 else f"page {n}", "d", n) for n, i in enumerate(ids)], PAGES)
+    back = {r["page_id"]: r for r in archive_pages(table).collect()}
+    assert set(back) == set(ids)
+    same = [i for n, i in enumerate(ids) if n % 2]
+    least = min(i for i in same if i is not None)
+    for i in ids:
+        revisits = i in same and i != least
+        assert back[i]["record_type"] == ("revisit" if revisits else "response")
+        assert back[i]["refers_to"] == (least if revisits else None)
+    nulls = spark.createDataFrame([(None, "u", copy, "d", 0), (3, "u", copy, "d", 0)], PAGES)
+    assert {r["page_id"]: r["refers_to"] for r in archive_pages(nulls).collect()} == {None: 3, 3: None}
+    late = table.withColumn("time", F.lit(2**62))
+    with pytest.raises(Exception, match="no second of the years"):
+        write_archives(late, str(tmp_path / "late"), time=F.col("time"))
+
+
 def test_index_is_in_global_order(pages, monkeypatch):
     monkeypatch.setattr("cohortline.llm.warc.RANGE_ROWS", 20)
     rows = archive_pages(pages).orderBy("range", "place").collect()
@@ -184,3 +203,22 @@ def test_chat_is_native(spark, given):
 
     plan = op10_chat(spark, given)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_no_conversation_vanishes(spark):
+    rows = [
+        (1, 0, '{"prompt": "p", "response": "r"}'),
+        (2, 0, '{"other": 1}'),
+        (3, 0, "no json"),
+        (4, 0, '{"messages": [{"role": "user", "content": "c", "extra": 1}]}'),
+        (5, 0, '{"messages": []}'),
+        (6, 0, '{"other": 1}'), (6, 1, '{"role": "assistant", "text": "a"}'), (6, 2, None),
+    ]
+    made = format_records(spark.createDataFrame(rows, "conv_id int, turn int, record string"))
+    got = {r["conv_id"]: (r["formatted"], r["loss_spans"], r["n_unmapped"]) for r in made.collect()}
+    assert set(got) == {1, 2, 3, 4, 5, 6}
+    assert got[1][2] == 0 and "r" in got[1][0]
+    assert all(got[i][0] == "" and got[i][1] == [] for i in (2, 3, 4, 5)) and got[2][2] == got[3][2] == got[4][2] == 1
+    assert got[6][2] == 2 and got[6][0].count("<|turn|>") == 1
+    back = made.where("conv_id in (5, 6)").select("conv_id", F.size(read_turns(F.col("formatted"))).alias("n")).collect()
+    assert {r["conv_id"]: r["n"] for r in back} == {5: 0, 6: 1}
