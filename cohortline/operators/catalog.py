@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classes import contains_any, label_number
 from ..schemas import POSITION
-from ..sources.catalog import Catalog
+from ..sources.catalog import PROJECT, Catalog, check_scope
 from .joins import keep_left
 
 
@@ -21,8 +21,6 @@ def sample_base(catalog: Catalog) -> DataFrame:
 def catalog_join(catalog: Catalog) -> DataFrame:
     """Subject, experiment and scan in one row; subjects and experiments without children stay."""
     subjects, experiments, scans = catalog.subjects, catalog.experiments, catalog.scans
-    if not catalog.scope:
-        subjects, experiments, scans = (t.drop("project_id") for t in (subjects, experiments, scans))
     inner = keep_left(experiments, scans, catalog.keys("exp_key"))
     return keep_left(subjects, inner, catalog.keys("subject_key"), present=experiments)
 
@@ -97,7 +95,11 @@ def label_from_experiment(
 def attach_resource_files(items: DataFrame, resources: DataFrame, uri: str = "action_data") -> DataFrame:
     """Add the file list of items that point at a resource; null for all others.
 
-    Items are the preserved side, so adaptive execution can split an address that many items share.
+    An address is unique inside a project only: where both sides carry ``project_id`` it is part of the key, and
+    ``ValueError`` if only one does. Items are the preserved side, so adaptive execution can split an address that many
+    items share.
     """
-    lists = resources.select(F.col("uri").alias(uri), "resource_files")
-    return items.drop("resource_files").join(lists, uri, "left")
+    check_scope({"items": PROJECT in items.columns, "resources": PROJECT in resources.columns})
+    scope = [PROJECT] if PROJECT in resources.columns else []
+    lists = resources.select(*scope, F.col("uri").alias(uri), "resource_files")
+    return items.drop("resource_files").join(lists, [*scope, uri], "left")

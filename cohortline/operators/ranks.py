@@ -12,7 +12,6 @@ In both, totals per bucket or piece are summed to offsets, and the rank is offse
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,12 +21,9 @@ from ..functions.hashing import hash_number
 from ..sources.storage import settle
 
 SALTS = 64
-
-
-def bucket_digits(df: DataFrame) -> int:
-    """Hex digits that cut evenly spread digests of these rows into about as many buckets as one of them has rows."""
-    rows = df.agg(F.count(F.lit(1))).first()[0]
-    return max(1, math.ceil(math.log(max(1, rows), 16) / 2))
+#: Leading hex digits of a digest that make a bucket: at most 65,536 counts, whatever the number of rows, and no
+#: count of the rows while a plan is built. A bucket that is ranked holds that share of the rows.
+DIGITS = 4
 
 
 def hash_rank(
@@ -35,7 +31,7 @@ def hash_rank(
     digest: str,
     ties: Sequence[str],
     group: Sequence[str] = (),
-    digits: int | None = None,
+    digits: int = DIGITS,
     name: str = "position",
 ) -> DataFrame:
     """1-based rank by (digest, ties) inside each group.
@@ -43,7 +39,7 @@ def hash_rank(
     Rows shuffle once, by (group, bucket); the offsets are at most 16**digits rows per group.
     """
     keys = [*group, "bucket"]
-    placed = df.withColumn("bucket", hash_number(F.col(digest), 1, digits or bucket_digits(df)))
+    placed = df.withColumn("bucket", hash_number(F.col(digest), 1, digits))
     counts = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_bucket"))
     upto = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, F.coalesce(F.sum("n_bucket").over(upto), F.lit(0)).alias("before"))
@@ -57,7 +53,7 @@ def hash_rank(
 
 
 def hash_thresholds(
-    df: DataFrame, digest: str, tie: str | Sequence[str], ranks: dict[str, Column], digits: int | None = None
+    df: DataFrame, digest: str, tie: str | Sequence[str], ranks: dict[str, Column], digits: int = DIGITS
 ) -> DataFrame:
     """The (digest, tie) pair at each asked rank: rows ``(cut, digest, tie)``.
 
@@ -65,7 +61,7 @@ def hash_thresholds(
     that hold a cut are ranked; all other rows are just counted.
     """
     ties = [tie] if isinstance(tie, str) else list(tie)
-    placed = df.select(digest, *ties, hash_number(F.col(digest), 1, digits or bucket_digits(df)).alias("bucket"))
+    placed = df.select(digest, *ties, hash_number(F.col(digest), 1, digits).alias("bucket"))
     counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_bucket"))
     # At most 16**digits rows reach this window.
     upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -100,7 +96,7 @@ def first_by_hash(df: DataFrame, digest: str, ties: Sequence[str], n: int) -> Da
     Rows are counted per bucket; whole buckets before the cut stay as they are, and only the bucket with the
     cut is ranked.
     """
-    placed = df.withColumn("bucket", hash_number(F.col(digest), 1, bucket_digits(df)))
+    placed = df.withColumn("bucket", hash_number(F.col(digest), 1, DIGITS))
     counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_bucket"))
     upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(F.col("bucket").alias("at"), F.coalesce(F.sum("n_bucket").over(upto), F.lit(0)).alias("before"))

@@ -32,9 +32,10 @@ class Action:
     """A named step that yields a list of catalog objects or one value per subject.
 
     ``fn(catalog)`` returns, for kind ``list``, one row per object with ``subject_key``, ``uri``
-    (its address, never null) and the catalog position columns that apply; for kind ``value``, at most one row per subject
+    (its address, never null) and the catalog position columns that apply; for kind ``value``, one row per subject
     with ``subject_key``, ``value`` and, if the step can fail, a boolean ``error``. A value action
-    that ends in an aggregate by subject is joined where it lies, without another shuffle.
+    that ends in an aggregate by subject is joined where it lies, without another shuffle. A value action that gives a
+    subject several rows has failed for it: the subject stays one row, with the status ``error``.
     A value counts as text if its column is a string column. Over a catalog of several projects the rows also
     carry ``project_id``.
     """
@@ -222,11 +223,10 @@ def build_samples(catalog: Catalog, actions: Sequence[Action], on_failure: str =
         subjects = subjects.join(counts, keys, "left")
     for k, action in enumerate(actions):
         if action.kind == VALUE_ACTION:
-            value = tables[k].select(
-                *keys,
-                F.col("action_data").alias(f"value_{k}"),
-                F.col("is_text").alias(f"text_{k}"),
-                F.col("error").alias(f"bad_{k}"),
+            value = tables[k].groupBy(*keys).agg(
+                F.max("action_data").alias(f"value_{k}"),
+                F.bool_or("is_text").alias(f"text_{k}"),
+                (F.bool_or("error") | (F.count(F.lit(1)) > 1)).alias(f"bad_{k}"),
             )
             subjects = subjects.join(value, keys, "left")
 

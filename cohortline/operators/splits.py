@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_number, hash_unit, stable_hash
+from ..functions.permute import permuted
 from .ranks import first_by_hash, hash_rank, hash_thresholds
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
@@ -107,3 +108,47 @@ def training_shards(
         .withColumn("batch", F.floor(F.col("position") / batch_size))
         .drop("draw")
     )
+
+
+def indexed_shards(
+    df: DataFrame, n_shards: int, seed: object = 42, key: str | Sequence[str] = "subject_key"
+) -> DataFrame:
+    """Add ``shard``, ``index`` (0-based inside the shard, the same every time) and ``shard_rows``.
+
+    Done once, this carries every later order: see ``epoch_order``. The counts are one row per shard.
+    """
+    home = stable_hash(seed, *_keys(key))
+    placed = df.withColumn("shard", F.pmod(hash_number(home, 9, 8), F.lit(n_shards)).cast("int")).withColumn("draw", home)
+    ranked = hash_rank(placed, "draw", _keys(key), ["shard"], name="index").withColumn("index", F.col("index") - 1)
+    rows = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("shard_rows"))
+    return ranked.join(rows, "shard").select(*df.columns, "shard", "index", "shard_rows")
+
+
+def _order_key(seed: object, epoch: int) -> Column:
+    return F.concat_ws(":", F.lit(f"{seed}:{epoch}"), F.col("shard").cast("string"))
+
+
+def epoch_order(shards: DataFrame, batch_size: int, seed: object = 42, epoch: int = 0) -> DataFrame:
+    """The rows of ``indexed_shards`` with the ``position`` and ``batch`` that an epoch gives them inside their shard.
+
+    A keyed bijection of the index: no row needs another, so a new epoch costs no shuffle.
+    """
+    position = permuted(F.col("index"), F.col("shard_rows"), _order_key(seed, epoch))
+    return shards.withColumn("position", position).withColumn("batch", F.floor(F.col("position") / batch_size))
+
+
+def shard_positions(
+    shards: DataFrame, shard: int, positions: Sequence[int], seed: object = 42, epoch: int = 0
+) -> DataFrame:
+    """The rows at some positions of one shard in an epoch, such as one batch, with ``position``.
+
+    The bijection runs backwards for the asked positions only, and their indexes are looked up: with a table partitioned by
+    shard and ordered by index, a read of a few rows.
+    """
+    spark = shards.sparkSession
+    asked = spark.createDataFrame([(shard, int(p)) for p in positions], "shard int, position bigint")
+    size = shards.where(F.col("shard") == shard).select("shard", "shard_rows").limit(1)
+    wanted = asked.join(size, "shard").where((F.col("position") >= 0) & (F.col("position") < F.col("shard_rows")))
+    index = permuted(F.col("position"), F.col("shard_rows"), _order_key(seed, epoch), inverse=True)
+    found = wanted.select("shard", "position", index.alias("index"))
+    return shards.where(F.col("shard") == shard).join(found, ["shard", "index"]).select(*shards.columns, "position")

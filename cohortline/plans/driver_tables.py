@@ -33,10 +33,9 @@ def text(*parts: Column | str) -> Column:
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    """Customers as subjects, orders as experiments, line items as scans, parts as resources."""
+    """Customers as subjects, orders as experiments, line items as scans, parts as resources: one project."""
     c = F.col
     subjects = table(spark, sf_dir, "customer").select(
-        c("c_nationkey").cast("string").alias("project_id"),
         c("c_custkey").alias("subject_key"),
         c("c_name").alias("subject_id"),
         text("/subjects/", c("c_custkey")).alias("subject_uri"),

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES, Query
 
-_PARTS = ("cohort", "images", "evaluation", "records", "text")
+_PARTS = ("cohort", "images", "evaluation", "records", "text", "training")
 
 
 def _load() -> None:

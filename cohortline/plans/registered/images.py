@@ -172,7 +172,7 @@ CHAIN = (
   FROM flipped f JOIN (SELECT image_id, min(v) AS lo, max(v) AS hi FROM flipped GROUP BY 1) m ON m.image_id = f.image_id
 )
 SELECT e.image_id AS subject_id, 10 AS height, 10 AS width, CAST(a.i * 10 + b.j AS INTEGER) AS idx,
-       round(coalesce(f.v, 0.0), 6) AS value
+       round(CAST(CAST(coalesce(f.v, 0.0) AS FLOAT) AS DOUBLE), 6) AS value
 FROM ends e, generate_series(0, 9) a(i), generate_series(0, 9) b(j)
 LEFT JOIN final f ON f.image_id = e.image_id AND f.i = a.i - 2 AND f.j = b.j - 2"""
 )

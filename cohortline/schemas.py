@@ -23,6 +23,8 @@ POSITION = ("exp_ordinal", "exp_key", "scan_ordinal", "scan_key")
 
 # ---- images --------------------------------------------------------------------------------
 IMAGE = _struct(height=INT, width=INT, pixels=T.ArrayType(DBL))
+#: As images are stored and end a chain.
+IMAGE32 = _struct(height=INT, width=INT, pixels=T.ArrayType(T.FloatType()))
 
 # ---- record tables -------------------------------------------------------------------------
 PERSON_REF = _struct(name=STR, id=STR)

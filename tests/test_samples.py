@@ -45,8 +45,8 @@ SCANS = [
 def catalog(spark):
     names = [f"s{i}" for i in range(1, 8)]
     subjects = spark.createDataFrame(
-        [("p", n, f"id-{n}", f"/subjects/{n}") for n in names],
-        "project_id string, subject_key string, subject_id string, subject_uri string",
+        [(n, f"id-{n}", f"/subjects/{n}") for n in names],
+        "subject_key string, subject_id string, subject_uri string",
     )
     experiments = spark.createDataFrame(
         EXPERIMENTS, "subject_key string, exp_key string, exp_ordinal bigint, modality string, label string"
@@ -227,6 +227,18 @@ def test_action_checks(catalog):
         built(catalog, actions=[smp.Action("a", "b", "neither", lambda c: c.subjects)])
 
 
+def test_a_value_action_with_several_rows_has_failed(catalog):
+    def twice(c):
+        keys = c.subjects.where("subject_key <> 's7'").select("subject_key", F.lit("v").alias("value"))
+        return keys.unionByName(keys.where("subject_key = 's1'"))
+
+    samples = built(catalog, actions=[smp.Action("twice", "label", smp.VALUE_ACTION, twice)])
+    status = {r.subject_key: r.status for r in samples.status.collect()}
+    assert samples.subjects.count() == 7 == len(status)
+    assert status["s1"] == "error" and status["s7"] == "missing" and status["s2"] == "ok"
+    assert len(samples.items.collect()) == 5 and [r.subject_id for r in smp.missing_data_log(samples).collect()] == ["s7"]
+
+
 def test_whole_run(catalog):
     cohort = run_cohort(catalog, ACTIONS, ("fetch_xr", "fetch_label"), exact=True)
     stats = {(r.split, r.stat, r.key): r.value for r in cohort.stats().collect()}

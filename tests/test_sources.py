@@ -6,9 +6,10 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from cohortline.operators.catalog import catalog_counts
+from cohortline.operators.catalog import attach_resource_files, catalog_counts
 from cohortline.operators.series import group_series
 from cohortline.operators.stats import data_manifest, nested_manifest
+from cohortline.plans.cohort_run import label_action, run_cohort, scan_action
 from cohortline.sources import files, sinks, storage
 from cohortline.sources.catalog import Catalog, read_catalog, write_catalog
 from cohortline.sources.records import corrupt_records, read_records
@@ -36,6 +37,56 @@ def test_catalog_of_one_project_reads_one_partition(spark, stored):
     assert "PartitionFilters: [isnotnull(project_id" in metadata and "PushedFilters" not in metadata
 
 
+def small_catalog(spark, project):
+    """Three subjects, of which the last has no scan; ``project`` is a column or none."""
+    people = spark.createDataFrame([(f"k{i}", f"id{i}", "/u") for i in range(3)], "subject_key string, subject_id string, subject_uri string")
+    subjects = people if project is None else people.select(project.alias("project_id"), "*")
+    scope = [] if project is None else ["project_id"]
+    experiments = subjects.select(*scope, "subject_key", F.concat("subject_key", F.lit("e")).alias("exp_key"), F.lit(1).cast("bigint").alias("exp_ordinal"), F.lit("CR").alias("modality"), F.lit("A_1").alias("label"))
+    scans = experiments.where("subject_key <> 'k2'").select(*scope, "exp_key", F.lit("s").alias("scan_key"), F.lit(1).cast("bigint").alias("scan_ordinal"), F.lit("d").alias("series_description"), F.lit("/s").alias("uri"))
+    return Catalog(subjects, experiments, scans)
+
+
+@pytest.mark.parametrize("layout", ["none", "column", "null", "partitions"])
+def test_a_cohort_of_a_catalog_as_it_is_stored(spark, tmp_path, layout):
+    """Without projects, with the column in the files, with a null in it, and in folders by project."""
+    project = {"none": None, "null": F.when(F.col("subject_key") != "k1", F.lit("p")), "column": F.lit("p"), "partitions": F.lit("7")}[layout]
+    made = small_catalog(spark, project)
+    if layout in ("column", "null"):
+        for name in ("subjects", "experiments", "scans"):
+            getattr(made, name).write.parquet(f"{tmp_path}/{name}")
+    else:
+        write_catalog(made, str(tmp_path))
+    read = read_catalog(spark, str(tmp_path))
+    assert read.resources is None and read.scope == ([] if layout == "none" else ["project_id"])
+    cohort = run_cohort(read, [scan_action(), label_action()], ("fetch_xr", "fetch_label"))
+    assert sorted(r.subject_key for r in cohort.split.collect()) == ["k0", "k1"]
+    assert [(r.subject_id, r.failed_action) for r in cohort.missing.collect()] == [("k2", "fetch_xr")]
+    assert cohort.samples.items.count() == 4
+    if layout == "null":
+        assert {r.subject_key: r.project_id for r in cohort.split.collect()} == {"k0": "p", "k1": ""}
+    if layout == "none":
+        with pytest.raises(ValueError, match="no project_id"):
+            read_catalog(spark, str(tmp_path), ["p"])
+    else:
+        some = read_catalog(spark, str(tmp_path), ["7" if layout == "partitions" else "p"])
+        assert some.subjects.count() == (2 if layout == "null" else 3)
+
+
+def test_levels_with_and_without_projects_are_refused(spark, tmp_path):
+    one, other = small_catalog(spark, F.lit("p")), small_catalog(spark, None)
+    with pytest.raises(ValueError, match="experiments"):
+        Catalog(one.subjects, other.experiments, one.scans)
+    one.subjects.write.parquet(f"{tmp_path}/subjects")
+    for name in ("experiments", "scans"):
+        getattr(other, name).write.parquet(f"{tmp_path}/{name}")
+    with pytest.raises(ValueError, match="experiments, scans"):
+        read_catalog(spark, str(tmp_path))
+    items = one.scans.select("project_id", F.col("uri").alias("action_data"))
+    with pytest.raises(ValueError, match="resources"):
+        attach_resource_files(items, spark.createDataFrame([("/s", ["f"])], "uri string, resource_files array<string>"))
+
+
 def test_image_files(spark, tmp_path):
     for name in ("s1/a.dcm", "s1/b.dcm", "s2/deep/c.dcm", "s2/d.txt"):
         path = tmp_path / name
