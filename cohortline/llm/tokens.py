@@ -69,7 +69,7 @@ class PartEncoder:
         lists = pc.split_pattern(marked, MARK)
         bounds = list_bounds(lists)
         coded = lists.flatten().dictionary_encode()
-        parts = coded.dictionary.to_pylist()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         order = coded.indices.to_numpy()
         ids = self.ids_of(parts)
         if len(odd):
