@@ -19,10 +19,12 @@ def sample_base(catalog: Catalog) -> DataFrame:
 
 
 def catalog_join(catalog: Catalog) -> DataFrame:
-    """Subject, experiment and scan in one row; subjects and experiments without children stay."""
-    subjects, experiments, scans = catalog.subjects, catalog.experiments, catalog.scans
-    inner = keep_left(experiments, scans, catalog.keys("exp_key"))
-    return keep_left(subjects, inner, catalog.keys("subject_key"), present=experiments)
+    """Subject, experiment and scan in one row; subjects and experiments without children stay.
+
+    From the top down, so that the largest level, the scans, is read and shuffled once.
+    """
+    people = keep_left(catalog.subjects, catalog.experiments, catalog.keys("subject_key"))
+    return keep_left(people, catalog.scans, catalog.keys("exp_key"))
 
 
 def catalog_counts(catalog: Catalog) -> DataFrame:

@@ -347,35 +347,68 @@ def nest_items(samples: Samples, chunk_size: int = 10_000) -> DataFrame:
 
     ``data`` is ``ARRAY<ARRAY<item>>``, one inner array per action that ran, in action order. A
     subject's items are cut by position into ``n_chunks`` rows of at most ``chunk_size``, at least one, so that
-    no array grows without bound and no item is lost.
+    no array grows without bound and no item is lost. How many items a subject has stands in its status row: those
+    with one chunk are grouped where the join by subject left them, only the items of the others are ordered over tasks.
     """
     kept = surviving(samples).settled()
+    n_chunks = F.greatest(F.lit(1), F.ceil(kept.n_items() / chunk_size)).cast("bigint")
     keys = list(kept.keys)
-    order = ["action_ordinal", *POSITION, "action_data"]
-    rest = ["source_action", "data_type", "data_label"]
-    placed = ordered_position(kept.items, keys, order)
-    listed = placed.withColumn("chunk", F.floor((F.col("position") - 1) / chunk_size)).drop("position")
-    groups = (
-        listed.groupBy(*keys, "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias("found"))
+    one, several = kept.only(n_chunks == 1), kept.only(n_chunks > 1)
+    objects = one.object_items.groupBy(*keys).agg(_collected_items().alias("objects"))
+    values = _value_list(one)
+    found = F.when(F.col("objects").isNull(), values).otherwise(F.concat("objects", values))
+    heads = one.subjects.join(objects, keys, "left").withColumn("found", found)
+    nested = _nested_rows(one, heads, F.lit(0).cast("bigint"), n_chunks)
+    # The subject table is written, so this looks at as many status rows as it takes to find one.
+    if several.subjects.isEmpty():
+        return nested
+    placed = ordered_position(several.items, keys, ITEM_ORDER)
+    pieces = (
+        placed.withColumn("chunk", F.floor((F.col("position") - 1) / chunk_size))
+        .groupBy(*keys, "chunk")
+        .agg(_collected_items().alias("found"))
     )
-    heads = kept.subjects.select(
-        *keys,
-        "subject_id",
-        "subject_uri",
-        kept.n_ran().alias("n_groups"),
-        F.greatest(F.lit(1), F.ceil(kept.n_items() / chunk_size)).cast("bigint").alias("n_chunks"),
-    )
-    nested = heads.join(groups, keys, "left")
-    ordinals = F.when(F.col("n_groups") > 0, F.sequence(F.lit(0), F.col("n_groups") - 1)).otherwise(
-        F.array().cast("array<int>")
+    return nested.unionByName(_nested_rows(several, several.subjects.join(pieces, keys), F.col("chunk"), n_chunks))
+
+
+ITEM_ORDER = ["action_ordinal", *POSITION, "action_data"]
+_ITEM_REST = ["source_action", "data_type", "data_label"]
+
+
+def _collected_items() -> Column:
+    return F.array_sort(F.collect_list(F.struct(*ITEM_ORDER, *_ITEM_REST)))
+
+
+def _value_list(samples: Samples) -> Column:
+    """The value items of a subject as one array, an expression on ``subjects``."""
+
+    def item(value: Column, ordinal: Column) -> Column:
+        places = [F.lit(None).cast(t).alias(c) for c, t in zip(POSITION, _POSITION_TYPES)]
+        return F.struct(
+            ordinal.alias("action_ordinal"),
+            *places,
+            value.alias("action_data"),
+            samples._name(lambda a: a.name, ordinal).alias("source_action"),
+            F.lit(VALUE).alias("data_type"),
+            samples._name(lambda a: a.label, ordinal).alias("data_label"),
+        )
+
+    ran = samples.n_ran()
+    return F.filter(
+        F.transform("found_value", item), lambda v: v.action_data.isNotNull() & (v.action_ordinal < ran)
     )
-    return nested.select(
-        *keys,
+
+
+def _nested_rows(samples: Samples, heads: DataFrame, chunk: Column, n_chunks: Column) -> DataFrame:
+    """Rows with the items in ``found`` cut into one inner array per action that ran."""
+    ran = samples.n_ran()
+    ordinals = F.when(ran > 0, F.sequence(F.lit(0), ran - 1)).otherwise(F.array().cast("array<int>"))
+    return heads.select(
+        *samples.keys,
         "subject_id",
         "subject_uri",
-        F.coalesce("chunk", F.lit(0).cast("bigint")).alias("chunk"),
-        "n_chunks",
+        chunk.alias("chunk"),
+        n_chunks.alias("n_chunks"),
         F.transform(
             ordinals,
             lambda k: F.coalesce(F.filter("found", lambda item: item.action_ordinal == k), F.array()),

@@ -86,12 +86,13 @@ def resolve_changes(
         F.try_element_at("approvals", F.lit(-1)).getField("reviewer").getField("name").alias("verified_by"),
         F.lit(True).alias("found"),
     )
+    heads = change_requests.select(*by, F.col("id").alias("cr_id"), "title", "change_ids")
     if links is None:
-        links = change_links(change_requests, by)
+        named = heads.select(*by, "cr_id", "title", F.posexplode_outer("change_ids").alias("position", "change_id"))
+    else:
+        named = keep_left(heads.drop("change_ids"), links, [*by, "cr_id"])
     # Links are the preserved side: a change named by very many requests can be split.
-    resolved = links.join(people, [*by, "change_id"], "left")
-    heads = change_requests.select(*by, F.col("id").alias("cr_id"), "title")
-    return keep_left(heads, resolved, [*by, "cr_id"], present=links).select(
+    return named.join(people, [*by, "change_id"], "left").select(
         *by,
         "cr_id",
         "title",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...functions.classes import map_labels
 from ...operators import catalog as cat
+from ...operators import profiles
 from ...operators import samples as smp
 from ...operators import splits, stats
+from ...sources.storage import settle
 from .. import driver_tables as dt
 from ..cohort_run import label_action, run_cohort, scan_action
 from .registry import query
@@ -383,6 +385,99 @@ def dataset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.dataset_profile(dt.table(spark, sf_dir, "documents"), ["doc_id", "lang", "source", "n_chars"])
 
 
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM documents"
+        for c in ("doc_id", "lang", "source", "n_chars", "text")
+    )
+)
+def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts included: only digests travel."""
+    return profiles.exact_distinct(dt.table(spark, sf_dir, "documents"), ["doc_id", "lang", "source", "n_chars", "text"])
+
+
+def _near(estimate: Column, exact: Column, share: float = 0.1) -> Column:
+    """Within six standard errors of the sketches, which is true of any table but one in millions."""
+    return F.abs(estimate - exact) <= F.lit(share) * exact
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct,
+                   CAST(min({m}) AS DOUBLE) AS low, CAST(max({m}) AS DOUBLE) AS high, true AS distinct_near, true AS median_near
+            FROM documents"""
+        for c, m in (("doc_id", "doc_id"), ("n_chars", "n_chars"), ("text", "length(text)"))
+    )
+)
+def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches stored per source and language, merged without the rows, next to the exact counts.
+
+    The median is near if the share of rows below it is within five standard errors of one half.
+    """
+    columns = ["doc_id", "n_chars", "text"]
+    docs = dt.table(spark, sf_dir, "documents").select("source", "lang", *columns)
+    stored = settle(profiles.profile_sketches(docs, columns, ["source", "lang"]))
+    by_source = profiles.merge_sketches(stored, ["source"])
+    read = profiles.read_profile(profiles.merge_sketches(by_source))
+    median = read.select("column_name", F.get("quantiles", F.lit(2)).alias("median"), "n_rows", "n_null")
+    measures = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), (F.length(c) if c == "text" else F.col(c)).cast("double").alias("measure"))
+            for c in columns
+        ]
+    )
+    below = (
+        docs.select(F.inline(measures))
+        .join(median, "column_name")
+        .groupBy("column_name")
+        .agg(
+            F.count_if(F.col("measure") < F.col("median")).alias("less"),
+            F.count_if(F.col("measure") <= F.col("median")).alias("upto"),
+            F.count("measure").alias("n"),
+        )
+    )
+    half = (F.col("less") <= 0.57 * F.col("n")) & (F.col("upto") >= 0.43 * F.col("n"))
+    exact = profiles.exact_distinct(docs, columns)
+    return (
+        read.withColumnRenamed("n_distinct", "estimate")
+        .join(exact, "column_name")
+        .join(below.select("column_name", half.alias("median_near")), "column_name")
+        .select(
+            "column_name", "n_rows", "n_null", "n_distinct", "low", "high",
+            _near(F.col("estimate"), F.col("n_distinct")).alias("distinct_near"), "median_near",
+        )
+    )
+
+
+@query(
+    """WITH g AS (SELECT DISTINCT o_orderpriority AS p, o_custkey AS c FROM orders WHERE o_custkey IS NOT NULL),
+            n AS (SELECT p, count(*) AS n FROM g GROUP BY p)
+       SELECT a.p AS left_group, b.p AS right_group, count(*) AS n_shared, true AS shared_near
+       FROM g a JOIN g b ON a.c = b.c AND a.p < b.p GROUP BY 1, 2"""
+)
+def shared_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subjects that two groups of experiments share, by theta sketches, next to the exact count.
+
+    The estimate of a shared part errs with the size of both groups: near is within a tenth of the smaller.
+    """
+    orders = dt.table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("p"), F.col("o_custkey").alias("c"))
+    estimated = profiles.shared_values(profiles.profile_sketches(orders, ["c"], ["p"]), "p", "c")
+    groups = orders.where(F.col("c").isNotNull()).groupBy("c").agg(F.sort_array(F.collect_set("p")).alias("ps"))
+    # A subject has at most as many entries here as there are priorities.
+    pairs = groups.select(F.explode("ps").alias("left_group"), "ps").select("left_group", F.explode("ps").alias("right_group"))
+    exact = (
+        pairs.where(F.col("left_group") < F.col("right_group"))
+        .groupBy("left_group", "right_group")
+        .agg(F.count(F.lit(1)).alias("n_shared"))
+    )
+    least = F.least("n_left", "n_right")
+    return (
+        estimated.withColumnRenamed("n_shared", "estimate")
+        .join(exact, ["left_group", "right_group"])
+        .select("left_group", "right_group", "n_shared", (F.abs(F.col("estimate") - F.col("n_shared")) <= 0.1 * least).alias("shared_near"))
+    )
+
+
 @query(
     """WITH joined AS (SELECT lang, quality AS label FROM labels JOIN documents USING (doc_id)),
        c AS (SELECT lang, label, count(*)::DOUBLE AS n FROM joined GROUP BY 1, 2)

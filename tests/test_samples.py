@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from cohortline.operators import samples as smp
@@ -283,3 +283,16 @@ def test_projects_with_equal_keys_stay_apart(spark):
     assert {r.project_id: len(r.data) for r in nested.collect()} == {"a": 2, "b": 2}
     joins = [x for x in run.split._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
     assert joins and all("project_id" in x for x in joins)
+
+
+def test_nested_items_of_usual_subjects_are_not_ordered_over_tasks(spark, catalog):
+    """Subjects with one chunk are grouped after the join by subject; both ways give the same items in the same order."""
+    samples = built(catalog)
+    text = plan(smp.nest_items(samples))
+    assert "rangepartitioning" not in text and "piece" not in text
+
+    def items(nested):
+        cut = nested.orderBy("subject_key", "chunk").collect()
+        return [(r.subject_key, tuple(i)) for r in cut for group in r.data for i in group]
+
+    assert items(smp.nest_items(samples)) == items(smp.nest_items(samples, chunk_size=1))
