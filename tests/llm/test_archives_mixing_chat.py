@@ -3,11 +3,14 @@ from __future__ import annotations
 import hashlib
 import json
 import random
+import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cohortline.llm import mixing
 from cohortline.llm.chat import canonical_turns, escaped, format_records, read_loss, read_turns, turn_records, unescaped
 from cohortline.llm.mixing import cut_words, draws, mixed_counts, mixed_documents, permuted, shared_targets, targets
 from cohortline.llm.warc import LoserTree, archive_pages, capture_order, read_archives, url_key, write_archives
@@ -222,3 +225,35 @@ def test_no_conversation_vanishes(spark):
     assert got[6][2] == 2 and got[6][0].count("<|turn|>") == 1
     back = made.where("conv_id in (5, 6)").select("conv_id", F.size(read_turns(F.col("formatted"))).alias("n")).collect()
     assert {r["conv_id"]: r["n"] for r in back} == {5: 0, 6: 1}
+
+
+@pytest.mark.parametrize("rows_a_task", [8, 2048])
+def test_what_the_mix_takes_against_a_plain_loop(spark, docs, monkeypatch, rows_a_task):
+    """Every word of a source in one list, cut into blocks, and the blocks that its draws take counted one by one."""
+    monkeypatch.setattr(mixing, "STREAM_ROWS", rows_a_task)
+    monkeypatch.setattr(mixing, "SHARD_DRAWS", 50)
+    text = F.coalesce("text", F.lit(""))
+    size = F.size(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).cast("bigint")
+    order = F.xxhash64(F.col("doc_id").cast("string"), size, F.xxhash64(text))
+    given = docs.select("doc_id", "source", text.alias("text"), F.xxhash64(text).alias("hash"), order.alias("order"))
+    sized = [(r.doc_id, r.source, len(re.findall(r"[^\x20\x09-\x0D]+", r.text)), r.hash, r.order) for r in given.collect()]
+    names = sorted({s for _, s, *_ in sized}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(n for _, s, n, *_ in sized if s == name) for name in names]
+    goals = shared_targets(sizes, [(1, 2, 3)[k % 3] for k in range(len(names))])
+    # With one bucket a stream follows the signed hash, with several the unsigned one.
+    turn = 1 << 64 if rows_a_task == 8 else 0
+    expected = []
+    for k, name in enumerate(names):
+        mine = [x for x in sized if x[1] == name]
+        mine.sort(key=lambda x: (x[4] + turn if x[4] < 0 else x[4], x[0] is not None, x[0] or 0, x[2], x[3]))
+        words = [at for at, x in enumerate(mine) for _ in range(x[2])]
+        blocks = [words[b : b + mixing.BLOCK_WORDS] for b in range(0, len(words), mixing.BLOCK_WORDS)]
+        taken = Counter()
+        n, n_draws = mixing.draws_for(goals[k], sizes[k])
+        assert n == len(blocks)
+        for j in range(n_draws):
+            key = (mixing.SEED * 1_000_003 + k) * 7 + j // n
+            taken.update(blocks[int(permuted(np.array([j % n]), n, key)[0])])
+        expected += [(x[0], name, x[2], sizes[k], goals[k], taken[at]) for at, x in enumerate(mine)]
+    got = [tuple(r) for r in mixed_counts(docs).collect()]
+    assert Counter(got) == Counter(expected)
