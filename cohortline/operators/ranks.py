@@ -143,18 +143,19 @@ def running_totals(
     """Running sums of columns along ``order`` inside each group, current row included.
 
     ``totals`` maps a new column to the summed one. ``extra`` maps a new column to one whose value
-    in the next row of the group is wanted. (group, order) must be unique.
+    in the next row of the group is wanted. (group, order) must be unique. Rows whose group is null are a group.
     """
     extra = extra or {}
-    pieces = range_pieces(df, group, order)
-    keys = [*group, "piece"]
+    # One struct, since a null column equals nothing in a join, but null fields of structs are equal.
+    pieces = range_pieces(df.withColumn("group_key", F.struct(F.lit(0), *group)), group, order)
+    keys = ["group_key", "piece"]
     first = F.min_by(F.struct(*extra.values()), F.struct(*order)) if extra else F.lit(None).cast("int")
     sums = pieces.groupBy(*keys).agg(
         *[F.sum(col).alias(f"piece_{new}") for new, col in totals.items()], first.alias("first_row")
     )
     # One row per piece and group: the number of pieces plus the number of groups.
-    earlier = Window.partitionBy(*group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*group).orderBy("piece")
+    earlier = Window.partitionBy("group_key").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("group_key").orderBy("piece")
     offsets = sums.select(
         *keys,
         *[F.coalesce(F.sum(f"piece_{new}").over(earlier), F.lit(0)).alias(f"before_{new}") for new in totals],

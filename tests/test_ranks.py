@@ -84,3 +84,10 @@ def test_first_rows_of_a_hot_group(spark, k):
     hot = rows(got.where("g = 0").select("place", "v"))
     assert hot == [(i + 1, 7999 - i) for i in range(k)]
     assert got.where("g <> 0").count() == 1000
+
+
+def test_running_totals_keep_a_null_group(spark):
+    data = [(None, i, 1) for i in range(20)] + [("a", i, 2) for i in range(20)]
+    got = ranks.running_totals(spark.createDataFrame(data, "g string, k int, v int"), ["g"], ["k"], {"total": "v"}, {"next": "v"})
+    found = {(r.g, r.k): (r.total, r.next) for r in got.collect()}
+    assert found == {(g, k): ((k + 1) * v, v if k < 19 else None) for g, k, v in data}
