@@ -6,9 +6,10 @@ a response, the others are revisits without payload.
 
 Reading: files are read whole (a limit on their records keeps them near ``FILE_BYTES`` before compression), records are cut by Content-Length and
 digests are checked. Each file's captures, sorted by URL key, timestamp and page id, are a run. Runs are cut
-into ranges by Spark, and in each range the k runs meet in a loser tree, whose winners come out in global order with
-their place in the capture history of their URL. The range also contains the page id, so that even one
-URL with a third of all captures is spread over ranges.
+into ranges and kept in order inside them by Spark, and in each range the k runs meet in a loser tree, which reads each of
+them a block at a time; the winners come out in global order with their place in the capture history of their URL. Ranges
+are cut by page id and place of writing as well, so that even one URL, or one repeated row, with a third of all
+captures is spread over ranges.
 
 Null html is an empty payload, null url an empty one; a null page id is written empty and read back null, and is no one's response to refer to
 unless all ids are null. Repeated rows are records of their own; a repeated smallest id is a response each time. Ties in URL key and
@@ -24,6 +25,7 @@ from collections.abc import Iterable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ REVISIT_BYTES = 100
 FILE_BYTES = 8 << 20
 #: Captures that one range of the merge holds, about.
 RANGE_ROWS = 50_000
+#: Rows of a run that are Python objects at once.
+RUN_ROWS = 1024
 CRLF = "\r\n"
 #: 2024-01-01T00:00:00Z, the time of page 0 where the table names no time; an id's seconds after it go round in SPAN.
 EPOCH = 1704067200
@@ -218,32 +222,46 @@ class LoserTree:
             self.winner = i
 
 
+def stretches(column: pa.Array) -> Iterator[tuple[int, int, str]]:
+    """Start, length and value of each stretch of equal values."""
+    ended = pc.run_end_encode(column)
+    start = 0
+    for end, value in zip(ended.run_ends.to_pylist(), ended.values.to_pylist()):
+        yield start, end - start, value
+        start = end
+
+
 def merge_runs(captures: DataFrame) -> DataFrame:
     """The captures in global order with ``range`` and ``place`` (their order) and ``history`` (from 1, per URL key)."""
     columns = [c for c in captures.columns if c != "payload"]
     index = captures.select(*columns)
     rows = index.agg(F.count(F.lit(1))).first()[0]
     ranges = max(1, math.ceil(rows / RANGE_ROWS))
-    cut = index.repartitionByRange(ranges, "url_key", "time", "page_id")
-    key_at = [columns.index(c) for c in ("url_key", "time", "page_id", "file", "position")]
+    order = ("url_key", "time", "page_id", "file", "position")
+    # Equal captures differ in their place of writing, so a range can end between them. Spark orders the runs of a range.
+    cut = index.repartitionByRange(ranges, *order).sortWithinPartitions("file", "url_key", "time", "page_id", "position")
+    key_at = [columns.index(c) for c in order]
+
+    def run_of(parts: list[pa.RecordBatch]) -> Iterator[tuple]:
+        """The rows of a run with their keys, of one part at a time."""
+        for part in parts:
+            for row in zip(*[c.to_pylist() for c in part.columns]):
+                key, time, page, file, at = (row[i] for i in key_at)
+                yield (key, time, page is not None, page or 0, file, at), row
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        runs: dict[str, list] = {}
+        runs: dict[str, list[pa.RecordBatch]] = {}
         schema = None
         for batch in batches:
             schema = batch.schema
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                key, time, page, file, at = (row[i] for i in key_at)
-                runs.setdefault(file, []).append(((key, time, page is not None, page or 0, file, at), row))
+            for at, n, file in stretches(batch.column(key_at[3])):
+                runs.setdefault(file, []).extend(batch.slice(at + i, min(RUN_ROWS, n - i)) for i in range(0, n, RUN_ROWS))
         if schema is None:
             return
-        for run in runs.values():
-            # A run's rows reach a range in their order, but not always in one block.
-            run.sort()
         out, number, place = [], TaskContext.get().partitionId(), 0
-        for _, row in LoserTree(runs.values()):
+        for _, row in LoserTree(run_of(parts) for parts in runs.values()):
             out.append((*row, number, place))
             place += 1
             if len(out) == 4096:

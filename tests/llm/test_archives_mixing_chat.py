@@ -75,6 +75,16 @@ def test_index_is_in_global_order(pages, monkeypatch):
         assert r["history"] == seen[r["url_key"]]
 
 
+def test_equal_captures_are_spread_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr("cohortline.llm.warc.RANGE_ROWS", 30)
+    monkeypatch.setattr("cohortline.llm.warc.RUN_ROWS", 4)
+    same = spark.createDataFrame([(5, "http://a/", "<p>" + "x" * 200, "d", 9)] * 300 + [(6, "http://b/", "y", "d", 9)] * 20, PAGES)
+    rows = archive_pages(same.repartition(6)).orderBy("range", "place").collect()
+    assert [r["page_id"] for r in rows] == [5] * 300 + [6] * 20
+    assert [r["history"] for r in rows] == [*range(1, 301), *range(1, 21)]
+    assert max(Counter(r["range"] for r in rows).values()) < 120
+
+
 def test_no_pages(spark):
     assert archive_pages(spark.createDataFrame([], PAGES)).collect() == []
 
