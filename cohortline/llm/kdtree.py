@@ -8,8 +8,9 @@ score, in all other shards; a shard whose root box cannot reach it is left at on
 batches, so a task holds one shard and one batch.
 
 Vectors that are null, or hold a null or a non-finite component, take no part; nor do rows without id. A query meets vectors of its own number of
-dimensions only. Rows that repeat an id and vector count once; a query never meets its own row. Ties go to the smaller id, and equal ids count once each vector.
-Integer components must keep inner products below 2**53 to be exact. An empty table gives no rows. Columns other than the named ones are not read.
+dimensions only. A row is its id and its whole-number vector: rows that repeat both are one row, and rows of one id with different vectors are rows
+of their own, each a query if the id is asked for, which meet each other but never themselves. Ties go to the smaller id.
+A vector so long that inner products or bounds of boxes might not be exact in doubles (2**53) fails the job. An empty table gives no rows. Columns other than the named ones are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ LEAF_ROWS = 64
 SCALE = 256
 K = 5
 
+#: Whole numbers up to this are exact in a double.
+EXACT = 1 << 53
+
 FOUND = "query_id bigint, query_key bigint, vec_id bigint, score bigint"
 
 
@@ -39,9 +43,14 @@ def whole_numbers(df: DataFrame, id_col: str, vector_col: str, scale: int = SCAL
     sound = F.col(vector_col).isNotNull() & F.forall(
         values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf))
     )
+    scaled = F.transform(values, lambda x: F.floor(x * scale))
+    # No sum of products of two vectors is above the larger of their sums of squares; a corner of a box of such
+    # vectors is longer than they by the root of the number of dimensions at most.
+    squares = F.aggregate(values, F.lit(0.0), lambda total, x: total + (F.abs(x * scale) + 1) * (F.abs(x * scale) + 1))
+    exact = squares * F.sqrt(F.size(vector_col)) < EXACT
+    too_long = F.raise_error(F.concat(F.lit("inner products would not be exact: vector "), F.col(id_col).cast("string")))
     rows = df.where(F.col(id_col).isNotNull() & sound).select(
-        F.col(id_col).cast("bigint").alias("vec_id"),
-        F.transform(values, lambda x: F.floor(x * scale)).alias("vec"),
+        F.col(id_col).cast("bigint").alias("vec_id"), F.when(exact, scaled).otherwise(too_long.cast("array<bigint>")).alias("vec")
     )
     return rows.withColumns({"key": F.xxhash64("vec"), "dims": F.size("vec")}).dropDuplicates(["vec_id", "key"])
 

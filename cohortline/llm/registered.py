@@ -41,13 +41,13 @@ def op2_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP2_SQL = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+  SELECT q.vec_id AS query_id, q.v AS asked, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND len(q.v) = len(c.v) AND (q.vec_id <> c.vec_id OR q.v <> c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 

@@ -57,6 +57,29 @@ def test_top_k_of_nothing(spark):
     assert top_k(as_table(spark, [(1, [1.0])]), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_repeated_rows_and_ids_as_the_sql_has_them(spark, tmp_path):
+    import duckdb
+
+    from cohortline.llm.registered import ORACLES
+
+    data = [(50, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.0]), (50, [0.2, 0.0]), (50, [1.0, 0.0]), (3, [1.0, 0.0])]
+    table = as_table(spark, data)
+    table.write.parquet(str(tmp_path / "e"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/e/*.parquet'")
+    wanted = con.execute(f"SELECT query_id, rank, vec_id, score FROM ({ORACLES['op2_kdtree']})").fetchall()
+    got = [tuple(r) for r in top_k(table, F.col("vec_id") % 50 == 0).collect()]
+    assert sorted(got) == sorted(wanted)
+    assert sorted(x[2] for x in got) == [1, 1, 2, 2, 3, 3, 50, 50]
+
+
+@pytest.mark.parametrize("long", [1e30, -1e20, 4e5])
+def test_vectors_beyond_exact_products_are_refused(spark, long):
+    table = as_table(spark, [(50, [1.0, 0.0]), (7, [long, 0.5])])
+    with pytest.raises(Exception, match="not be exact: vector 7"):
+        top_k(table, F.col("vec_id") % 50 == 0).collect()
+
+
 def test_boxes_bound_all_points_below():
     rng = np.random.default_rng(1)
     points = np.floor(rng.normal(size=(500, 8)) * 256)
