@@ -8,6 +8,7 @@ Rank-based metrics (ROC, AUROC) use the running totals of ``ranks``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,8 +56,9 @@ def confusion_matrix(preds: DataFrame, n_classes: int, by: Sequence[str] = ()) -
         # Each group's own cells: an array of fixed size, not a join.
         grid = F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(p).alias("pred")) for y in range(n_classes) for p in range(n_classes)]))
         cells = counts.select(*by).distinct().select(*by, grid.alias("cell")).select(*by, "cell.*")
-    dense = cells.join(counts.where("inside"), [*by, "y", "pred"], "left")
-    return dense.select(*by, "y", "pred", F.coalesce("n", F.lit(0)).alias("n")).unionByName(
+    # Added up, not joined, so that a null group keeps its counts.
+    found = cells.withColumn("n", F.lit(0).cast("bigint")).unionByName(counts.where("inside").select(*by, "y", "pred", "n"))
+    return found.groupBy(*by, "y", "pred").agg(F.sum("n").alias("n")).unionByName(
         outside.select(*by, none.alias("y"), none.alias("pred"), "n")
     )
 
@@ -241,13 +243,13 @@ def auroc(preds: DataFrame, average: str = "macro", by: Sequence[str] = ()) -> D
     raise ValueError("average is 'macro' or 'weighted'")
 
 
-def roc_curve(preds: DataFrame, positive: int = 1, drop_intermediate: bool = True) -> DataFrame:
-    """``(threshold, fpr, tpr)`` per distinct score, with a (0, 0) start at an infinite threshold.
+def roc_curve(preds: DataFrame, positive: int = 1, drop_intermediate: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """``(threshold, fpr, tpr)`` per distinct score, with a (0, 0) start at an infinite threshold, for each group of ``by``.
 
     ``drop_intermediate`` leaves out inner points on a straight line between their neighbours; the first and the last distinct
     score always stay.
     """
-    curve = _curve(preds, positive)
+    curve = _curve(preds, positive, by)
     if drop_intermediate:
         last = F.col("next_pos").isNull()
         bend = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
@@ -256,16 +258,23 @@ def roc_curve(preds: DataFrame, positive: int = 1, drop_intermediate: bool = Tru
     else:
         curve_points = curve
     hit = F.col("y") == positive
-    ends = preds.agg(F.struct(F.count_if(hit).alias("p"), F.count_if(~hit).alias("n")).alias("ends")).scalar()
-    p, n = ends.getField("p"), ends.getField("n")
-    points = curve_points.select(
+    counts = [F.count_if(hit).alias("p"), F.count_if(~hit).alias("n")]
+    begin = [F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")]
+    if by:
+        ends = preds.groupBy(*by).agg(*counts)
+        same = reduce(Column.__and__, [curve_points[c].eqNullSafe(ends[c]) for c in by])
+        located = curve_points.join(ends.select(*by, "p", "n"), same).select(*[curve_points[c] for c in by], "score", "fp", "tp", "p", "n")
+        p, n, start = F.col("p"), F.col("n"), ends.select(*by, *begin)
+    else:
+        ends = preds.agg(F.struct(*counts).alias("ends")).scalar()
+        located, p, n = curve_points, ends.getField("p"), ends.getField("n")
+        start = preds.sparkSession.range(1).select(*begin)
+    points = located.select(
+        *by,
         F.col("score").alias("threshold"),
         F.try_divide(F.col("fp").cast("double"), n.cast("double")).alias("fpr"),
         F.try_divide(F.col("tp").cast("double"), p.cast("double")).alias("tpr"),
     )
-    start = preds.sparkSession.range(1).select(
-        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
     return start.unionByName(points)
 
 

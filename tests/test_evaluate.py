@@ -227,6 +227,17 @@ def test_model_report(spark, data, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/confusion_matrix").agg(F.sum("n")).first()[0] == len(data)
 
 
+def test_model_report_per_run(spark, data):
+    """The report of several runs, one of them without a name, is the report of each alone."""
+    preds = make(spark, binary(data))
+    other = make(spark, binary(data)[: len(data) // 2])
+    both = preds.withColumn("run_id", F.lit("a")).unionByName(other.withColumn("run_id", F.lit(None).cast("string")))
+    tables = model_report(both, 2, by=["run_id"])
+    for run, alone in ((F.col("run_id") == "a", preds), (F.col("run_id").isNull(), other)):
+        for name, table in model_report(alone, 2).items():
+            assert rows(tables[name].where(run), *table.columns) == rows(table), name
+
+
 def test_nothing_is_lost(spark):
     odd = make(spark, [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (7, [1.0, 0.0]), (None, [1.0, 0.0])])
     cells = {(r.y, r.pred): r.n for r in ev.confusion_matrix(odd, 2).collect()}
