@@ -327,6 +327,25 @@ def auroc_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(ev.auroc(_runs(spark, sf_dir), by=["run_id"]), "auroc")
 
 
+@query(
+    BY_RUN
+    + """, scored AS (
+           SELECT run_id, p[2] AS s, CAST(y = 1 AS INTEGER) AS hit FROM runs
+         ), steps AS (
+           SELECT run_id, s, sum(hit) AS pos, sum(1 - hit) AS neg FROM scored GROUP BY 1, 2
+         ), curve AS (
+           SELECT run_id, s, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp
+           FROM steps WINDOW w AS (PARTITION BY run_id ORDER BY s DESC)
+         ), ends AS (
+           SELECT run_id, sum(hit) AS positives, sum(1 - hit) AS negatives FROM scored GROUP BY 1)
+         SELECT run_id, CAST('inf' AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr FROM ends
+         UNION ALL SELECT run_id, round(s, 6), round(fp / negatives, 6), round(tp / positives, 6) FROM curve JOIN ends USING (run_id)"""
+)
+def roc_curve_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curve = ev.roc_curve(_runs(spark, sf_dir), drop_intermediate=False, by=["run_id"])
+    return _rounded(curve, "threshold", "fpr", "tpr")
+
+
 def _given_model():
     """A linear model with known whole coefficients: ((feature + class) mod 3) - 1."""
     import numpy as np
