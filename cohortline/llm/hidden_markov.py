@@ -1,11 +1,12 @@
 """A hidden Markov language model of words (operator 1).
 
 Tokens are the words of a text (ASCII letters lower case) and one end. A state emits a class of tokens, the class its token:
-P(token | state) = B[state, class] * P(token | class). The end and the ``FREQUENT`` words that lead a bounded sample are
+P(token | state) = B[state, class] * P(token | class). The end and the ``FREQUENT`` most frequent words of all training texts are
 classes of their own; all other words share classes by their last letters. Within a class a token has probability
 (c + 1) / (N_class + V_class + 1) from exact counts over all training texts, the rest being left to unknown words. So the parameters
 that Baum-Welch trains are bounded, whatever the vocabulary, and with one state the model is the add-one unigram model.
 
+* One pass counts the words of all training texts, per block and then by one shuffle, for the frequent ones.
 * One pass writes each text's class sequence and, per block of texts, an index of its rarer words with where they occur.
 * The index alone is shuffled by word for exact counts, then back by block for sums per text. The frequent words are not in it,
   so no word has more rows than there are blocks.
@@ -42,8 +43,9 @@ FREQUENT = 4096
 ENDINGS = 512
 #: Longest word with a class of its own, in bytes.
 LONGEST = 48
-#: Texts of the sample that frequent words come from, about, and of the one that starts Baum-Welch.
-SAMPLE_TEXTS = 20_000
+#: Groups whose leading words are merged for the frequent ones.
+TOP_GROUPS = 16
+#: Texts of the sample that starts Baum-Welch, about.
 START_TEXTS = 1_500
 START_TOKENS = 600_000
 #: Documents that weigh as much as the prior in the emission counts, in tokens.
@@ -89,21 +91,27 @@ def in_sample(most: int, rows: int) -> Column:
     return F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < int(part * (1 << 30))
 
 
-def frequent_words(docs: DataFrame, rows: int) -> Classes:
-    """The most frequent words of a sample of about SAMPLE_TEXTS training texts."""
-    sampled = docs.where("train").where(in_sample(SAMPLE_TEXTS, rows))
+def frequent_words(docs: DataFrame) -> Classes:
+    """The FREQUENT most frequent words by their exact counts over all training texts, ties by the word."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches, text_sizes, BLOCK_BYTES):
             found: Counter[bytes] = Counter()
             for text in raw(block):
-                found.update(w for w in text.lower().split() if len(w) <= LONGEST)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], names=["word", "n"]
-            )
+                found.update(text.lower().split())
+            kept = [w for w in found if len(w) <= LONGEST]
+            for low in range(0, len(kept), 50_000):
+                part = kept[low : low + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part, pa.binary()), pa.array([found[w] for w in part], pa.int64())], names=["word", "n"]
+                )
 
-    sums = sampled.select("text").mapInArrow(counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = sums.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    sums = docs.where("train").select("text").mapInArrow(counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    # The first of each partition meet in TOP_GROUPS groups, so that what the driver merges does not grow with the partitions.
+    lead = Window.partitionBy("part").orderBy(F.desc("n"), "word")
+    parts = sums.withColumn("part", F.spark_partition_id() % TOP_GROUPS)
+    few = parts.withColumn("place", F.row_number().over(lead)).where(F.col("place") <= FREQUENT)
+    top = few.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").collect()
     return Classes({bytes(r["word"]): i + 1 for i, r in enumerate(top)})
 
 
@@ -428,7 +436,7 @@ def score_texts(
     spark: SparkSession = df.sparkSession
     docs = id_and_text(df, id_col, text_col, F.coalesce(learn, F.lit(False)).alias("train"))
     rows = df.agg(F.count(F.lit(1))).first()[0]
-    classes = frequent_words(docs, rows)
+    classes = frequent_words(docs)
     written = index_texts(docs, classes, scratch_path(spark, "words-"))
     sequences = written.where("kind = 0").select("block", "doc", "doc_id", "train", "seq")
 

@@ -99,6 +99,18 @@ def test_base_scores_equal_brute_force(docs, awkward):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
 
 
+def test_frequent_words_are_those_of_all_training_texts(spark, monkeypatch):
+    # Words that lead in the texts of a few ids only: a sample of texts by id would miss most of them.
+    rows = [(n, f"common w{n % 20} w{n % 20} own{n}") for n in range(400)] + [(n, f"late{n % 5} " * 90) for n in (1, 88, 203, 305, 399)]
+    docs = spark.createDataFrame([(i, t, i % 7 != 2) for i, t in rows], "doc_id bigint, text string, train boolean").repartition(5)
+    monkeypatch.setattr(hm, "FREQUENT", 12)
+    monkeypatch.setattr(hm, "SAMPLE_TEXTS", 40, raising=False)
+    monkeypatch.setattr(hm, "BLOCK_BYTES", 500)
+    counts = Counter(w for i, t in rows if i % 7 != 2 for w in t.encode().split())
+    wanted = sorted(counts, key=lambda w: (-counts[w], w))[:12]
+    assert hm.frequent_words(docs).words == {w: i + 1 for i, w in enumerate(wanted)}
+
+
 def test_one_state_is_nearly_the_unigram_model(docs):
     rows = hm.score_texts(docs, fold("doc_id", 7) != 2, states=1, rounds=1).collect()
     # Every class of several words keeps room for unknown ones of its own, which weighs for rare words only.
