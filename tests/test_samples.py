@@ -296,3 +296,18 @@ def test_nested_items_of_usual_subjects_are_not_ordered_over_tasks(spark, catalo
         return [(r.subject_key, tuple(i)) for r in cut for group in r.data for i in group]
 
     assert items(smp.nest_items(samples)) == items(smp.nest_items(samples, chunk_size=1))
+
+
+def test_nested_items_in_small_chunks_are_not_ordered_over_tasks(spark, catalog, monkeypatch):
+    """Subjects with several small chunks are cut where they are grouped; larger ones are ordered, and both give the same rows."""
+    samples = built(catalog)
+    text = plan(smp.nest_items(samples, chunk_size=1))
+    assert "rangepartitioning" not in text and "piece" not in text
+
+    def cut(chunk_size):
+        rows = smp.nest_items(samples, chunk_size).collect()
+        return sorted((r.subject_key, r.chunk, r.n_chunks, tuple(tuple(group) for group in r.data)) for r in rows)
+
+    grouped = [cut(n) for n in (1, 2, 3)]
+    monkeypatch.setattr(smp, "WHOLE", 0)
+    assert grouped == [cut(n) for n in (1, 2, 3)]
